@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import agreement as AG
 from ..operators import pipeline as P
 from ..operators import split as SP
+from ..session import tune
 from ..sources import fixtures as FX
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -22,9 +24,18 @@ QUERIES: dict[str, QueryFn] = {}
 PAGE_ID_OFFSET = 1_000_000_000
 
 
+def _tuned(fn: QueryFn) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def query(name: str):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        QUERIES[name] = _tuned(fn)
         return fn
     return deco
 
@@ -113,3 +124,31 @@ def q_stratified_split(spark, sf_dir):
 @query("split_overlap")
 def q_split_overlap(spark, sf_dir):
     return SP.split_overlap(split_table(spark, sf_dir))
+
+
+# --- agreement and corpus statistics -------------------------------------------
+
+def _ratings_query(fn):
+    return lambda spark, sf_dir: fn(FX.ratings(spark, sf_dir))
+
+
+for _name, _fn in {
+    "corpus_stats": AG.corpus_stats,
+    "label_cardinality": AG.label_cardinality,
+    "label_prevalence": AG.label_prevalence,
+    "label_correlation": AG.label_correlation,
+    "label_distance": AG.label_distance,
+    "agreement_labels": AG.agreement_per_row,
+    "agreement_coverage": AG.agreement_coverage,
+    "label_count_histogram": AG.label_count_histogram,
+    "label_agreed_share": AG.label_agreed_share,
+    "first_per_key": AG.first_per_key,
+    "sentiment_bucket": AG.sentiment_buckets,
+}.items():
+    QUERIES[_name] = _tuned(_ratings_query(_fn))
+
+
+@query("mean_ratings")
+def q_mean_ratings(spark, sf_dir):
+    means = AG.mean_ratings(FX.ratings(spark, sf_dir))
+    return means.select("id", *[F.round(F.col(c), 6).alias(c) for c in means.columns if c != "id"])

@@ -144,3 +144,90 @@ ORACLE["split_overlap"] = with_ctes(["split"], """
 SELECT count(*) AS overlap FROM (
   SELECT DISTINCT clean_text FROM split WHERE split = 'train'
   INTERSECT SELECT clean_text FROM split WHERE split = 'test')""")
+
+
+# --- agreement and corpus statistics -----------------------------------------
+_NL = " + ".join(f'"{e}"' for e in EMOTIONS)
+cte("labelled", ["ratings"], f"SELECT * FROM ratings WHERE ({_NL}) <> 0")
+cte("ex_sums", ["labelled"], "SELECT id, count(*) AS n_rows, " +
+    ", ".join(f'sum("{e}") AS "{e}"' for e in EMOTIONS) + " FROM labelled GROUP BY id")
+
+
+def _agree_sql(lo: int, hi: int = 100) -> str:
+    return "concat_ws(',', " + ", ".join(
+        f"CASE WHEN \"{e}\" BETWEEN {lo} AND {hi} THEN '{e}' END" for e in EMOTIONS) + ")"
+
+
+def _n_agree_sql(lo: int, hi: int = 100) -> str:
+    return "(" + " + ".join(f'CAST("{e}" BETWEEN {lo} AND {hi} AS INTEGER)' for e in EMOTIONS) + ")"
+
+
+cte("agree_sets", ["ex_sums"], f"""
+SELECT id, n_rows, {_agree_sql(1)} AS unique_labels, {_agree_sql(2)} AS agree_2,
+       {_agree_sql(3)} AS agree_3, {_agree_sql(1, 1)} AS no_agree,
+       {_n_agree_sql(1)} AS n_pre, {_n_agree_sql(2)} AS n_post, {_n_agree_sql(3)} AS n_3
+FROM ex_sums""")
+
+ORACLE["corpus_stats"] = with_ctes(["ratings"], f"""
+SELECT count(DISTINCT id) AS n_examples, count(*) AS n_annotations, count(DISTINCT rater_id) AS n_raters,
+       {_r6("count(*) FILTER (WHERE example_very_unclear) / count(*)")} AS unclear_share,
+       count(*) FILTER (WHERE ({_NL}) <> 0) AS n_labelled,
+       {_r6(f"count(*) FILTER (WHERE ({_NL}) > 3) / count(*) FILTER (WHERE ({_NL}) <> 0)")} AS share_gt3
+FROM ratings""")
+
+ORACLE["label_cardinality"] = with_ctes(["labelled"], f"""
+SELECT ({_NL}) AS n_labels, count(*) AS n_rows,
+       {_r6("count(*) / (SELECT count(*) FROM labelled)")} AS share
+FROM labelled GROUP BY 1""")
+
+ORACLE["label_prevalence"] = with_ctes(["labelled"], " UNION ALL ".join(
+    f"""SELECT '{e}' AS label, CAST(sum("{e}") AS BIGINT) AS n_positive,
+        {_r6(f'sum("{e}") / count(*)')} AS share FROM labelled""" for e in EMOTIONS))
+
+ORACLE["mean_ratings"] = with_ctes(["labelled"], "SELECT id, " + ", ".join(
+    f'{_r6(f"avg(\"{e}\")")} AS "{e}"' for e in EMOTIONS) + " FROM labelled GROUP BY id")
+
+cte("ex_means", ["labelled"], "SELECT id, " + ", ".join(
+    f'avg("{e}") AS "{e}"' for e in EMOTIONS) + " FROM labelled GROUP BY id")
+
+_PAIRS = [(EMOTIONS[i], EMOTIONS[j]) for i in range(len(EMOTIONS)) for j in range(i)]
+ORACLE["label_correlation"] = with_ctes(["ex_means"], " UNION ALL ".join(
+    f"""SELECT '{a}' AS label_a, '{b}' AS label_b, {_r6(f'corr("{a}", "{b}")')} AS corr FROM ex_means"""
+    for a, b in _PAIRS))
+
+ORACLE["label_distance"] = with_ctes(["ex_means"], " UNION ALL ".join(
+    f"""SELECT '{b}' AS label_a, '{a}' AS label_b, {_r6(f'1 - round(CAST(corr("{a}", "{b}") AS DOUBLE), 6)')} AS distance FROM ex_means"""
+    for a, b in _PAIRS))
+
+ORACLE["agreement_labels"] = with_ctes(["labelled", "agree_sets"], """
+SELECT l.seq, l.id, a.unique_labels, a.agree_2, a.agree_3, a.no_agree
+FROM labelled l LEFT JOIN agree_sets a USING (id)""")
+
+ORACLE["agreement_coverage"] = with_ctes(["agree_sets"], " UNION ALL ".join(f"""
+SELECT {t} AS min_agreement, count(*) FILTER (WHERE n_{'post' if t == 2 else t} > 0) AS n_examples,
+       CAST(coalesce(sum(n_rows) FILTER (WHERE n_{'post' if t == 2 else t} > 0), 0) AS BIGINT) AS n_rows,
+       {_r6(f"coalesce(sum(n_rows) FILTER (WHERE n_{'post' if t == 2 else t} > 0), 0) / sum(n_rows)")} AS row_share
+FROM agree_sets""" for t in (2, 3)))
+
+ORACLE["label_count_histogram"] = with_ctes(["agree_sets"], """
+SELECT type, n_labels, count(*) AS n_examples FROM (
+  SELECT 'pre-filter' AS type, n_pre AS n_labels FROM agree_sets
+  UNION ALL SELECT 'post-filter', n_post FROM agree_sets) GROUP BY 1, 2""")
+
+ORACLE["label_agreed_share"] = with_ctes(["ex_sums", "agree_sets"], " UNION ALL ".join(f"""
+SELECT '{e}' AS label, CAST(coalesce(sum(s."{e}") FILTER (WHERE a.n_post > 0), 0) AS BIGINT) AS n_agreed,
+       {_r6(f'coalesce(sum(s."{e}") FILTER (WHERE a.n_post > 0), 0) / sum(s.n_rows)')} AS share
+FROM ex_sums s JOIN agree_sets a USING (id)""" for e in EMOTIONS))
+
+ORACLE["first_per_key"] = with_ctes(["ratings"], """
+SELECT id, min(seq) AS seq, arg_min(rater_id, seq) AS rater_id FROM ratings GROUP BY id""")
+
+
+def _bucket(e: str) -> str:
+    from ..constants import SENTIMENT_MAPPING as M
+    return "positive" if e in M["positive"] else "negative" if e in M["negative"] else "ambiguous"
+
+
+ORACLE["sentiment_bucket"] = with_ctes(["ratings"], " UNION ALL ".join(
+    f"""SELECT '{e}' AS label, '{_bucket(e)}' AS bucket, CAST(coalesce(sum("{e}"), 0) AS BIGINT) AS n_positive FROM ratings"""
+    for e in EMOTIONS))

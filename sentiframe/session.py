@@ -37,6 +37,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    tune(spark)
+    return spark
+
+
+# Runtime SQL settings every job of this library relies on.
+#  * constraint propagation: the label operators build wide expressions (one
+#    per label, 28 labels); Catalyst's constraint inference over their aliases
+#    grows combinatorially and can spend minutes planning a seconds-long job.
+#  * AQE with skew-join splitting: hot keys (one example, one word) are split
+#    at runtime instead of landing in one task.
+TUNING = {
+    "spark.sql.constraintPropagation.enabled": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    for k, v in TUNING.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
     return spark
 
 
