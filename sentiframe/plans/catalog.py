@@ -15,6 +15,7 @@ from ..functions import text as T
 from ..operators import agreement as AG
 from ..operators import pipeline as P
 from ..operators import split as SP
+from ..operators import words as W
 from ..session import tune
 from ..sources import fixtures as FX
 
@@ -152,3 +153,25 @@ for _name, _fn in {
 def q_mean_ratings(spark, sf_dir):
     means = AG.mean_ratings(FX.ratings(spark, sf_dir))
     return means.select("id", *[F.round(F.col(c), 6).alias(c) for c in means.columns if c != "id"])
+
+
+# --- word statistics -----------------------------------------------------------
+
+@query("word_counts")
+def q_word_counts(spark, sf_dir):
+    return W.word_counts(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir))
+
+
+@query("log_odds_words")
+def q_log_odds_words(spark, sf_dir):
+    return W.log_odds(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir), match="exact")
+
+
+@query("log_odds_words_contains")
+def q_log_odds_words_contains(spark, sf_dir):
+    return W.log_odds(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir), match="contains")
+
+
+@query("top_words")
+def q_top_words(spark, sf_dir):
+    return W.top_words(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir), k=10)

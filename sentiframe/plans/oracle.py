@@ -231,3 +231,47 @@ def _bucket(e: str) -> str:
 ORACLE["sentiment_bucket"] = with_ctes(["ratings"], " UNION ALL ".join(
     f"""SELECT '{e}' AS label, '{_bucket(e)}' AS bucket, CAST(coalesce(sum("{e}"), 0) AS BIGINT) AS n_positive FROM ratings"""
     for e in EMOTIONS))
+
+
+# --- word statistics (log-odds) -------------------------------------------------
+cte("row_tokens", ["annot"], f"""
+SELECT a.seq, a.id, unnest({S.analysis_tokens('a.text')}) AS word FROM annot a""")
+cte("row_wc", ["row_tokens"], "SELECT id, word, count(*) AS n FROM row_tokens GROUP BY 1, 2")
+cte("all_sums", ["ratings"], "SELECT id, " + ", ".join(
+    f'sum("{e}") AS "{e}"' for e in EMOTIONS) + " FROM ratings GROUP BY id")
+cte("ex_agree2", ["all_sums"], f"SELECT id, {_agree_sql(2)} AS agreement FROM all_sums")
+cte("label_list", [], "SELECT unnest(" + S.str_list(EMOTIONS) + ") AS label")
+cte("members_exact", ["ex_agree2", "label_list"], """
+SELECT a.id, l.label FROM ex_agree2 a JOIN label_list l ON list_contains(string_split(a.agreement, ','), l.label)""")
+cte("members_contains", ["ex_agree2", "label_list"], """
+SELECT a.id, l.label FROM ex_agree2 a JOIN label_list l ON contains(a.agreement, l.label)""")
+cte("word_totals", ["row_wc"], "SELECT word, sum(n) AS t FROM row_wc GROUP BY 1")
+
+
+def _log_odds_sql(members: str, min_z: bool = True) -> str:
+    return with_ctes([members, "row_wc", "word_totals"], f"""
+, c1 AS (SELECT m.label, w.word, sum(w.n) AS c1 FROM {members} m JOIN row_wc w USING (id) GROUP BY 1, 2)
+, n1 AS (SELECT label, sum(c1) AS n1 FROM c1 GROUP BY 1)
+, scored AS (
+  SELECT c1.label AS emotion, c1.word,
+         CAST(c1.c1 AS DOUBLE) AS a, CAST(t.t AS DOUBLE) AS p, CAST(n1.n1 AS DOUBLE) AS na,
+         CAST((SELECT sum(t) FROM word_totals) AS DOUBLE) AS big
+  FROM c1 JOIN word_totals t USING (word) JOIN n1 USING (label))
+, z AS (
+  SELECT emotion, word,
+         (ln((a + p) / ((na + big) - (a + p))) - ln(((p - a) + p) / (((big - na) + big) - ((p - a) + p))))
+           / sqrt(1.0 / (a + p) + 1.0 / ((p - a) + p)) AS z,
+         a / na AS freq
+  FROM scored)
+SELECT emotion, word, round(z, 6) AS odds, round(freq, 6) AS freq FROM z {"WHERE z >= 3" if min_z else ""}""").replace("\n, c1 AS", ",\nc1 AS", 1)
+
+
+ORACLE["word_counts"] = with_ctes(["row_wc"], "SELECT word, CAST(sum(n) AS BIGINT) AS n FROM row_wc GROUP BY 1")
+ORACLE["log_odds_words"] = _log_odds_sql("members_exact")
+ORACLE["log_odds_words_contains"] = _log_odds_sql("members_contains")
+ORACLE["top_words"] = (_log_odds_sql("members_exact").replace(
+    "SELECT emotion, word, round(z, 6) AS odds, round(freq, 6) AS freq FROM z WHERE z >= 3",
+    """SELECT * FROM (SELECT emotion, word, odds, freq,
+         row_number() OVER (PARTITION BY emotion ORDER BY odds DESC, word) AS rank
+       FROM (SELECT emotion, word, round(z, 6) AS odds, round(freq, 6) AS freq FROM z WHERE z >= 3))
+     WHERE rank <= 10"""))
