@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import agreement as AG
+from ..operators import metrics as M
 from ..operators import pipeline as P
+from ..operators import scoring as SC
+from ..operators import taxonomy as TX
 from ..operators import split as SP
 from ..operators import words as W
 from ..session import tune
@@ -175,3 +178,91 @@ def q_log_odds_words_contains(spark, sf_dir):
 @query("top_words")
 def q_top_words(spark, sf_dir):
     return W.top_words(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir), k=10)
+
+
+# --- evaluation ------------------------------------------------------------------
+
+def _preds(spark, sf_dir):
+    return FX.single_label_predictions(spark, sf_dir)
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return M.confusion_matrix(_preds(spark, sf_dir))
+
+
+@query("per_class_metrics")
+def q_per_class_metrics(spark, sf_dir):
+    return M.per_class_metrics(_preds(spark, sf_dir)).select(
+        "label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@query("overall_metrics")
+def q_overall_metrics(spark, sf_dir):
+    return M.overall_metrics(_preds(spark, sf_dir))
+
+
+@query("classification_report")
+def q_classification_report(spark, sf_dir):
+    return M.classification_report(_preds(spark, sf_dir))
+
+
+def _benchmark(spark, sf_dir):
+    sp = split_table(spark, sf_dir)
+    train, test = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test")
+    return M.experiment_row("Majority_Class_Benchmark", M.majority_predictions(train, test))
+
+
+@query("majority_benchmark")
+def q_majority_benchmark(spark, sf_dir):
+    return _benchmark(spark, sf_dir)
+
+
+@query("experiment_comparison")
+def q_experiment_comparison(spark, sf_dir):
+    return M.experiment_table(_benchmark(spark, sf_dir),
+                              M.experiment_row("Fixture_Predictions", _preds(spark, sf_dir)))
+
+
+@query("multilabel_metrics")
+def q_multilabel_metrics(spark, sf_dir):
+    return M.multilabel_metrics(FX.multilabel_scores(spark, sf_dir))
+
+
+@query("multilabel_per_label")
+def q_multilabel_per_label(spark, sf_dir):
+    return M.multilabel_per_label(FX.multilabel_scores(spark, sf_dir))
+
+
+@query("multi_hot")
+def q_multi_hot(spark, sf_dir):
+    return M.multi_hot_rows(FX.labelled_tsv(spark, sf_dir), 28)
+
+
+# --- taxonomy ----------------------------------------------------------------------
+
+@query("taxonomy_replace")
+def q_taxonomy_replace(spark, sf_dir):
+    return TX.replace_labels(FX.labelled_tsv(spark, sf_dir))
+
+
+@query("taxonomy_labels")
+def q_taxonomy_labels(spark, sf_dir):
+    return TX.label_usage(FX.labelled_tsv(spark, sf_dir), spark)
+
+
+# --- scoring -----------------------------------------------------------------------
+
+@query("rule_override")
+def q_rule_override(spark, sf_dir):
+    return SC.rule_overrides(FX.rule_texts(spark, sf_dir))
+
+
+@query("softmax_scores")
+def q_softmax_scores(spark, sf_dir):
+    return SC.softmax_scores(FX.logits(spark, sf_dir))
+
+
+@query("score_texts")
+def q_score_texts(spark, sf_dir):
+    return SC.score_texts(FX.rule_texts(spark, sf_dir).select("id", "text"), FX.logits(spark, sf_dir))

@@ -275,3 +275,212 @@ ORACLE["top_words"] = (_log_odds_sql("members_exact").replace(
          row_number() OVER (PARTITION BY emotion ORDER BY odds DESC, word) AS rank
        FROM (SELECT emotion, word, round(z, 6) AS odds, round(freq, 6) AS freq FROM z WHERE z >= 3))
      WHERE rank <= 10"""))
+
+
+# --- evaluation ------------------------------------------------------------------
+_M = S.str_list(MOOD_LABELS)
+cte("preds", [], f"""
+SELECT event_id AS id, {_M}[user_id % 3 + 1] AS y_true,
+       CASE WHEN event_id % 10 < 7 THEN {_M}[user_id % 3 + 1] ELSE {_M}[event_id % 4 + 1] END AS y_pred
+FROM events""")
+cte("mood_list", [], f"SELECT unnest({_M}) AS label, unnest(range(0, {len(MOOD_LABELS)})) AS pos")
+
+
+def _prf(src: str, label_src: str) -> str:
+    return f"""
+SELECT l.label, count(*) FILTER (WHERE p.y_true = l.label AND p.y_pred = l.label) AS tp,
+       count(*) FILTER (WHERE p.y_pred = l.label) AS predicted,
+       count(*) FILTER (WHERE p.y_true = l.label) AS support
+FROM {label_src} l CROSS JOIN {src} p GROUP BY l.label"""
+
+
+def _metric_cols() -> str:
+    return """CASE WHEN predicted = 0 THEN 0.0 ELSE tp / predicted END AS precision,
+       CASE WHEN support = 0 THEN 0.0 ELSE tp / support END AS recall,
+       CASE WHEN tp + predicted + support = 0 THEN 0.0
+            ELSE 2.0 * tp / (2 * tp + (predicted - tp) + (support - tp)) END AS f1"""
+
+
+def _overall(src: str) -> str:
+    return f"""
+present_{src} AS (SELECT y_true AS label FROM {src} UNION SELECT y_pred FROM {src}),
+counts_{src} AS ({_prf(src, f"present_{src}")}),
+pcm_{src} AS (SELECT label, tp, predicted, support, {_metric_cols()} FROM counts_{src}),
+overall_{src} AS (
+  SELECT {_r6(f"(SELECT avg(CAST(y_true = y_pred AS DOUBLE)) FROM {src})")} AS accuracy,
+         {_r6("CASE WHEN sum(support) = 0 THEN 0.0 ELSE sum(precision * support) / sum(support) END")} AS precision,
+         {_r6("CASE WHEN sum(support) = 0 THEN 0.0 ELSE sum(recall * support) / sum(support) END")} AS recall,
+         {_r6("CASE WHEN sum(support) = 0 THEN 0.0 ELSE sum(f1 * support) / sum(support) END")} AS f1,
+         {_r6("avg(precision)")} AS macro_precision, {_r6("avg(recall)")} AS macro_recall,
+         {_r6("avg(f1)")} AS macro_f1
+  FROM pcm_{src})"""
+
+
+def _with(names: list[str], extra: str, main: str) -> str:
+    base = with_ctes(names, "")
+    if base.strip():
+        return base.rstrip() + ",\n" + extra + "\n" + main
+    return "WITH " + extra + "\n" + main
+
+
+ORACLE["confusion_matrix"] = with_ctes(["preds", "mood_list"], f"""
+SELECT t.label AS y_true, q.label AS y_pred, count(p.id) AS n,
+       {_r6("count(p.id) / greatest(sum(count(p.id)) OVER (PARTITION BY t.label), 1)")} AS row_share
+FROM mood_list t CROSS JOIN mood_list q
+LEFT JOIN preds p ON p.y_true = t.label AND p.y_pred = q.label
+GROUP BY t.label, q.label""")
+
+ORACLE["per_class_metrics"] = _with(["preds", "mood_list"], f"pc AS ({_prf('preds', 'mood_list')})", f"""
+SELECT label, {_r6("precision")} AS precision, {_r6("recall")} AS recall, {_r6("f1")} AS f1, support
+FROM (SELECT label, support, {_metric_cols()} FROM pc)""")
+
+ORACLE["overall_metrics"] = _with(["preds"], _overall("preds"), "SELECT * FROM overall_preds")
+
+ORACLE["classification_report"] = _with(["preds", "mood_list"], f"""
+pc AS ({_prf('preds', 'mood_list')}),
+pm AS (SELECT label, tp, support, {_metric_cols()} FROM pc)""", f"""
+SELECT label AS row, {_r6("precision")} AS precision, {_r6("recall")} AS recall, {_r6("f1")} AS f1,
+       CAST(support AS BIGINT) AS support, CAST(list_position({_M}, label) - 1 AS INTEGER) AS row_order FROM pm
+UNION ALL SELECT 'accuracy', NULL, NULL, {_r6("CASE WHEN sum(support) = 0 THEN 0.0 ELSE sum(tp) / sum(support) END")},
+       CAST(sum(support) AS BIGINT), {len(MOOD_LABELS)} FROM pm
+UNION ALL SELECT 'macro avg', {_r6("avg(precision)")}, {_r6("avg(recall)")}, {_r6("avg(f1)")},
+       CAST(sum(support) AS BIGINT), {len(MOOD_LABELS) + 1} FROM pm
+UNION ALL SELECT 'weighted avg',
+       {_r6("CASE WHEN sum(support) = 0 THEN 0.0 ELSE sum(precision * support) / sum(support) END")},
+       {_r6("CASE WHEN sum(support) = 0 THEN 0.0 ELSE sum(recall * support) / sum(support) END")},
+       {_r6("CASE WHEN sum(support) = 0 THEN 0.0 ELSE sum(f1 * support) / sum(support) END")},
+       CAST(sum(support) AS BIGINT), {len(MOOD_LABELS) + 2} FROM pm""")
+
+cte("bench_preds", ["split"], """
+SELECT s.mood AS y_true, (SELECT mood FROM split WHERE split = 'train' GROUP BY mood
+                          ORDER BY count(*) DESC, mood LIMIT 1) AS y_pred
+FROM split s WHERE s.split = 'test'""")
+
+ORACLE["majority_benchmark"] = _with(["bench_preds"], _overall("bench_preds"),
+                                     "SELECT 'Majority_Class_Benchmark' AS experiment, * FROM overall_bench_preds")
+
+ORACLE["experiment_comparison"] = _with(["bench_preds", "preds"], _overall("bench_preds") + "," + _overall("preds"), """
+SELECT 'Majority_Class_Benchmark' AS experiment, * FROM overall_bench_preds
+UNION ALL SELECT 'Fixture_Predictions' AS experiment, * FROM overall_preds""")
+
+# multi-label
+cte("ml", [], """
+SELECT e.vec_id AS id, CAST(r.j - 1 AS INTEGER) AS label, 2.0 * CAST(e.embedding[r.j] AS DOUBLE) AS score,
+       CASE WHEN r.j - 1 = e.label OR r.j - 1 = (e.label + e.vec_id % 3) % 10 THEN 1 ELSE 0 END AS y
+FROM embeddings e CROSS JOIN range(1, 11) r(j)""")
+cte("ml_counts", ["ml"], """
+SELECT label,
+       count(*) FILTER (WHERE y = 1 AND score > 0.3) AS tp, count(*) FILTER (WHERE y = 0 AND score > 0.3) AS fp,
+       count(*) FILTER (WHERE y = 1 AND NOT score > 0.3) AS fn, count(*) FILTER (WHERE y = 0 AND NOT score > 0.3) AS tn
+FROM ml GROUP BY label""")
+cte("ml_per", ["ml_counts"], """
+SELECT label, tp, fp, fn, tn, tp + fn AS support,
+       CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS p,
+       CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS r,
+       CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2.0 * tp / (2 * tp + fp + fn) END AS f,
+       CASE WHEN tp + fp + fn + tn = 0 THEN 0.0 ELSE (tp + tn) / (tp + fp + fn + tn) END AS acc
+FROM ml_counts""")
+
+ORACLE["multilabel_per_label"] = with_ctes(["ml_per"], f"""
+SELECT label, {_r6("acc")} AS accuracy, {_r6("p")} AS precision, {_r6("r")} AS recall, {_r6("f")} AS f1 FROM ml_per""")
+
+ORACLE["multilabel_metrics"] = with_ctes(["ml", "ml_per"], f"""
+SELECT {_r6("(SELECT avg(ok) FROM (SELECT id, min(CAST((score > 0.3) = (y = 1) AS INTEGER)) AS ok FROM ml GROUP BY id))")} AS accuracy,
+       {_r6("avg(p)")} AS macro_precision, {_r6("avg(r)")} AS macro_recall, {_r6("avg(f)")} AS macro_f1,
+       {_r6("CASE WHEN sum(tp) + sum(fp) = 0 THEN 0.0 ELSE sum(tp) / (sum(tp) + sum(fp)) END")} AS micro_precision,
+       {_r6("CASE WHEN sum(tp) + sum(fn) = 0 THEN 0.0 ELSE sum(tp) / (sum(tp) + sum(fn)) END")} AS micro_recall,
+       {_r6("CASE WHEN 2 * sum(tp) + sum(fp) + sum(fn) = 0 THEN 0.0 ELSE 2.0 * sum(tp) / (2 * sum(tp) + sum(fp) + sum(fn)) END")} AS micro_f1,
+       {_r6("CASE WHEN sum(support) = 0 THEN 0.0 ELSE sum(p * support) / sum(support) END")} AS weighted_precision,
+       {_r6("CASE WHEN sum(support) = 0 THEN 0.0 ELSE sum(r * support) / sum(support) END")} AS weighted_recall,
+       {_r6("CASE WHEN sum(support) = 0 THEN 0.0 ELSE sum(f * support) / sum(support) END")} AS weighted_f1
+FROM ml_per""")
+
+# labelled TSV and taxonomy
+cte("b5", [], """
+SELECT text, concat_ws(',', CAST(conv_id % 28 AS VARCHAR), CAST((conv_id + turn * 7) % 28 AS VARCHAR)) AS labels,
+       concat_ws('-', CAST(conv_id AS VARCHAR), CAST(turn AS VARCHAR)) AS id
+FROM conversations""")
+
+ORACLE["multi_hot"] = with_ctes(["b5"], """
+SELECT id, array_to_string(list_transform(range(0, 28),
+         lambda j: CAST(list_contains(list_transform(string_split(labels, ','), lambda x: CAST(x AS INTEGER)), j) AS INTEGER)), ',') AS multi_hot
+FROM b5""")
+
+from ..constants import EKMAN_MAPPING as _EK  # noqa: E402
+
+cte("tx_pairs", [], "SELECT * FROM (VALUES " + ", ".join(
+    f"({S.lit(g)}, {S.lit(m)})" for g, ms in _EK.items() for m in ms) + ") t(grp, member)")
+cte("tx_old", [], f"SELECT unnest({S.str_list(EMOTIONS)}) AS label, unnest(range(0, {len(EMOTIONS)})) AS idx")
+cte("tx_new", ["tx_pairs", "tx_old"], """
+SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS idx FROM (
+  SELECT DISTINCT grp AS label FROM tx_pairs
+  UNION SELECT label FROM tx_old WHERE label NOT IN (SELECT member FROM tx_pairs))""")
+cte("tx_map", ["tx_old", "tx_pairs", "tx_new"], """
+SELECT list(n.idx ORDER BY o.idx) AS m FROM tx_old o LEFT JOIN tx_pairs p ON p.member = o.label
+JOIN tx_new n ON n.label = coalesce(p.grp, o.label)""")
+cte("b5_new", ["b5", "tx_map"], """
+SELECT b.text, b.labels, b.id,
+       array_to_string(list_transform(string_split(b.labels, ','), lambda x: t.m[CAST(x AS INTEGER) + 1]), ',') AS new_labels
+FROM b5 b CROSS JOIN tx_map t""")
+
+ORACLE["taxonomy_replace"] = with_ctes(["b5_new"], "SELECT text, labels, id, new_labels FROM b5_new")
+ORACLE["taxonomy_labels"] = with_ctes(["b5_new", "tx_new"], """
+SELECT n.idx, n.label, coalesce(u.n_uses, 0) AS n_uses FROM tx_new n LEFT JOIN (
+  SELECT CAST(x AS INTEGER) AS idx, count(*) AS n_uses FROM (SELECT unnest(string_split(new_labels, ',')) AS x FROM b5_new)
+  GROUP BY 1) u USING (idx)""")
+
+# scoring
+from ..sources.fixtures import RULE_PREFIXES as _RP  # noqa: E402
+
+cte("rule_texts", [], f"""
+SELECT doc_id AS id, {_M}[doc_id % 4 + 1] AS raw_mood,
+       concat({S.str_list(_RP)}[(doc_id // 4) % 6 + 1], text) AS text
+FROM documents""")
+ORACLE["rule_override"] = with_ctes(["rule_texts"], f"""
+SELECT id, raw_mood, coalesce(rule, 0) AS rule, {S.apply_rule('rule', 'raw_mood')} AS final_mood
+FROM (SELECT id, raw_mood, {S.rule_hit('text', 'raw_mood')} AS rule FROM rule_texts)""")
+
+cte("lg", [], """
+SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS l1, CAST(embedding[2] AS DOUBLE) AS l2,
+       CAST(embedding[3] AS DOUBLE) AS l3, CAST(embedding[4] AS DOUBLE) AS l4 FROM embeddings""")
+cte("sm", ["lg"], """
+SELECT id, l1, l2, l3, l4, e1 / s AS p1, e2 / s AS p2, e3 / s AS p3, e4 / s AS p4, am FROM (
+  SELECT *, e1 + e2 + e3 + e4 AS s FROM (
+    SELECT *, exp(l1 - m) AS e1, exp(l2 - m) AS e2, exp(l3 - m) AS e3, exp(l4 - m) AS e4,
+           CASE WHEN l1 = m THEN 0 WHEN l2 = m THEN 1 WHEN l3 = m THEN 2 ELSE 3 END AS am
+    FROM (SELECT *, greatest(l1, l2, l3, l4) AS m FROM lg)))""")
+ORACLE["softmax_scores"] = with_ctes(["sm"], f"""
+SELECT id, CAST(am AS INTEGER) AS argmax, {_M}[am + 1] AS mood, {_r6("p1")} AS p_happy, {_r6("p2")} AS p_sad,
+       {_r6("p3")} AS p_angry, {_r6("p4")} AS p_neutral FROM sm""")
+
+from ..functions.regex import WS as _WS  # noqa: E402
+
+cte("scored_raw", ["rule_texts", "sm"], f"""
+SELECT r.id, r.text, s.p1, s.p2, s.p3, s.p4, s.am AS raw_idx, {_M}[s.am + 1] AS raw_mood
+FROM rule_texts r JOIN sm s USING (id)
+WHERE NOT regexp_full_match(r.text, {S.lit(_WS + '*')}) AND {S.light_clean_text('r.text')} <> ''""")
+cte("scored_rule", ["scored_raw"], f"""
+SELECT *, {S.rule_hit('text', 'raw_mood')} AS rule FROM scored_raw""")
+cte("scored_final", ["scored_rule"], f"""
+SELECT *, {S.apply_rule('rule', 'raw_mood')} AS final_mood FROM scored_rule""")
+cte("scored_adj", ["scored_final"], f"""
+SELECT *, [p1, p2, p3, p4] AS p, CAST(list_position({_M}, final_mood) - 1 AS INTEGER) AS final_idx FROM scored_final""")
+cte("scored_sw", ["scored_adj"], """
+SELECT id, raw_mood, final_mood, rule, raw_idx, final_idx, p,
+       list_transform(range(0, 4), lambda i: CASE WHEN i = final_idx THEN greatest(p[raw_idx + 1], p[final_idx + 1])
+                                               WHEN i = raw_idx THEN least(p[raw_idx + 1], p[final_idx + 1])
+                                               ELSE p[i + 1] END) AS sw
+FROM scored_adj""")
+cte("scored_q", ["scored_sw"], """
+SELECT id, raw_mood, final_mood, rule,
+       CASE WHEN raw_idx = final_idx THEN p
+            WHEN sw[1] + sw[2] + sw[3] + sw[4] > 0
+              THEN list_transform(sw, lambda x: x / (sw[1] + sw[2] + sw[3] + sw[4]))
+            ELSE sw END AS q
+FROM scored_sw""")
+ORACLE["score_texts"] = with_ctes(["scored_q"], f"""
+SELECT id, raw_mood, final_mood, coalesce(rule, 0) AS rule, {_r6("q[1]")} AS p_happy, {_r6("q[2]")} AS p_sad,
+       {_r6("q[3]")} AS p_angry, {_r6("q[4]")} AS p_neutral,
+       (SELECT string_agg(lab, ',' ORDER BY pr DESC, ix)
+        FROM (SELECT unnest({_M}) AS lab, unnest(q) AS pr, unnest(range(0, 4)) AS ix)) AS ranking
+FROM scored_q""")
