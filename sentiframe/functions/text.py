@@ -82,18 +82,21 @@ def word_tokens(c) -> Column:
 
 
 def word_ngrams(tokens, n_min: int = 1, n_max: int = 1) -> Column:
-    """Contiguous n-grams of a token array joined by single spaces."""
+    """Contiguous n-grams of a token array joined by single spaces.
+
+    Built by zipping shifted slices, so the token array is evaluated once
+    per row (a lambda that indexes the array would recompute it per gram)."""
     toks = _col(tokens)
     parts = []
     for n in range(n_min, n_max + 1):
         if n == 1:
             parts.append(toks)
             continue
-        last = F.size(toks) - n
-        grams = F.transform(
-            F.sequence(F.lit(0), last),
-            lambda i, n=n: F.concat_ws(" ", *[F.get(toks, i + k) for k in range(n)]))
-        parts.append(F.when(last >= 0, grams).otherwise(F.array().cast("array<string>")))
+        count = F.greatest(F.size(toks) - (n - 1), F.lit(0))
+        grams = F.slice(toks, 1, count)
+        for k in range(1, n):
+            grams = F.zip_with(grams, F.slice(toks, k + 1, count), lambda a, b: F.concat(a, F.lit(" "), b))
+        parts.append(F.when(count > 0, grams).otherwise(F.array().cast("array<string>")))
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 

@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import agreement as AG
+from ..operators import features as FE
 from ..operators import metrics as M
 from ..operators import pipeline as P
 from ..operators import scoring as SC
 from ..operators import taxonomy as TX
 from ..operators import split as SP
 from ..operators import words as W
-from ..session import tune
+from ..session import cut_lineage, tune
 from ..sources import fixtures as FX
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +52,13 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return SP.stratified_split(processed(spark, sf_dir), "mood", "clean_text")
+    """Processed rows with their split, materialised once per query.
+
+    Downstream features read it several times (train fit, full transform,
+    bucket counts); a reliable checkpoint in the shared checkpoint folder cuts
+    the lineage so cleaning and dedup are not recomputed per branch and a
+    lost executor does not replay them."""
+    return cut_lineage(SP.stratified_split(processed(spark, sf_dir), "mood", "clean_text"))
 
 
 def _all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,3 +273,69 @@ def q_softmax_scores(spark, sf_dir):
 @query("score_texts")
 def q_score_texts(spark, sf_dir):
     return SC.score_texts(FX.rule_texts(spark, sf_dir).select("id", "text"), FX.logits(spark, sf_dir))
+
+
+# --- features ----------------------------------------------------------------------
+from ..constants import BASELINE_CONFIG, FINAL_CONFIG  # noqa: E402
+
+
+def _train_and_all(spark, sf_dir):
+    sp = split_table(spark, sf_dir)
+    return sp.where(F.col("split") == "train"), sp
+
+
+def _block(spark, sf_dir, cfg, terms):
+    train, docs = _train_and_all(spark, sf_dir)
+    return FE.tfidf_block(train, docs, terms, cfg["min_df"], cfg["max_df"], cfg["max_features"],
+                          cfg["sublinear"])
+
+
+def _word_block(spark, sf_dir, cfg):
+    return _block(spark, sf_dir, cfg, FE.word_terms("clean_text", cfg["ngram"]))
+
+
+def _char_block(spark, sf_dir, cfg):
+    return _block(spark, sf_dir, cfg, FE.char_terms("clean_text", cfg["ngram"]))
+
+
+@query("word_ngrams")
+def q_word_ngrams(spark, sf_dir):
+    c = FE.term_counts(processed(spark, sf_dir), FE.word_terms("clean_text", (1, 2)))
+    return c.select(F.col("doc").alias("id"), "term", "tf")
+
+
+@query("char_ngrams")
+def q_char_ngrams(spark, sf_dir):
+    c = FE.term_counts(processed(spark, sf_dir), FE.char_terms("clean_text", (3, 5)))
+    return c.select(F.col("doc").alias("id"), "term", "tf")
+
+
+@query("vocabulary")
+def q_vocabulary(spark, sf_dir):
+    vocab, _ = _word_block(spark, sf_dir, FINAL_CONFIG["word"])
+    return vocab
+
+
+@query("tfidf_word")
+def q_tfidf_word(spark, sf_dir):
+    _, w = _word_block(spark, sf_dir, BASELINE_CONFIG["word"])
+    return w.select(F.col("doc").alias("id"), "term", F.round("weight", 6).alias("weight"))
+
+
+@query("tfidf_sublinear")
+def q_tfidf_sublinear(spark, sf_dir):
+    _, w = _word_block(spark, sf_dir, FINAL_CONFIG["word"])
+    return w.select(F.col("doc").alias("id"), "term", F.round("weight", 6).alias("weight"))
+
+
+@query("feature_union")
+def q_feature_union(spark, sf_dir):
+    blocks = [_word_block(spark, sf_dir, FINAL_CONFIG["word"]), _char_block(spark, sf_dir, FINAL_CONFIG["char"])]
+    u = FE.feature_union(blocks)
+    return u.select(F.col("doc").alias("id"), "feature", F.round("weight", 6).alias("weight"))
+
+
+@query("encode_sequences")
+def q_encode_sequences(spark, sf_dir):
+    vocab, _ = _word_block(spark, sf_dir, BASELINE_CONFIG["word"])
+    return FE.encode_sequences(processed(spark, sf_dir), vocab)

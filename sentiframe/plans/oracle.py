@@ -484,3 +484,65 @@ SELECT id, raw_mood, final_mood, coalesce(rule, 0) AS rule, {_r6("q[1]")} AS p_h
        (SELECT string_agg(lab, ',' ORDER BY pr DESC, ix)
         FROM (SELECT unnest({_M}) AS lab, unnest(q) AS pr, unnest(range(0, 4)) AS ix)) AS ranking
 FROM scored_q""")
+
+
+# --- features ----------------------------------------------------------------------
+from ..constants import BASELINE_CONFIG as _BC, FINAL_CONFIG as _FC  # noqa: E402
+
+_WT = "list_filter(string_split(clean_text, ' '), lambda t: length(t) >= 2)"
+_W12 = (f"list_concat({_WT}, list_transform(range(1, len({_WT})), "
+        f"lambda i: {_WT}[i] || ' ' || {_WT}[i + 1]))")
+_CH = ("flatten(list_transform(list_filter(string_split(clean_text, ' '), lambda w: w <> ''), "
+       "lambda w: flatten(list_transform(range(3, least(5, length(w) + 2) + 1), "
+       "lambda n: list_transform(range(0, length(w) + 2 - n + 1), "
+       "lambda o: substring(' ' || w || ' ', o + 1, n))))))")
+cte("train_docs", ["split"], "SELECT id, clean_text FROM split WHERE split = 'train'")
+
+
+def _block(name: str, terms: str, min_df, max_df, max_features, sublinear: bool) -> None:
+    cte(f"{name}_tc_train", ["train_docs"], f"""
+SELECT id, term, count(*) AS tf FROM (SELECT id, unnest({terms}) AS term FROM train_docs) GROUP BY 1, 2""")
+    cte(f"{name}_tc_all", ["processed"], f"""
+SELECT id, term, count(*) AS tf FROM (SELECT id, unnest({terms}) AS term FROM processed) GROUP BY 1, 2""")
+    lo = f"{min_df}" if isinstance(min_df, int) else f"CAST({min_df} AS DOUBLE) * (SELECT count(*) FROM train_docs)"
+    hi = f"{max_df}" if isinstance(max_df, int) else f"CAST({max_df} AS DOUBLE) * (SELECT count(*) FROM train_docs)"
+    cte(f"{name}_vocab", [f"{name}_tc_train", "train_docs"], f"""
+SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS idx, df, tf FROM (
+  SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM {name}_tc_train GROUP BY term
+  HAVING count(*) >= {lo} AND count(*) <= {hi}
+  ORDER BY tf DESC, term LIMIT {max_features})""")
+    tfw = "(1.0 + ln(CAST(c.tf AS DOUBLE)))" if sublinear else "CAST(c.tf AS DOUBLE)"
+    cte(f"{name}_w", [f"{name}_tc_all", f"{name}_vocab", "train_docs"], f"""
+SELECT c.id, c.term, v.idx,
+       {tfw} * (ln((1.0 + (SELECT count(*) FROM train_docs)) / (1.0 + v.df)) + 1.0) AS w
+FROM {name}_tc_all c JOIN {name}_vocab v USING (term)""")
+    cte(f"{name}_tfidf", [f"{name}_w"], f"""
+SELECT id, term, idx, CASE WHEN sqrt(sum(w * w) OVER (PARTITION BY id)) > 0
+                           THEN w / sqrt(sum(w * w) OVER (PARTITION BY id)) ELSE 0.0 END AS weight
+FROM {name}_w""")
+
+
+_block("bw", _WT, _BC["word"]["min_df"], _BC["word"]["max_df"], _BC["word"]["max_features"], _BC["word"]["sublinear"])
+_block("fw", _W12, _FC["word"]["min_df"], _FC["word"]["max_df"], _FC["word"]["max_features"], _FC["word"]["sublinear"])
+_block("fc", _CH, _FC["char"]["min_df"], _FC["char"]["max_df"], _FC["char"]["max_features"], _FC["char"]["sublinear"])
+
+ORACLE["word_ngrams"] = with_ctes(["processed"], f"""
+SELECT id, term, count(*) AS tf FROM (SELECT id, unnest({_W12}) AS term FROM processed) GROUP BY 1, 2""")
+ORACLE["char_ngrams"] = with_ctes(["processed"], f"""
+SELECT id, term, count(*) AS tf FROM (SELECT id, unnest({_CH}) AS term FROM processed) GROUP BY 1, 2""")
+ORACLE["vocabulary"] = with_ctes(["fw_vocab"], "SELECT term, idx, df, tf FROM fw_vocab")
+ORACLE["tfidf_word"] = with_ctes(["bw_tfidf"], f"SELECT id, term, {_r6('weight')} AS weight FROM bw_tfidf")
+ORACLE["tfidf_sublinear"] = with_ctes(["fw_tfidf"], f"SELECT id, term, {_r6('weight')} AS weight FROM fw_tfidf")
+ORACLE["feature_union"] = with_ctes(["fw_tfidf", "fc_tfidf", "fw_vocab"], f"""
+SELECT id, CAST(idx AS BIGINT) AS feature, {_r6('weight')} AS weight FROM fw_tfidf
+UNION ALL
+SELECT id, CAST(idx + (SELECT count(*) FROM fw_vocab) AS BIGINT) AS feature, {_r6('weight')} AS weight FROM fc_tfidf""")
+ORACLE["encode_sequences"] = with_ctes(["processed", "bw_vocab"], """
+SELECT p.id,
+       array_to_string(list_concat(ids, list_transform(range(0, 128 - len(ids)), lambda i: 0)), ',') AS input_ids,
+       array_to_string(list_concat(list_transform(ids, lambda i: 1), list_transform(range(0, 128 - len(ids)), lambda i: 0)), ',') AS attention_mask
+FROM processed p JOIN (
+  SELECT id, list(coalesce(v.idx + 2, 1) ORDER BY pos) AS ids FROM (
+    SELECT id, unnest(string_split(bert_text, ' ')[1:128]) AS term,
+           unnest(range(1, len(string_split(bert_text, ' ')[1:128]) + 1)) AS pos FROM processed) t
+  LEFT JOIN bw_vocab v USING (term) GROUP BY id) q USING (id)""")
