@@ -15,6 +15,11 @@ from .regex import LETTERS_ONLY, NON_WS, WORD, WS
 URL_PATTERN = f"http{NON_WS}+|www{NON_WS}+"
 MENTION_PATTERN = f"@{WORD}+"
 ANALYSIS_URL_PATTERN = f"http{NON_WS}*|{NON_WS}*\\.com{NON_WS}*|{NON_WS}*www{NON_WS}*"
+# Same matches in linear time for Java: a run of non-space characters that
+# contains '.com' or 'www' is matched from its first character (the
+# backtracking form retries every position of long runs); otherwise only
+# 'http...' can match, from its first occurrence to the end of the run.
+ANALYSIS_URL_PATTERN_JAVA = (f"(?<!{NON_WS}){NON_WS}*?(?:\\.com|www){NON_WS}*|http{NON_WS}*")
 ANALYSIS_MENTION_PATTERN = f"{WS}@{NON_WS}+"
 
 
@@ -66,7 +71,7 @@ def analysis_tokens(c) -> Column:
     replaced by spaces.
     """
     s = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
-    s = F.regexp_replace(s, ANALYSIS_URL_PATTERN, " ")
+    s = F.regexp_replace(s, ANALYSIS_URL_PATTERN_JAVA, " ")
     s = F.regexp_replace(s, ANALYSIS_MENTION_PATTERN, " ")
     s = F.translate(s, ANALYSIS_PUNCTUATION, " " * len(ANALYSIS_PUNCTUATION))
     return F.filter(F.split(squash_whitespace(s), " "), lambda t: F.length(t) > 2)

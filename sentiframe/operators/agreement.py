@@ -9,8 +9,6 @@ aggregation combines map-side; the only join back to annotation rows
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,13 +19,17 @@ def _r6(c):
     return F.round(c.cast("double"), 6)
 
 
-def n_labels(labels: list[str] = EMOTIONS):
+def n_labels(labels: list[str] = EMOTIONS, df: DataFrame | None = None):
+    """Labels per annotation row; uses a precomputed ``n_labels`` column when
+    the table carries one."""
+    if df is not None and "n_labels" in df.columns and labels == EMOTIONS:
+        return F.col("n_labels")
     return sum(F.coalesce(F.col(e), F.lit(0)) for e in labels)
 
 
 def labelled_rows(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
     """Annotation rows with at least one label."""
-    return ratings.where(n_labels(labels) != 0)
+    return ratings.where(n_labels(labels, ratings) != 0)
 
 
 def label_sums_per_example(rows: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
@@ -71,7 +73,7 @@ def agreement_per_row(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataF
 def corpus_stats(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
     """Examples, annotations, raters, unclear share, labelled rows and the
     share of labelled rows with more than three labels (A4, A5, A7)."""
-    n = n_labels(labels)
+    n = n_labels(labels, ratings)
     return ratings.agg(
         F.count_distinct("id").alias("n_examples"),
         F.count(F.lit(1)).alias("n_annotations"),
@@ -86,7 +88,7 @@ def label_cardinality(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataF
     """Share of labelled annotations per number of labels."""
     rows = labelled_rows(ratings, labels)
     total = rows.select(F.count(F.lit(1))).scalar()
-    return rows.groupBy(n_labels(labels).alias("n_labels")).agg(
+    return rows.groupBy(n_labels(labels, rows).alias("n_labels")).agg(
         F.count(F.lit(1)).alias("n_rows"), _r6(F.count(F.lit(1)) / total).alias("share"))
 
 
@@ -104,23 +106,26 @@ def mean_ratings(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
         *[F.avg(e).alias(e) for e in labels])
 
 
-def label_correlation(ratings: DataFrame, labels: list[str] = EMOTIONS,
-                      lower_triangle: bool = True) -> DataFrame:
+def label_correlation(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
     """Pearson correlation of per-example mean ratings for each label pair
-    (A10), long form (label_a, label_b, corr); lower triangle i > j (A12).
+    (A10), long form (label_a, label_b, corr), lower triangle i > j (A12).
+
+    The per-example means are assembled into one vector and Spark ML's
+    ``Correlation`` computes the k x k matrix with a single distributed
+    aggregation (tree-aggregated Gramian).  Only the label-sized matrix
+    (k x k, k = number of labels) reaches the driver to be turned into rows.
+    A label with zero variance gives NaN, as in pandas."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
 
-    One aggregate with a ``corr`` per pair over the per-example table; the
-    pair list is label-sized (<= k(k-1)/2)."""
+    spark = ratings.sparkSession
     means = mean_ratings(ratings, labels)
-    pairs = [(labels[i], labels[j]) for j, i in combinations(range(len(labels)), 2)]
-    exprs = [F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs]
-    wide = means.agg(*exprs)
-    cols = [f"{a}|{b}" for a, b in pairs]
-    long = wide.unpivot([], cols, "pair", "corr")
-    parts = F.split("pair", r"\|")
-    out = long.select(F.get(parts, 0).alias("label_a"), F.get(parts, 1).alias("label_b"),
-                      _r6(F.col("corr")).alias("corr"))
-    return out if lower_triangle else out
+    vec = VectorAssembler(inputCols=labels, outputCol="_v").transform(means).select("_v")
+    matrix = Correlation.corr(vec, "_v", "pearson").head()[0]
+    k = len(labels)
+    rows = [(labels[i], labels[j], float(matrix[i, j])) for i in range(k) for j in range(i)]
+    out = spark.createDataFrame(rows, "label_a string, label_b string, corr double")
+    return out.select("label_a", "label_b", _r6(F.col("corr")).alias("corr"))
 
 
 def label_distance(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:

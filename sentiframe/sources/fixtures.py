@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import EMOTIONS, MOOD_LABELS
-from ..session import spread_by_key, table
+from ..session import cut_lineage, spread_by_key, table
 
 # FIXED VALUES: prefixes of the rule-text fixture, in order.
 RULE_PREFIXES = [
@@ -28,7 +28,7 @@ def _moods():
     return F.array(*[F.lit(m) for m in MOOD_LABELS])
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """Annotation rows (B1) without text.
 
     ``id`` is the example (document) an event rates; ``seq`` is the explicit
@@ -50,8 +50,14 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     def flag(i):
         hit = (F.col("_k") == i) | (F.col("_two") & (F.col("_v") == i))
         return F.when(~F.col("example_very_unclear") & hit, 1).otherwise(0)
-    return base.select("id", "rater_id", "seq", "example_very_unclear",
+    n = (F.when(F.col("example_very_unclear"), 0)
+         .when(F.col("_two") & (F.col("_k") != F.col("_v")), 2).otherwise(1))
+    wide = base.select("id", "rater_id", "seq", "example_very_unclear", n.alias("n_labels"),
                        *[flag(i).alias(e) for i, e in enumerate(EMOTIONS)])
+    # The annotation source is a table of plain 0/1 columns; materialise the
+    # derived one so downstream plans see columns, not 28 inlined expressions
+    # (which otherwise dominate planning and code generation).
+    return cut_lineage(wide) if materialize else wide
 
 
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
