@@ -279,23 +279,16 @@ def q_score_texts(spark, sf_dir):
 from ..constants import BASELINE_CONFIG, FINAL_CONFIG  # noqa: E402
 
 
-def _train_and_all(spark, sf_dir):
-    sp = split_table(spark, sf_dir)
-    return sp.where(F.col("split") == "train"), sp
-
-
-def _block(spark, sf_dir, cfg, terms):
-    train, docs = _train_and_all(spark, sf_dir)
-    return FE.tfidf_block(train, docs, terms, cfg["min_df"], cfg["max_df"], cfg["max_features"],
-                          cfg["sublinear"])
+def _block(docs, cfg, terms):
+    return FE.tfidf_block(docs, terms, cfg["min_df"], cfg["max_df"], cfg["max_features"], cfg["sublinear"])
 
 
-def _word_block(spark, sf_dir, cfg):
-    return _block(spark, sf_dir, cfg, FE.word_terms("clean_text", cfg["ngram"]))
+def _word_block(docs, cfg):
+    return _block(docs, cfg, FE.word_terms("clean_text", cfg["ngram"]))
 
 
-def _char_block(spark, sf_dir, cfg):
-    return _block(spark, sf_dir, cfg, FE.char_terms("clean_text", cfg["ngram"]))
+def _char_block(docs, cfg):
+    return _block(docs, cfg, FE.char_terms("clean_text", cfg["ngram"]))
 
 
 @query("word_ngrams")
@@ -312,30 +305,32 @@ def q_char_ngrams(spark, sf_dir):
 
 @query("vocabulary")
 def q_vocabulary(spark, sf_dir):
-    vocab, _ = _word_block(spark, sf_dir, FINAL_CONFIG["word"])
+    vocab, _ = _word_block(split_table(spark, sf_dir), FINAL_CONFIG["word"])
     return vocab
 
 
 @query("tfidf_word")
 def q_tfidf_word(spark, sf_dir):
-    _, w = _word_block(spark, sf_dir, BASELINE_CONFIG["word"])
+    _, w = _word_block(split_table(spark, sf_dir), BASELINE_CONFIG["word"])
     return w.select(F.col("doc").alias("id"), "term", F.round("weight", 6).alias("weight"))
 
 
 @query("tfidf_sublinear")
 def q_tfidf_sublinear(spark, sf_dir):
-    _, w = _word_block(spark, sf_dir, FINAL_CONFIG["word"])
+    _, w = _word_block(split_table(spark, sf_dir), FINAL_CONFIG["word"])
     return w.select(F.col("doc").alias("id"), "term", F.round("weight", 6).alias("weight"))
 
 
 @query("feature_union")
 def q_feature_union(spark, sf_dir):
-    blocks = [_word_block(spark, sf_dir, FINAL_CONFIG["word"]), _char_block(spark, sf_dir, FINAL_CONFIG["char"])]
+    docs = split_table(spark, sf_dir)
+    blocks = [_word_block(docs, FINAL_CONFIG["word"]), _char_block(docs, FINAL_CONFIG["char"])]
     u = FE.feature_union(blocks)
     return u.select(F.col("doc").alias("id"), "feature", F.round("weight", 6).alias("weight"))
 
 
 @query("encode_sequences")
 def q_encode_sequences(spark, sf_dir):
-    vocab, _ = _word_block(spark, sf_dir, BASELINE_CONFIG["word"])
-    return FE.encode_sequences(processed(spark, sf_dir), vocab)
+    docs = split_table(spark, sf_dir)
+    vocab, _ = _word_block(docs, BASELINE_CONFIG["word"])
+    return FE.encode_sequences(docs, vocab)
