@@ -6,6 +6,7 @@ over whole tables and whole texts.  Column names equal the oracle SQL's.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -334,3 +335,19 @@ def q_encode_sequences(spark, sf_dir):
     docs = split_table(spark, sf_dir)
     vocab, _ = _word_block(docs, BASELINE_CONFIG["word"])
     return FE.encode_sequences(docs, vocab)
+
+
+# --- sources -------------------------------------------------------------------------
+from ..sources import io as IO  # noqa: E402
+
+
+@query("scan_union")
+def q_scan_union(spark, sf_dir):
+    """Annotation rows written as several CSV parts and scanned back with an
+    explicit schema (S1, S8, U1)."""
+    import hashlib
+    ratings = FX.ratings(spark, sf_dir)
+    tag = hashlib.md5(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    path = IO.scratch_path(spark, "csv-parts", tag)
+    IO.write_csv(ratings.repartition(3), path)
+    return IO.scan_parts(spark, path, IO.annotation_schema()).select("id", "rater_id", "seq", "n_labels")

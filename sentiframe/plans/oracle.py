@@ -546,3 +546,5 @@ FROM processed p JOIN (
     SELECT id, unnest(string_split(bert_text, ' ')[1:128]) AS term,
            unnest(range(1, len(string_split(bert_text, ' ')[1:128]) + 1)) AS pos FROM processed) t
   LEFT JOIN bw_vocab v USING (term) GROUP BY id) q USING (id)""")
+
+ORACLE["scan_union"] = with_ctes(["ratings"], "SELECT id, rater_id, seq, CAST(n_labels AS INTEGER) AS n_labels FROM ratings")
