@@ -351,3 +351,32 @@ def q_scan_union(spark, sf_dir):
     path = IO.scratch_path(spark, "csv-parts", tag)
     IO.write_csv(ratings.repartition(3), path)
     return IO.scan_parts(spark, path, IO.annotation_schema()).select("id", "rater_id", "seq", "n_labels")
+
+
+# --- models (rows-only: no SQL oracle for an iterative optimiser) ------------------
+from ..operators import model as MD  # noqa: E402
+
+
+def _features(docs, blocks):
+    u = FE.feature_union(blocks)
+    size = sum(v.count() for v, _ in blocks)
+    return MD.assemble(docs, u, size)
+
+
+@query("train_baseline")
+def q_train_baseline(spark, sf_dir):
+    """Unigram TF-IDF (10k) + logistic regression, C = 1: test-set metrics (M1, M3)."""
+    docs = split_table(spark, sf_dir)
+    feats = cut_lineage(_features(docs, [_word_block(docs, BASELINE_CONFIG["word"])]))
+    preds = MD.train_and_predict(feats, BASELINE_CONFIG["C"], BASELINE_CONFIG["max_iter"])
+    return M.experiment_row(BASELINE_CONFIG["experiment"], preds)
+
+
+@query("train_final")
+def q_train_final(spark, sf_dir):
+    """Word (1,2) + char_wb (3,5) sublinear TF-IDF + logistic regression, C = 1.5 (M2, M3)."""
+    docs = split_table(spark, sf_dir)
+    blocks = [_word_block(docs, FINAL_CONFIG["word"]), _char_block(docs, FINAL_CONFIG["char"])]
+    feats = cut_lineage(_features(docs, blocks))
+    preds = MD.train_and_predict(feats, FINAL_CONFIG["C"], FINAL_CONFIG["max_iter"])
+    return M.experiment_row(FINAL_CONFIG["experiment"], preds)
