@@ -272,7 +272,7 @@ ORACLE["log_odds_words_contains"] = _log_odds_sql("members_contains")
 ORACLE["top_words"] = (_log_odds_sql("members_exact").replace(
     "SELECT emotion, word, round(z, 6) AS odds, round(freq, 6) AS freq FROM z WHERE z >= 3",
     """SELECT * FROM (SELECT emotion, word, odds, freq,
-         row_number() OVER (PARTITION BY emotion ORDER BY odds DESC, word) AS rank
+         CAST(row_number() OVER (PARTITION BY emotion ORDER BY odds DESC, word) AS INTEGER) AS rank
        FROM (SELECT emotion, word, round(z, 6) AS odds, round(freq, 6) AS freq FROM z WHERE z >= 3))
      WHERE rank <= 10"""))
 
