@@ -76,3 +76,17 @@ def test_taxonomy_keeps_duplicates(spark):
     assert got == {"x": "0,0", "y": "4"}
     labels = [r.label for r in TX.new_label_table(spark).orderBy("idx").collect()]
     assert labels == ["anger", "disgust", "fear", "joy", "neutral", "sadness", "surprise"]
+
+
+def test_best_run_from_training_log(spark):
+    import json
+    state = {"log_history": [
+        {"epoch": 1.0, "step": 10, "loss": 0.9},
+        {"epoch": 1.0, "step": 10, "eval_f1": 0.61, "eval_loss": 0.8},
+        {"epoch": 2.0, "step": 20, "eval_f1": 0.68, "eval_loss": 0.7},
+        {"epoch": 3.0, "step": 30, "eval_f1": 0.66, "eval_loss": 0.75}]}
+    raw = spark.createDataFrame([(json.dumps(state),)], "value string")
+    log = raw.select(F.from_json("value", M.TRAIN_LOG_SCHEMA).alias("s")).select("s.*")
+    assert M.eval_epochs(log).count() == 3
+    best = M.best_run(log).first()
+    assert (best.epoch, best.step, best.eval_f1) == (2.0, 20, 0.68)
