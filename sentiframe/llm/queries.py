@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, line_runs
+from . import bpe, line_runs, simhash_trie
 
 QUERIES = {
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op9_line_dedup": line_runs.op9_line_dedup,
+    "op10_simhash": simhash_trie.op10_simhash,
 }
 
 ORACLE = {
