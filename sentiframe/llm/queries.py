@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, line_runs, simhash_trie
+from . import bpe, line_runs, mixing, simhash_trie
 
 QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op9_line_dedup": line_runs.op9_line_dedup,
     "op10_simhash": simhash_trie.op10_simhash,
