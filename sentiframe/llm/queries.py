@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, line_runs, mixing, simhash_trie
+from . import bpe, gam, line_runs, mixing, rank_language, simhash_trie
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op3_quality": gam.op3_quality,
     "op7_byte_bpe": bpe.op7_byte_bpe,
+    "op8_language": rank_language.op8_language,
     "op9_line_dedup": line_runs.op9_line_dedup,
     "op10_simhash": simhash_trie.op10_simhash,
 }
