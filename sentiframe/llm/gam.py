@@ -29,8 +29,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
-
 #: Bound of the training sample, in rows.
 SAMPLE = 20_000
 BINS, ROUNDS, PAIR_ROUNDS, PAIRS, RATE, LEAVES, MIN_LEAF = 32, 120, 40, 6, 0.15, 4, 20
@@ -206,15 +204,16 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPL
 
 def score(docs: DataFrame, model: Additive, columns: list[str], text_col: str = "text") -> DataFrame:
     """``columns`` of ``docs`` and ``_score``."""
-    source = docs.select(*columns, F.col(text_col).alias("_scored"))
+    source = docs.select(*columns, *([] if text_col in columns else [text_col]))
+    at = source.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = source.drop("_scored").withColumn("_score", F.lit(0.0)).schema
+    out = source.select(*columns).withColumn("_score", F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([features(t.as_py()) for t in batch.column(batch.num_columns - 1)], float)
+            x = np.array([features(t.as_py()) for t in batch.column(at)], float)
             values = shared.value.score(x.reshape(batch.num_rows, len(FEATURES)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(values)], names=out.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(columns)], pa.array(values)], names=out.names)
 
     return source.mapInArrow(run, out)
 

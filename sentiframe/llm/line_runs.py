@@ -105,11 +105,13 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, n_batches: int = 4, fano
     return written(lost.groupBy("id", "row").agg(F.collect_set("pos").alias("dropped")), "dropped")
 
 
-def line_dedup(docs: DataFrame, min_chars: int = 10, n_batches: int = 4, fanout: int = 2) -> DataFrame:
-    """(doc_id, row, n_lines, n_dropped, kept text) of every row of ``docs``."""
-    docs = docs.select("doc_id", "text")
+def line_dedup(docs: DataFrame, min_chars: int = 10, n_batches: int = 4, fanout: int = 2,
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, kept columns, n_lines, n_dropped, remaining text) of every row
+    of ``docs``."""
+    docs = docs.select("doc_id", "text", *keep)
     drops = dropped_lines(docs, min_chars, n_batches, fanout)
-    split = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("row"),
+    split = docs.select("doc_id", *keep, F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("row"),
                         F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
     both = split.join(drops, ["id", "row"], "left")
     n_lines = F.size("lines")
@@ -117,7 +119,7 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, n_batches: int = 4, fanout:
     left = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("dropped"))
     kept = F.when(F.col("dropped").isNull(), F.array_join("lines", "\n")).otherwise(
         F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n"))
-    return both.select("doc_id", "row", n_lines.cast("long").alias("n_lines"),
+    return both.select("doc_id", *keep, n_lines.cast("long").alias("n_lines"),
                        F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("text"))
 
 

@@ -176,7 +176,7 @@ def trie_self_join(distinct: DataFrame, budget: int = 2, subtree: int = 1 << 15)
                       F.greatest("own", F.col("own").bitwiseXOR(F.col("mask"))).alias("hi"),
                       (F.col("own") > F.col("own").bitwiseXOR(F.col("mask"))).alias("second")))
 
-    def join(key, table: pa.Table) -> pa.Table:
+    def join(key, table):
         fp = table.column("fp").to_numpy().view(np.uint64)
         second = table.column("second").to_numpy(zero_copy_only=False)
         values, other = np.sort(fp[~second]), None
