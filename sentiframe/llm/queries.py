@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, gam, line_runs, mixing, rank_language, simhash_trie
+from . import bpe, gam, line_crf, line_runs, mixing, rank_language, simhash_trie
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_quality_rules": line_crf.op2_quality_rules,
     "op3_quality": gam.op3_quality,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_language": rank_language.op8_language,
