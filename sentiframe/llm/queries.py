@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, gam, line_crf, line_runs, mixing, multi_index, rank_language, simhash_trie, url_filter
+from . import bpe, gam, line_crf, line_runs, mixing, multi_index, pii, rank_language, simhash_trie, url_filter
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_quality_rules": line_crf.op2_quality_rules,
     "op3_quality": gam.op3_quality,
     "op4_nearest": multi_index.op4_nearest,
+    "op5_pii": pii.op5_pii,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_byte_bpe": bpe.op7_byte_bpe,
     "op8_language": rank_language.op8_language,
