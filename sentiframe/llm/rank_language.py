@@ -31,6 +31,8 @@ from .gam import fold
 #: Profile length, longest n-gram, bound of the training texts per language.
 LENGTH, MOST_N, SAMPLE = 300, 3, 4_000
 UNKNOWN = "und"
+#: Stands for a blank in a packed n-gram; not 0, which would hide a leading one.
+BLANK = np.int64(1)
 _LETTERS: list[np.ndarray] = []
 
 
@@ -43,27 +45,26 @@ def _letters() -> np.ndarray:
 
 def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """(n-gram, count) of a text, n-grams packed as 21 bits per character.
-    Runs of other characters count as one blank (code 0); an n-gram holds a
-    blank at its ends only."""
+    Runs of other characters count as one blank; an n-gram holds a blank at
+    its ends only."""
     codes = np.frombuffer((text or "").lower().encode("utf-32-le"), np.uint32)
     letter = _letters()[codes]
     if not letter.any():
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # one blank after each word
-    x = np.where(letter, codes, 0)[keep].astype(np.int64)
-    x = np.concatenate(([0], x, [0])) if x[-1] else np.concatenate(([0], x))
-    grams = [x[x > 0]]
-    if MOST_N > 1:
-        two = (x[:-1] << 21) | x[1:]
-        grams.append(two[(x[:-1] > 0) | (x[1:] > 0)])
-    for n in range(3, MOST_N + 1):
-        parts = [x[i:len(x) - n + 1 + i] for i in range(n)]
-        gram = parts[0]
-        for p in parts[1:]:
-            gram = (gram << 21) | p
-        inner = np.logical_and.reduce([p > 0 for p in parts[1:-1]])
-        grams.append(gram[inner])
+    x = np.where(letter, codes, BLANK)[keep].astype(np.int64)
+    x = np.concatenate(([BLANK], x, [BLANK]))[:len(x) + 1 + int(x[-1] != BLANK)]
+    inner = x != BLANK
+    grams = [x[inner]]
+    for n in range(2, MOST_N + 1):
+        gram = np.zeros(max(0, len(x) - n + 1), np.int64)
+        whole = np.ones(len(gram), bool)
+        for i in range(n):
+            gram = (gram << 21) | x[i:len(x) - n + 1 + i]
+            if 0 < i < n - 1:
+                whole &= inner[i:len(x) - n + 1 + i]
+        grams.append(gram[whole])
     return np.unique(np.concatenate(grams), return_counts=True)
 
 

@@ -164,7 +164,7 @@ def prefix_bits(n: int, subtree: int) -> int:
     return min(24, max(0, math.ceil(math.log2(max(1, n) / subtree))))
 
 
-def trie_self_join(distinct: DataFrame, budget: int = 2, subtree: int = 1 << 15) -> DataFrame:
+def trie_self_join(distinct: DataFrame, budget: int = 2, subtree: int = 1 << 13) -> DataFrame:
     """(a, b) spanning links, a > b, between distinct values of ``fp`` that
     differ in at most ``budget`` bits."""
     depth = prefix_bits(distinct.count(), subtree)
@@ -232,7 +232,7 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2, subtree: int = 1 << 15) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2, subtree: int = 1 << 13) -> DataFrame:
     """(doc_id, fp, component_id, group_size) of every row of ``docs``."""
     prints = written(fingerprints(docs, shingle), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "distinct")
