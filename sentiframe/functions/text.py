@@ -1,7 +1,7 @@
 """Text scalar functions: Column -> Column, built-in expressions only.
 
-All functions stay inside whole-stage codegen (no Python UDF) and work on
-batch and streaming DataFrames alike.
+No Python UDF; batch and streaming DataFrames alike.  ``filter``, ``transform``
+and ``zip_with`` are evaluated by interpreted expressions within the JVM.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..constants import ANALYSIS_PUNCTUATION, ASCII_PUNCTUATION, STOPWORDS
 from .regex import LETTERS_ONLY, NON_WS, WORD, WS
 
+# FIXED VALUES: what counts as a URL and as a mention.
 URL_PATTERN = f"http{NON_WS}+|www{NON_WS}+"
 MENTION_PATTERN = f"@{WORD}+"
 ANALYSIS_URL_PATTERN = f"http{NON_WS}*|{NON_WS}*\\.com{NON_WS}*|{NON_WS}*www{NON_WS}*"
@@ -52,8 +53,7 @@ def clean_text(c) -> Column:
     """
     s = F.translate(_strip_social(c), ASCII_PUNCTUATION, "")
     tokens = F.split(squash_whitespace(s), " ")
-    stop = F.array(*[F.lit(w) for w in STOPWORDS])
-    kept = F.filter(tokens, lambda t: t.rlike(f"\\A{LETTERS_ONLY}\\z") & ~F.array_contains(stop, t))
+    kept = F.filter(tokens, lambda t: t.rlike(f"\\A{LETTERS_ONLY}\\z") & ~t.isin(STOPWORDS))
     return F.array_join(kept, " ")
 
 

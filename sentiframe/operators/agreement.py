@@ -2,9 +2,9 @@
 
 Everything is computed from one ``groupBy(id)`` with one sum per label (the
 reference scans the data once per agreement threshold).  Wide-to-long turns
-use ``unpivot`` on label-sized results.  Hot ids are harmless: the per-id
-aggregation combines map-side; the only join back to annotation rows
-(``agreement_per_row``) is a shuffle join whose skew AQE splits.
+use ``unpivot`` on label-sized results.  Hot ids: the per-id aggregation combines
+map-side, and the one join back to annotation rows (``agreement_per_row``)
+has sides that AQE can split.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import EMOTIONS, SENTIMENT_MAPPING
+from ..session import written
 
 
 def _r6(c):
@@ -38,19 +39,19 @@ def label_sums_per_example(rows: DataFrame, labels: list[str] = EMOTIONS) -> Dat
                                   *[F.sum(e).alias(e) for e in labels])
 
 
-def _in_range(e: str, lo: int, hi: int = 100):
-    return (F.col(e) >= lo) & (F.col(e) <= hi)
+def _in_range(e: str, lo: int, hi: int | None = None):
+    """Rater sum of at least ``lo``, and at most ``hi`` unless that is None."""
+    return F.col(e) >= lo if hi is None else F.col(e).between(lo, hi)
 
 
-def n_agreed(labels: list[str], lo: int, hi: int = 100):
-    """Number of labels whose rater sum is within [lo, hi]."""
+def n_agreed(labels: list[str], lo: int, hi: int | None = None):
+    """Number of labels whose rater sum is in range."""
     return sum(_in_range(e, lo, hi).cast("int") for e in labels)
 
 
-def agreed(sums_row_labels: list[str], lo: int, hi: int = 100) -> F.Column:
-    """Comma-joined labels whose rater sum is within [lo, hi], in label order."""
-    return F.concat_ws(",", *[F.when((F.col(e) >= lo) & (F.col(e) <= hi), F.lit(e))
-                              for e in sums_row_labels])
+def agreed(sums_row_labels: list[str], lo: int, hi: int | None = None) -> F.Column:
+    """Comma-joined labels whose rater sum is in range, in label order."""
+    return F.concat_ws(",", *[F.when(_in_range(e, lo, hi), F.lit(e)) for e in sums_row_labels])
 
 
 def agreement_sets(sums: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
@@ -63,10 +64,14 @@ def agreement_sets(sums: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
 
 
 def agreement_per_row(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
-    """Per-example agreement mapped back onto each labelled annotation row."""
+    """Per-example agreement mapped back onto each labelled annotation row.
+
+    The sets are written first: then both sides of the join are plain
+    shuffles, which AQE can split where one id holds many rows (it does not
+    split a side that an aggregation feeds)."""
     rows = labelled_rows(ratings, labels)
-    sets = agreement_sets(label_sums_per_example(rows, labels), labels).select(
-        "id", "unique_labels", "agree_2", "agree_3", "no_agree")
+    sets = written(agreement_sets(label_sums_per_example(rows, labels), labels).select(
+        "id", "unique_labels", "agree_2", "agree_3", "no_agree"), "agreement")
     return rows.select("seq", "id").join(sets, "id", "left")
 
 
@@ -106,33 +111,49 @@ def mean_ratings(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
         *[F.avg(e).alias(e) for e in labels])
 
 
-def label_correlation(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
-    """Pearson correlation of per-example mean ratings for each label pair
-    (A10), long form (label_a, label_b, corr), lower triangle i > j (A12).
-
-    The per-example means are assembled into one vector and Spark ML's
-    ``Correlation`` computes the k x k matrix with a single distributed
-    aggregation (tree-aggregated Gramian).  Only the label-sized matrix
-    (k x k, k = number of labels) reaches the driver to be turned into rows.
-    A label with zero variance gives NaN, as in pandas."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+def _correlations(ratings: DataFrame, labels: list[str]) -> DataFrame:
+    """(label_a, label_b, r) of every unordered label pair; NaN where a label
+    does not vary, as in pandas.
 
-    spark = ratings.sparkSession
+    An example's means are a sparse vector (few labels are rated), led by a
+    constant 1.  The products of its entries, summed by pair of positions, are
+    the number of examples, the sums, and the cross products at once: one
+    label-sized aggregation, which then feeds every pair."""
     means = mean_ratings(ratings, labels)
-    vec = VectorAssembler(inputCols=labels, outputCol="_v").transform(means).select("_v")
-    matrix = Correlation.corr(vec, "_v", "pearson").head()[0]
-    k = len(labels)
-    rows = [(labels[i], labels[j], float(matrix[i, j])) for i in range(k) for j in range(i)]
-    out = spark.createDataFrame(rows, "label_a string, label_b string, corr double")
-    return out.select("label_a", "label_b", _r6(F.col("corr")).alias("corr"))
+    entries = F.array(F.struct(F.lit(0).alias("i"), F.lit(1.0).alias("x")),
+                      *[F.struct(F.lit(i + 1).alias("i"), F.col(e).cast("double").alias("x")) for i, e in enumerate(labels)])
+    sparse = means.select(F.filter(entries, lambda s: s["x"] != 0).alias("v")).select(
+        F.explode("v").alias("a"), "v").select("a", F.explode("v").alias("b"))
+    moments = sparse.where(F.col("a.i") >= F.col("b.i")).groupBy(
+        F.col("a.i").alias("i"), F.col("b.i").alias("j")).agg(F.sum(F.col("a.x") * F.col("b.x")).alias("m"))
+    by_pair = moments.agg(F.map_from_entries(F.collect_list(F.struct(
+        F.concat_ws("|", F.col("i").cast("string"), F.col("j").cast("string")), "m"))).alias("m"))
+    pairs = F.array(*[F.struct(F.lit(i + 1).alias("i"), F.lit(j + 1).alias("j"), F.lit(labels[i]).alias("a"), F.lit(labels[j]).alias("b"))
+                      for i in range(len(labels)) for j in range(i)])
+    rows = by_pair.select("m", F.explode(pairs).alias("p"))
+
+    def moment(i, j):
+        key = F.concat_ws("|", i.cast("string"), j.cast("string"))
+        return F.coalesce(F.try_element_at("m", key), F.lit(0.0))
+
+    zero, i, j = F.lit(0), F.col("p.i"), F.col("p.j")
+    n = moment(zero, zero)
+    spread = lambda k: n * moment(k, k) - moment(k, zero) * moment(k, zero)
+    cross = n * moment(i, j) - moment(i, zero) * moment(j, zero)
+    r = F.when((spread(i) > 0) & (spread(j) > 0), cross / (F.sqrt(spread(i)) * F.sqrt(spread(j)))).otherwise(F.lit(float("nan")))
+    return rows.select(F.col("p.a").alias("label_a"), F.col("p.b").alias("label_b"), r.alias("r"))
+
+
+def label_correlation(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
+    """Pearson correlation of per-example mean ratings for each label pair
+    (A10), long form (label_a, label_b, corr), lower triangle i > j (A12)."""
+    return _correlations(ratings, labels).select("label_a", "label_b", _r6(F.col("r")).alias("corr"))
 
 
 def label_distance(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
     """Correlation distance 1 - r per unordered label pair."""
-    corr = label_correlation(ratings, labels)
-    return corr.select(F.col("label_b").alias("label_a"), F.col("label_a").alias("label_b"),
-                       _r6(F.lit(1.0) - F.col("corr")).alias("distance"))
+    return _correlations(ratings, labels).select(
+        F.col("label_b").alias("label_a"), F.col("label_a").alias("label_b"), _r6(F.lit(1.0) - F.col("r")).alias("distance"))
 
 
 def agreement_coverage(ratings: DataFrame, labels: list[str] = EMOTIONS,

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import SPLIT_SEED, TEST_SIZE
+from ..session import written
 
 
 def _hashed(df: DataFrame, key_col: str, seed: str, bucket_chars: int) -> DataFrame:
@@ -74,7 +75,7 @@ def train_val_test_split(df: DataFrame, class_col: str, key_col: str,
                          test_size: float = TEST_SIZE, val_size: float = 0.1,
                          seed: str = SPLIT_SEED) -> DataFrame:
     """Test split first, then a validation share of the training rows."""
-    first = stratified_split(df, class_col, key_col, test_size, seed)
+    first = written(stratified_split(df, class_col, key_col, test_size, seed), "split")
     train = first.where(F.col("split") == "train").drop("split")
     test = first.where(F.col("split") == "test")
     second = stratified_split(train, class_col, key_col, val_size, seed + "|val",
@@ -82,14 +83,20 @@ def train_val_test_split(df: DataFrame, class_col: str, key_col: str,
     return second.unionByName(test)
 
 
-def fixed_sample(df: DataFrame, key_col: str, n: int, seed: str = SPLIT_SEED) -> DataFrame:
-    """Seeded sample of min(n, rows) rows without replacement (O3).
-
-    The sample is a bounded top-n by hash (TakeOrdered: each task keeps n
-    rows); ``n`` is the caller's explicit sample size.
-    """
-    keyed = df.withColumn("_h", F.md5(F.concat(F.lit(seed + "|"), F.col(key_col))))
-    return keyed.orderBy("_h", key_col).limit(n).drop("_h")
+def fixed_sample(df: DataFrame, key_col: str, n: int, seed: str = SPLIT_SEED, bucket_chars: int = 3) -> DataFrame:
+    """Seeded sample of min(n, rows) rows without replacement (O3): the first
+    n by hash, then key.  Counts per hash bucket tell which buckets are in
+    whole and which one is in part; only that one is ranked."""
+    keyed = _hashed(df, key_col, seed, bucket_chars)
+    counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # 16^bucket_chars rows at most
+    plan = counts.select("_b", F.sum("_n").over(running).alias("_cum"), "_n").where(F.col("_cum") - F.col("_n") < n)
+    tagged = keyed.join(F.broadcast(plan), "_b")
+    whole = tagged.where(F.col("_cum") <= n)
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key_col))
+    part = (tagged.where(F.col("_cum") > n).withColumn("_r", rank)
+            .where(F.col("_cum") - F.col("_n") + F.col("_r") <= n))
+    return whole.select(*df.columns).unionByName(part.select(*df.columns))
 
 
 def split_overlap(split_df: DataFrame, key_col: str = "clean_text",

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..constants import AGREEMENT_MIN, EMOTIONS, LOG_ODDS_MIN_Z
 from ..functions.text import analysis_tokens
+from ..session import written
 from .agreement import agreed
 
 
@@ -73,12 +74,12 @@ def log_odds(ratings: DataFrame, examples: DataFrame, labels: list[str] = EMOTIO
              min_z: float | None = LOG_ODDS_MIN_Z) -> DataFrame:
     """Log-odds ratio with informative prior per (label, word).
 
-    Returns (emotion, word, odds, freq) with ``odds >= min_z`` (the reference
-    keeps z >= 3).  Words a label never uses always score <= 0, so the
+    Returns (emotion, word, z, freq) with ``z >= min_z`` (3 by default).  The
+    counts per example are written once, so texts are tokenised once.  Words a label never uses always score <= 0, so the
     thresholded output needs only the (label, word) pairs that occur.
     ``min_z=None`` keeps every occurring pair.
     """
-    wc = weighted_word_counts(ratings, examples)
+    wc = written(weighted_word_counts(ratings, examples), "word-counts")
     members = label_membership(ratings, labels, match)
     c1 = members.join(wc, "id").groupBy("label", "word").agg(F.sum("n").alias("c1"))
     totals = wc.groupBy("word").agg(F.sum("n").alias("t"))
@@ -97,18 +98,23 @@ def log_odds(ratings: DataFrame, examples: DataFrame, labels: list[str] = EMOTIO
     out = j.select(F.col("label").alias("emotion"), "word",
                    F.when(t == 0, F.lit(0.0)).otherwise(z).alias("z"),
                    (c1c / n1c).alias("freq"))
-    if min_z is not None:
-        out = out.where(F.col("z") >= min_z)
-    return out.select("emotion", "word", F.round("z", 6).alias("odds"),
-                      F.round("freq", 6).alias("freq"))
+    return out if min_z is None else out.where(F.col("z") >= min_z)
+
+
+def rounded(scored: DataFrame) -> DataFrame:
+    """Log-odds rows as they leave a query: 6 decimals."""
+    return scored.select(*[c for c in scored.columns if c not in ("z", "freq")],
+                         F.round("z", 6).alias("odds"), F.round("freq", 6).alias("freq"))
 
 
 def top_k_per_group(df: DataFrame, group: str, order: list, k: int,
-                    tiebreak: str, buckets: int = 64) -> DataFrame:
+                    tiebreak: str) -> DataFrame:
     """Top-k rows per group in two phases so no task sorts a whole group.
 
     Phase 1 keeps the top k inside (group, hash bucket of the tiebreak
-    column); phase 2 ranks the <= k * buckets survivors per group."""
+    column), as many buckets as shuffle partitions; phase 2 ranks the
+    <= k * buckets survivors per group."""
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     b = F.pmod(F.xxhash64(F.col(tiebreak)), F.lit(buckets))
     w1 = Window.partitionBy(group, "_bucket").orderBy(*order)
     stage1 = (df.withColumn("_bucket", b).withColumn("_r", F.row_number().over(w1))
@@ -119,6 +125,6 @@ def top_k_per_group(df: DataFrame, group: str, order: list, k: int,
 
 def top_words(ratings: DataFrame, examples: DataFrame, k: int = 10,
               match: str = "exact") -> DataFrame:
-    """Top-k characteristic words per label by z."""
+    """Top-k characteristic words per label by unrounded z."""
     scored = log_odds(ratings, examples, match=match)
-    return top_k_per_group(scored, "emotion", [F.desc("odds"), F.asc("word")], k, "word")
+    return rounded(top_k_per_group(scored, "emotion", [F.desc("z"), F.asc("word")], k, "word"))

@@ -6,23 +6,25 @@ over whole tables and whole texts.  Column names equal the oracle SQL's.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import BASELINE_CONFIG, EKMAN_MAPPING, EMOTIONS, FINAL_CONFIG
 from ..functions import text as T
 from ..operators import agreement as AG
 from ..operators import features as FE
 from ..operators import metrics as M
+from ..operators import model as MD
 from ..operators import pipeline as P
 from ..operators import scoring as SC
 from ..operators import taxonomy as TX
 from ..operators import split as SP
 from ..operators import words as W
-from ..session import cut_lineage, tune
+from ..session import shared_folder, table, written
 from ..sources import fixtures as FX
+from ..sources import io as IO
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -30,18 +32,9 @@ QUERIES: dict[str, QueryFn] = {}
 PAGE_ID_OFFSET = 1_000_000_000
 
 
-def _tuned(fn: QueryFn) -> QueryFn:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tune(spark)
-        return fn(spark, sf_dir)
-    run.__name__ = getattr(fn, "__name__", "query")
-    run.__doc__ = fn.__doc__
-    return run
-
-
 def query(name: str):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = _tuned(fn)
+        QUERIES[name] = fn
         return fn
     return deco
 
@@ -53,13 +46,13 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processed rows with their split, materialised once per query.
+    """Processed rows with their split, written once per query.
 
-    Downstream features read it several times (train fit, full transform,
-    bucket counts); a reliable checkpoint in the shared checkpoint folder cuts
-    the lineage so cleaning and dedup are not recomputed per branch and a
-    lost executor does not replay them."""
-    return cut_lineage(SP.stratified_split(processed(spark, sf_dir), "mood", "clean_text"))
+    The processed rows are written before the split counts and ranks them,
+    and the split before the features read it, so cleaning and the vote run
+    once and a lost executor does not replay them."""
+    rows = written(processed(spark, sf_dir), "processed")
+    return written(SP.stratified_split(rows, "mood", "clean_text"), "split")
 
 
 def _all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,6 +126,20 @@ def q_stratified_split(spark, sf_dir):
     return split_table(spark, sf_dir).select("id", "mood", "split")
 
 
+@query("train_val_test_split")
+def q_train_val_test_split(spark, sf_dir):
+    rows = written(processed(spark, sf_dir), "processed")
+    return SP.train_val_test_split(rows, "mood", "clean_text").select("id", "mood", "split")
+
+
+@query("fixed_sample")
+def q_fixed_sample(spark, sf_dir):
+    """A quarter as many documents as there are pages (O3)."""
+    n = max(1, table(spark, sf_dir, "pages").count() // 4)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("key"), "lang")
+    return SP.fixed_sample(docs, "key", n).select("id", "lang")
+
+
 @query("split_overlap")
 def q_split_overlap(spark, sf_dir):
     return SP.split_overlap(split_table(spark, sf_dir))
@@ -157,7 +164,7 @@ for _name, _fn in {
     "first_per_key": AG.first_per_key,
     "sentiment_bucket": AG.sentiment_buckets,
 }.items():
-    QUERIES[_name] = _tuned(_ratings_query(_fn))
+    QUERIES[_name] = _ratings_query(_fn)
 
 
 @query("mean_ratings")
@@ -175,12 +182,12 @@ def q_word_counts(spark, sf_dir):
 
 @query("log_odds_words")
 def q_log_odds_words(spark, sf_dir):
-    return W.log_odds(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir), match="exact")
+    return W.rounded(W.log_odds(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir), match="exact"))
 
 
 @query("log_odds_words_contains")
 def q_log_odds_words_contains(spark, sf_dir):
-    return W.log_odds(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir), match="contains")
+    return W.rounded(W.log_odds(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir), match="contains"))
 
 
 @query("top_words")
@@ -232,31 +239,65 @@ def q_experiment_comparison(spark, sf_dir):
                               M.experiment_row("Fixture_Predictions", _preds(spark, sf_dir)))
 
 
+def _tsv(spark, rows, schema, header, multi_line):
+    """Rows through a TSV table in the shared folder, as the text formats have it."""
+    path = shared_folder(spark, "tsv")
+    IO.write_csv(rows, path, sep="\t", header=header)
+    return IO.scan_parts(spark, path, schema, sep="\t", header=header, multi_line=multi_line)
+
+
+def _multilabel(spark, sf_dir):
+    """Predictions (headered TSV) paired by id with truth (headerless TSV)."""
+    preds = FX.multilabel_predictions(spark, sf_dir)
+    preds = _tsv(spark, preds, preds.schema, True, False)
+    truth = _tsv(spark, FX.multilabel_truth(spark, sf_dir), IO.LABELLED_TSV_SCHEMA, False, False)
+    return M.pair_with_truth(preds, truth, 10)
+
+
 @query("multilabel_metrics")
 def q_multilabel_metrics(spark, sf_dir):
-    return M.multilabel_metrics(FX.multilabel_scores(spark, sf_dir))
+    return M.multilabel_metrics(_multilabel(spark, sf_dir))
 
 
 @query("multilabel_per_label")
 def q_multilabel_per_label(spark, sf_dir):
-    return M.multilabel_per_label(FX.multilabel_scores(spark, sf_dir))
+    return M.multilabel_per_label(_multilabel(spark, sf_dir))
+
+
+def _labelled(spark, sf_dir):
+    """Labelled texts (headerless TSV; texts may hold line breaks)."""
+    return _tsv(spark, FX.labelled_tsv(spark, sf_dir), IO.LABELLED_TSV_SCHEMA, False, True)
 
 
 @query("multi_hot")
 def q_multi_hot(spark, sf_dir):
-    return M.multi_hot_rows(FX.labelled_tsv(spark, sf_dir), 28)
+    return M.multi_hot_rows(_labelled(spark, sf_dir), 28)
 
 
 # --- taxonomy ----------------------------------------------------------------------
 
+def _taxonomy(spark):
+    """(old labels, mapping) read from a label list file and a JSON mapping."""
+    path = shared_folder(spark, "taxonomy")
+    lines = spark.range(1).select(F.lit("\n".join(EMOTIONS)).alias("value"))
+    lines.write.text(f"{path}/labels")
+    spark.range(1).select(F.to_json(F.create_map(*[x for g, ms in EKMAN_MAPPING.items() for x in (
+        F.lit(g), F.array(*[F.lit(m) for m in ms]))])).alias("value")).write.text(f"{path}/mapping")
+    labels = [r["label"] for r in IO.read_label_list(spark, f"{path}/labels").orderBy("idx").collect()]
+    mapping: dict[str, list[str]] = {}
+    for r in IO.read_mapping(spark, f"{path}/mapping").collect():
+        mapping.setdefault(r["group"], []).append(r["member"])
+    return labels, mapping
+
+
 @query("taxonomy_replace")
 def q_taxonomy_replace(spark, sf_dir):
-    return TX.replace_labels(FX.labelled_tsv(spark, sf_dir))
+    return TX.replace_labels(_labelled(spark, sf_dir), *_taxonomy(spark))
 
 
 @query("taxonomy_labels")
 def q_taxonomy_labels(spark, sf_dir):
-    return TX.label_usage(FX.labelled_tsv(spark, sf_dir), spark)
+    return TX.label_usage(_labelled(spark, sf_dir), spark, *_taxonomy(spark))
 
 
 # --- scoring -----------------------------------------------------------------------
@@ -273,15 +314,14 @@ def q_softmax_scores(spark, sf_dir):
 
 @query("score_texts")
 def q_score_texts(spark, sf_dir):
-    return SC.score_texts(FX.rule_texts(spark, sf_dir).select("id", "text"), FX.logits(spark, sf_dir))
+    return SC.score_texts(FX.rule_texts(spark, sf_dir).select("id", "text"), FX.text_logits(spark, sf_dir))
 
 
 # --- features ----------------------------------------------------------------------
-from ..constants import BASELINE_CONFIG, FINAL_CONFIG  # noqa: E402
 
 
 def _block(docs, cfg, terms):
-    return FE.tfidf_block(docs, terms, cfg["min_df"], cfg["max_df"], cfg["max_features"], cfg["sublinear"])
+    return FE.tfidf_block(docs.select("id", "split", "clean_text"), terms, cfg["min_df"], cfg["max_df"], cfg["max_features"], cfg["sublinear"])
 
 
 def _word_block(docs, cfg):
@@ -294,13 +334,13 @@ def _char_block(docs, cfg):
 
 @query("word_ngrams")
 def q_word_ngrams(spark, sf_dir):
-    c = FE.term_counts(processed(spark, sf_dir), FE.word_terms("clean_text", (1, 2)))
+    c = FE.term_counts(processed(spark, sf_dir).select("id", "clean_text"), FE.word_terms("clean_text", (1, 2)))
     return c.select(F.col("doc").alias("id"), "term", "tf")
 
 
 @query("char_ngrams")
 def q_char_ngrams(spark, sf_dir):
-    c = FE.term_counts(processed(spark, sf_dir), FE.char_terms("clean_text", (3, 5)))
+    c = FE.term_counts(processed(spark, sf_dir).select("id", "clean_text"), FE.char_terms("clean_text", (3, 5)))
     return c.select(F.col("doc").alias("id"), "term", "tf")
 
 
@@ -334,49 +374,49 @@ def q_feature_union(spark, sf_dir):
 def q_encode_sequences(spark, sf_dir):
     docs = split_table(spark, sf_dir)
     vocab, _ = _word_block(docs, BASELINE_CONFIG["word"])
-    return FE.encode_sequences(docs, vocab)
+    return FE.encode_sequences(docs, vocab, max_features=BASELINE_CONFIG["word"]["max_features"])
 
 
 # --- sources -------------------------------------------------------------------------
-from ..sources import io as IO  # noqa: E402
 
 
 @query("scan_union")
 def q_scan_union(spark, sf_dir):
-    """Annotation rows written as several CSV parts and scanned back with an
-    explicit schema (S1, S8, U1)."""
-    import hashlib
-    ratings = FX.ratings(spark, sf_dir)
-    tag = hashlib.md5(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    path = IO.scratch_path(spark, "csv-parts", tag)
-    IO.write_csv(ratings.repartition(3), path)
-    return IO.scan_parts(spark, path, IO.annotation_schema()).select("id", "rater_id", "seq", "n_labels")
+    """Documents as CSV parts of three layouts - in order, columns shuffled,
+    a column missing - scanned and united by name (S1, S8, U1)."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "lang", "source")
+    path = shared_folder(spark, "csv-parts")
+    layouts = [["id", "text", "lang", "source"], ["source", "text", "id", "lang"], ["text", "id", "lang"]]
+    for i, columns in enumerate(layouts):
+        IO.write_csv(docs.where(F.col("id") % 3 == i).select(*columns), f"{path}/part{i}")
+    return IO.scan_by_name(spark, [f"{path}/part{i}" for i in range(3)], docs.schema)
 
 
 # --- models (rows-only: no SQL oracle for an iterative optimiser) ------------------
-from ..operators import model as MD  # noqa: E402
 
 
-def _features(docs, blocks):
-    u = FE.feature_union(blocks)
-    size = sum(v.count() for v, _ in blocks)
-    return MD.assemble(docs, u, size)
+def _run(spark, sf_dir, cfg, blocks_of):
+    docs = split_table(spark, sf_dir)
+    blocks = blocks_of(docs)
+    size = sum(v.select(F.count(F.lit(1))).scalar() for v, _ in blocks)
+    feats = MD.assemble(docs, FE.feature_union(blocks), size)
+    return M.experiment_row(cfg["experiment"], MD.train_and_predict(feats, cfg["C"], cfg["max_iter"]))
 
 
 @query("train_baseline")
 def q_train_baseline(spark, sf_dir):
     """Unigram TF-IDF (10k) + logistic regression, C = 1: test-set metrics (M1, M3)."""
-    docs = split_table(spark, sf_dir)
-    feats = cut_lineage(_features(docs, [_word_block(docs, BASELINE_CONFIG["word"])]))
-    preds = MD.train_and_predict(feats, BASELINE_CONFIG["C"], BASELINE_CONFIG["max_iter"])
-    return M.experiment_row(BASELINE_CONFIG["experiment"], preds)
+    return _run(spark, sf_dir, BASELINE_CONFIG, lambda docs: [_word_block(docs, BASELINE_CONFIG["word"])])
 
 
 @query("train_final")
 def q_train_final(spark, sf_dir):
     """Word (1,2) + char_wb (3,5) sublinear TF-IDF + logistic regression, C = 1.5 (M2, M3)."""
-    docs = split_table(spark, sf_dir)
-    blocks = [_word_block(docs, FINAL_CONFIG["word"]), _char_block(docs, FINAL_CONFIG["char"])]
-    feats = cut_lineage(_features(docs, blocks))
-    preds = MD.train_and_predict(feats, FINAL_CONFIG["C"], FINAL_CONFIG["max_iter"])
-    return M.experiment_row(FINAL_CONFIG["experiment"], preds)
+    return _run(spark, sf_dir, FINAL_CONFIG, lambda docs: [
+        _word_block(docs, FINAL_CONFIG["word"]), _char_block(docs, FINAL_CONFIG["char"])])
+
+
+@query("experiment_comparison_models")
+def q_experiment_comparison_models(spark, sf_dir):
+    """Benchmark, baseline and final run side by side (M5)."""
+    return M.experiment_table(_benchmark(spark, sf_dir), q_train_baseline(spark, sf_dir), q_train_final(spark, sf_dir))

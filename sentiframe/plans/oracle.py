@@ -70,21 +70,28 @@ SELECT f.id, f.seq, f.text, f.clean_text, f.bert_text, w.mood
 FROM firsts f JOIN winners w USING (clean_text) WHERE w.n_top = 1""")
 
 # stratified split
-cte("sp_cls", ["processed"], "SELECT mood, CAST(count(*) AS BIGINT) AS nc FROM processed GROUP BY 1")
-cte("sp_tot", ["sp_cls"], """
+def _split_ctes(name: str, source: str, share: float, seed: str, first: str, second: str) -> None:
+    """``name``: rows of ``source`` with a split column, exact quotas by class."""
+    cte(f"{name}_cls", [source], f"SELECT mood, CAST(count(*) AS BIGINT) AS nc FROM {source} GROUP BY 1")
+    cte(f"{name}_tot", [f"{name}_cls"], f"""
 SELECT CAST(sum(nc) AS BIGINT) AS ntot,
-       CAST(sum(nc) - ceil(CAST(0.2 AS DOUBLE) * sum(nc)) AS BIGINT) AS ntrain FROM sp_cls""")
-cte("sp_base", ["sp_cls", "sp_tot"], """
+       CAST(sum(nc) - ceil(CAST({share} AS DOUBLE) * sum(nc)) AS BIGINT) AS ntrain FROM {name}_cls""")
+    cte(f"{name}_base", [f"{name}_cls", f"{name}_tot"], f"""
 SELECT c.mood, c.nc, t.ntrain, (c.nc * t.ntrain) // t.ntot AS base, (c.nc * t.ntrain) % t.ntot AS rem
-FROM sp_cls c CROSS JOIN sp_tot t""")
-cte("sp_quota", ["sp_base"], """
+FROM {name}_cls c CROSS JOIN {name}_tot t""")
+    cte(f"{name}_quota", [f"{name}_base"], f"""
 SELECT mood, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, mood)
                              <= ntrain - sum(base) OVER () THEN 1 ELSE 0 END AS quota
-FROM sp_base""")
-cte("split", ["processed", "sp_quota"], """
-SELECT p.*, CASE WHEN row_number() OVER (PARTITION BY p.mood ORDER BY md5('42|' || p.clean_text), p.clean_text)
-                      <= q.quota THEN 'train' ELSE 'test' END AS split
-FROM processed p JOIN sp_quota q USING (mood)""")
+FROM {name}_base""")
+    cte(name, [source, f"{name}_quota"], f"""
+SELECT p.*, CASE WHEN row_number() OVER (PARTITION BY p.mood ORDER BY md5('{seed}|' || p.clean_text), p.clean_text)
+                      <= q.quota THEN '{first}' ELSE '{second}' END AS split
+FROM {source} p JOIN {name}_quota q USING (mood)""")
+
+
+_split_ctes("split", "processed", 0.2, "42", "train", "test")
+cte("train_part", ["split"], "SELECT * EXCLUDE (split) FROM split WHERE split = 'train'")
+_split_ctes("val_split", "train_part", 0.1, "42|val", "train", "validation")
 
 
 def _r6(expr: str) -> str:
@@ -140,6 +147,14 @@ SELECT (SELECT count(*) FROM ratings) AS raw_rows,
 
 ORACLE["stratified_split"] = with_ctes(["split"], "SELECT id, mood, split FROM split")
 
+ORACLE["train_val_test_split"] = with_ctes(["split", "val_split"], """
+SELECT id, mood, split FROM val_split UNION ALL SELECT id, mood, split FROM split WHERE split = 'test'""")
+
+ORACLE["fixed_sample"] = """
+SELECT id, lang FROM (
+  SELECT doc_id AS id, lang, row_number() OVER (ORDER BY md5('42|' || doc_id), CAST(doc_id AS VARCHAR)) AS r FROM documents)
+WHERE r <= greatest(1, (SELECT count(*) FROM pages) // 4)"""
+
 ORACLE["split_overlap"] = with_ctes(["split"], """
 SELECT count(*) AS overlap FROM (
   SELECT DISTINCT clean_text FROM split WHERE split = 'train'
@@ -153,19 +168,19 @@ cte("ex_sums", ["labelled"], "SELECT id, count(*) AS n_rows, " +
     ", ".join(f'sum("{e}") AS "{e}"' for e in EMOTIONS) + " FROM labelled GROUP BY id")
 
 
-def _agree_sql(lo: int, hi: int = 100) -> str:
-    return "concat_ws(',', " + ", ".join(
-        f"CASE WHEN \"{e}\" BETWEEN {lo} AND {hi} THEN '{e}' END" for e in EMOTIONS) + ")"
+def _agree_sql(test: str) -> str:
+    """Names of the labels whose rater sum passes, e.g. '>= 2'."""
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN \"{e}\" {test} THEN '{e}' END" for e in EMOTIONS) + ")"
 
 
-def _n_agree_sql(lo: int, hi: int = 100) -> str:
-    return "(" + " + ".join(f'CAST("{e}" BETWEEN {lo} AND {hi} AS INTEGER)' for e in EMOTIONS) + ")"
+def _n_agree_sql(test: str) -> str:
+    return "(" + " + ".join(f'CAST("{e}" {test} AS INTEGER)' for e in EMOTIONS) + ")"
 
 
 cte("agree_sets", ["ex_sums"], f"""
-SELECT id, n_rows, {_agree_sql(1)} AS unique_labels, {_agree_sql(2)} AS agree_2,
-       {_agree_sql(3)} AS agree_3, {_agree_sql(1, 1)} AS no_agree,
-       {_n_agree_sql(1)} AS n_pre, {_n_agree_sql(2)} AS n_post, {_n_agree_sql(3)} AS n_3
+SELECT id, n_rows, {_agree_sql(">= 1")} AS unique_labels, {_agree_sql(">= 2")} AS agree_2,
+       {_agree_sql(">= 3")} AS agree_3, {_agree_sql("= 1")} AS no_agree,
+       {_n_agree_sql(">= 1")} AS n_pre, {_n_agree_sql(">= 2")} AS n_post, {_n_agree_sql(">= 3")} AS n_3
 FROM ex_sums""")
 
 ORACLE["corpus_stats"] = with_ctes(["ratings"], f"""
@@ -196,7 +211,7 @@ ORACLE["label_correlation"] = with_ctes(["ex_means"], " UNION ALL ".join(
     for a, b in _PAIRS))
 
 ORACLE["label_distance"] = with_ctes(["ex_means"], " UNION ALL ".join(
-    f"""SELECT '{b}' AS label_a, '{a}' AS label_b, {_r6(f'1 - round(CAST(corr("{a}", "{b}") AS DOUBLE), 6)')} AS distance FROM ex_means"""
+    f"""SELECT '{b}' AS label_a, '{a}' AS label_b, {_r6(f'1 - corr("{a}", "{b}")')} AS distance FROM ex_means"""
     for a, b in _PAIRS))
 
 ORACLE["agreement_labels"] = with_ctes(["labelled", "agree_sets"], """
@@ -239,7 +254,7 @@ SELECT a.seq, a.id, unnest({S.analysis_tokens('a.text')}) AS word FROM annot a""
 cte("row_wc", ["row_tokens"], "SELECT id, word, count(*) AS n FROM row_tokens GROUP BY 1, 2")
 cte("all_sums", ["ratings"], "SELECT id, " + ", ".join(
     f'sum("{e}") AS "{e}"' for e in EMOTIONS) + " FROM ratings GROUP BY id")
-cte("ex_agree2", ["all_sums"], f"SELECT id, {_agree_sql(2)} AS agreement FROM all_sums")
+cte("ex_agree2", ["all_sums"], f"SELECT id, {_agree_sql(">= 2")} AS agreement FROM all_sums")
 cte("label_list", [], "SELECT unnest(" + S.str_list(EMOTIONS) + ") AS label")
 cte("members_exact", ["ex_agree2", "label_list"], """
 SELECT a.id, l.label FROM ex_agree2 a JOIN label_list l ON list_contains(string_split(a.agreement, ','), l.label)""")
@@ -248,33 +263,38 @@ SELECT a.id, l.label FROM ex_agree2 a JOIN label_list l ON contains(a.agreement,
 cte("word_totals", ["row_wc"], "SELECT word, sum(n) AS t FROM row_wc GROUP BY 1")
 
 
-def _log_odds_sql(members: str, min_z: bool = True) -> str:
-    return with_ctes([members, "row_wc", "word_totals"], f"""
-, c1 AS (SELECT m.label, w.word, sum(w.n) AS c1 FROM {members} m JOIN row_wc w USING (id) GROUP BY 1, 2)
-, n1 AS (SELECT label, sum(c1) AS n1 FROM c1 GROUP BY 1)
-, scored AS (
-  SELECT c1.label AS emotion, c1.word,
-         CAST(c1.c1 AS DOUBLE) AS a, CAST(t.t AS DOUBLE) AS p, CAST(n1.n1 AS DOUBLE) AS na,
-         CAST((SELECT sum(t) FROM word_totals) AS DOUBLE) AS big
-  FROM c1 JOIN word_totals t USING (word) JOIN n1 USING (label))
+def _log_odds_sql(members: str, main: str) -> str:
+    """Counts of each word inside and outside each label's examples, both
+    taken from the rows themselves; the prior is all rows together."""
+    return with_ctes([members, "row_wc", "word_totals", "label_list"], f"""
+, inside AS (SELECT m.label, w.word, sum(w.n) AS c FROM {members} m JOIN row_wc w USING (id) GROUP BY 1, 2)
+, outside AS (
+  SELECT l.label, w.word, sum(w.n) AS c FROM label_list l CROSS JOIN row_wc w
+  WHERE NOT EXISTS (SELECT 1 FROM {members} m WHERE m.label = l.label AND m.id = w.id) GROUP BY 1, 2)
+, n_inside AS (SELECT label, sum(c) AS n FROM inside GROUP BY 1)
+, n_outside AS (SELECT label, sum(c) AS n FROM outside GROUP BY 1)
+, terms AS (
+  SELECT i.label AS emotion, i.word, CAST(i.c AS DOUBLE) AS c1, CAST(coalesce(o.c, 0) AS DOUBLE) AS c2,
+         CAST(ni.n AS DOUBLE) AS n1, CAST(coalesce(no.n, 0) AS DOUBLE) AS n2, CAST(t.t AS DOUBLE) AS prior,
+         CAST((SELECT sum(t) FROM word_totals) AS DOUBLE) AS n_prior
+  FROM inside i JOIN word_totals t USING (word) JOIN n_inside ni USING (label)
+  LEFT JOIN outside o ON o.label = i.label AND o.word = i.word LEFT JOIN n_outside no ON no.label = i.label)
 , z AS (
-  SELECT emotion, word,
-         (ln((a + p) / ((na + big) - (a + p))) - ln(((p - a) + p) / (((big - na) + big) - ((p - a) + p))))
-           / sqrt(1.0 / (a + p) + 1.0 / ((p - a) + p)) AS z,
-         a / na AS freq
-  FROM scored)
-SELECT emotion, word, round(z, 6) AS odds, round(freq, 6) AS freq FROM z {"WHERE z >= 3" if min_z else ""}""").replace("\n, c1 AS", ",\nc1 AS", 1)
+  SELECT emotion, word, c1 / n1 AS freq,
+         (ln((c1 + prior) / (n1 + n_prior - c1 - prior)) - ln((c2 + prior) / (n2 + n_prior - c2 - prior)))
+           / sqrt(1 / (c1 + prior) + 1 / (c2 + prior)) AS z
+  FROM terms)
+{main}""").replace("\n, inside AS", ",\ninside AS", 1)
 
 
+_SCORED = "SELECT emotion, word, round(z, 6) AS odds, round(freq, 6) AS freq FROM z WHERE z >= 3"
 ORACLE["word_counts"] = with_ctes(["row_wc"], "SELECT word, CAST(sum(n) AS BIGINT) AS n FROM row_wc GROUP BY 1")
-ORACLE["log_odds_words"] = _log_odds_sql("members_exact")
-ORACLE["log_odds_words_contains"] = _log_odds_sql("members_contains")
-ORACLE["top_words"] = (_log_odds_sql("members_exact").replace(
-    "SELECT emotion, word, round(z, 6) AS odds, round(freq, 6) AS freq FROM z WHERE z >= 3",
-    """SELECT * FROM (SELECT emotion, word, odds, freq,
-         CAST(row_number() OVER (PARTITION BY emotion ORDER BY odds DESC, word) AS INTEGER) AS rank
-       FROM (SELECT emotion, word, round(z, 6) AS odds, round(freq, 6) AS freq FROM z WHERE z >= 3))
-     WHERE rank <= 10"""))
+ORACLE["log_odds_words"] = _log_odds_sql("members_exact", _SCORED)
+ORACLE["log_odds_words_contains"] = _log_odds_sql("members_contains", _SCORED)
+ORACLE["top_words"] = _log_odds_sql("members_exact", """
+SELECT emotion, word, round(z, 6) AS odds, round(freq, 6) AS freq, rank FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY emotion ORDER BY z DESC, word) AS INTEGER) AS rank FROM z WHERE z >= 3)
+WHERE rank <= 10""")
 
 
 # --- evaluation ------------------------------------------------------------------
@@ -364,10 +384,11 @@ SELECT 'Majority_Class_Benchmark' AS experiment, * FROM overall_bench_preds
 UNION ALL SELECT 'Fixture_Predictions' AS experiment, * FROM overall_preds""")
 
 # multi-label
-cte("ml", [], """
-SELECT e.vec_id AS id, CAST(r.j - 1 AS INTEGER) AS label, 2.0 * CAST(e.embedding[r.j] AS DOUBLE) AS score,
+cte("ml_scores", [], "SELECT vec_id, label, [" + ", ".join(S.folded("embedding", 10, c) for c in range(10)) + "] AS s FROM embeddings")
+cte("ml", ["ml_scores"], """
+SELECT e.vec_id AS id, CAST(r.j - 1 AS INTEGER) AS label, e.s[r.j] AS score,
        CASE WHEN r.j - 1 = e.label OR r.j - 1 = (e.label + e.vec_id % 3) % 10 THEN 1 ELSE 0 END AS y
-FROM embeddings e CROSS JOIN range(1, 11) r(j)""")
+FROM ml_scores e CROSS JOIN range(1, 11) r(j)""")
 cte("ml_counts", ["ml"], """
 SELECT label,
        count(*) FILTER (WHERE y = 1 AND score > 0.3) AS tp, count(*) FILTER (WHERE y = 0 AND score > 0.3) AS fp,
@@ -440,9 +461,8 @@ ORACLE["rule_override"] = with_ctes(["rule_texts"], f"""
 SELECT id, raw_mood, coalesce(rule, 0) AS rule, {S.apply_rule('rule', 'raw_mood')} AS final_mood
 FROM (SELECT id, raw_mood, {S.rule_hit('text', 'raw_mood')} AS rule FROM rule_texts)""")
 
-cte("lg", [], """
-SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS l1, CAST(embedding[2] AS DOUBLE) AS l2,
-       CAST(embedding[3] AS DOUBLE) AS l3, CAST(embedding[4] AS DOUBLE) AS l4 FROM embeddings""")
+cte("lg", [], "SELECT vec_id AS id, " + ", ".join(
+    f"{S.folded('embedding', 4, c)} AS l{c + 1}" for c in range(4)) + " FROM embeddings")
 cte("sm", ["lg"], """
 SELECT id, l1, l2, l3, l4, e1 / s AS p1, e2 / s AS p2, e3 / s AS p3, e4 / s AS p4, am FROM (
   SELECT *, e1 + e2 + e3 + e4 AS s FROM (
@@ -453,12 +473,10 @@ ORACLE["softmax_scores"] = with_ctes(["sm"], f"""
 SELECT id, CAST(am AS INTEGER) AS argmax, {_M}[am + 1] AS mood, {_r6("p1")} AS p_happy, {_r6("p2")} AS p_sad,
        {_r6("p3")} AS p_angry, {_r6("p4")} AS p_neutral FROM sm""")
 
-from ..functions.regex import WS as _WS  # noqa: E402
-
 cte("scored_raw", ["rule_texts", "sm"], f"""
 SELECT r.id, r.text, s.p1, s.p2, s.p3, s.p4, s.am AS raw_idx, {_M}[s.am + 1] AS raw_mood
-FROM rule_texts r JOIN sm s USING (id)
-WHERE NOT regexp_full_match(r.text, {S.lit(_WS + '*')}) AND {S.light_clean_text('r.text')} <> ''""")
+FROM rule_texts r JOIN sm s ON s.id = r.id % (SELECT count(*) FROM embeddings)
+WHERE NOT regexp_full_match(r.text, {S.lit(S.WS + '*')}) AND {S.light_clean_text('r.text')} <> ''""")
 cte("scored_rule", ["scored_raw"], f"""
 SELECT *, {S.rule_hit('text', 'raw_mood')} AS rule FROM scored_raw""")
 cte("scored_final", ["scored_rule"], f"""
@@ -547,4 +565,5 @@ FROM processed p JOIN (
            unnest(range(1, len(string_split(bert_text, ' ')[1:128]) + 1)) AS pos FROM processed) t
   LEFT JOIN bw_vocab v USING (term) GROUP BY id) q USING (id)""")
 
-ORACLE["scan_union"] = with_ctes(["ratings"], "SELECT id, rater_id, seq, CAST(n_labels AS INTEGER) AS n_labels FROM ratings")
+ORACLE["scan_union"] = """
+SELECT doc_id AS id, text, lang, CASE WHEN doc_id % 3 < 2 THEN source END AS source FROM documents"""

@@ -9,10 +9,27 @@ from __future__ import annotations
 
 from ..constants import (ANALYSIS_PUNCTUATION, ASCII_PUNCTUATION, EMOTION_TO_MOOD, EMOTIONS,
                          MOOD_LABELS, STOPWORDS)
-from ..functions.regex import LETTERS_ONLY, WS
-from ..functions.rules import RULE_EFFECTS, RULE_PATTERNS
-from ..functions.text import (ANALYSIS_MENTION_PATTERN, ANALYSIS_URL_PATTERN, MENTION_PATTERN,
-                              URL_PATTERN)
+
+# FIXED VALUES, written for RE2 and on their own: nothing here comes from the Spark side.
+_SPACES = (r"\x{9}\x{a}\x{b}\x{c}\x{d}\x{1c}\x{1d}\x{1e}\x{1f}\x{20}\x{85}\x{a0}\x{1680}"
+           r"\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+WS = f"[{_SPACES}]"
+_INK = f"[^{_SPACES}]"
+URL = f"(http|www){_INK}+"
+LETTERS = r"\p{L}+"
+MENTION = r"@[\p{L}\p{N}_]+"
+ANALYSIS_URL = f"http{_INK}*|{_INK}*[.]com{_INK}*|{_INK}*www{_INK}*"
+ANALYSIS_MENTION = f"{WS}@{_INK}+"
+_OUT, _OUT_LINE = r"[^\p{L}\p{N}_]", r"[^\p{L}\p{N}_\n]"
+#: Override rules in order: (moods they apply to, pattern, mood they give).
+RULES = [
+    (["happy"], f"(^|{_OUT})(not|never|no){WS}+(so{WS}+|very{WS}+|really{WS}+)?happy({_OUT}|$)", "sad"),
+    (["happy"], f"(^|{_OUT})(not|never|no){WS}+(feeling{WS}+)?good({_OUT}|$)", "sad"),
+    (["happy"], f"(^|{_OUT})(but|though|although|however){_OUT_LINE}(.*{_OUT_LINE})?"
+                f"(empty|tired|sad|lonely|depressed|terrible|awful|hurt|crying|miserable)({_OUT}|$)", "sad"),
+    (["neutral", "happy"], f"(^|{_OUT})(waited|waiting|wasted){_OUT_LINE}(.*{_OUT_LINE})?"
+                           f"(cancelled|canceled|cancel|last minute|late|ignored)({_OUT}|$)", "angry"),
+]
 
 
 def lit(s: str) -> str:
@@ -29,14 +46,14 @@ def squash(expr: str) -> str:
 
 def strip_social(expr: str) -> str:
     s = f"lower({expr})"
-    s = f"regexp_replace({s}, {lit(URL_PATTERN)}, '', 'g')"
-    return f"regexp_replace({s}, {lit(MENTION_PATTERN)}, '', 'g')"
+    s = f"regexp_replace({s}, {lit(URL)}, '', 'g')"
+    return f"regexp_replace({s}, {lit(MENTION)}, '', 'g')"
 
 
 def clean_text(expr: str) -> str:
     s = f"translate({strip_social(expr)}, {lit(ASCII_PUNCTUATION)}, '')"
     toks = f"string_split({squash(s)}, ' ')"
-    keep = (f"list_filter({toks}, lambda t: regexp_full_match(t, {lit(LETTERS_ONLY)}) "
+    keep = (f"list_filter({toks}, lambda t: regexp_full_match(t, {lit(LETTERS)}) "
             f"AND NOT list_contains({str_list(STOPWORDS)}, t))")
     return f"array_to_string({keep}, ' ')"
 
@@ -47,8 +64,8 @@ def light_clean_text(expr: str) -> str:
 
 def analysis_tokens(expr: str) -> str:
     s = f"lower(coalesce(CAST({expr} AS VARCHAR), ''))"
-    s = f"regexp_replace({s}, {lit(ANALYSIS_URL_PATTERN)}, ' ', 'g')"
-    s = f"regexp_replace({s}, {lit(ANALYSIS_MENTION_PATTERN)}, ' ', 'g')"
+    s = f"regexp_replace({s}, {lit(ANALYSIS_URL)}, ' ', 'g')"
+    s = f"regexp_replace({s}, {lit(ANALYSIS_MENTION)}, ' ', 'g')"
     s = f"translate({s}, {lit(ANALYSIS_PUNCTUATION)}, {lit(' ' * len(ANALYSIS_PUNCTUATION))})"
     return f"list_filter(string_split({squash(s)}, ' '), lambda t: length(t) > 2)"
 
@@ -71,15 +88,17 @@ def mood_at(idx_expr: str) -> str:
 
 
 def rule_hit(text_expr: str, pred_expr: str) -> str:
-    t = f"lower({text_expr})"
-    whens = []
-    for i, (pattern, (moods, _)) in enumerate(zip(RULE_PATTERNS, RULE_EFFECTS), start=1):
-        whens.append(f"WHEN {pred_expr} IN ({', '.join(lit(m) for m in moods)}) "
-                     f"AND regexp_matches({t}, {lit(pattern)}) THEN {i}")
-    return "CASE " + " ".join(whens) + " END"
+    whens = " ".join(
+        f"WHEN {pred_expr} IN ({', '.join(lit(m) for m in moods)}) AND regexp_matches(lower({text_expr}), {lit(pattern)}) THEN {i}"
+        for i, (moods, pattern, _) in enumerate(RULES, start=1))
+    return f"CASE {whens} END"
 
 
 def apply_rule(rule_expr: str, pred_expr: str) -> str:
-    whens = " ".join(f"WHEN {rule_expr} = {i} THEN {lit(target)}"
-                     for i, (_, target) in enumerate(RULE_EFFECTS, start=1))
+    whens = " ".join(f"WHEN {rule_expr} = {i} THEN {lit(mood)}" for i, (_, _, mood) in enumerate(RULES, start=1))
     return f"CASE WHEN {rule_expr} IS NULL THEN {pred_expr} {whens} END"
+
+
+def folded(vector: str, k: int, c: int) -> str:
+    """Sum of the components whose place (from 0) is c modulo k."""
+    return f"list_sum([CAST(x AS DOUBLE) FOR x, i IN {vector} IF (i - 1) % {k} = {c}])"

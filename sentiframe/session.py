@@ -10,13 +10,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_EXTRA_CONF: dict[str, str] = {}
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "sentiframe") -> SparkSession:
     builder = (
@@ -32,32 +30,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("SENTIFRAME_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for k, v in _EXTRA_CONF.items():
-        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
-    tune(spark)
-    return spark
-
-
-# Runtime SQL settings every job of this library relies on.
-#  * constraint propagation: the label operators build wide expressions (one
-#    per label, 28 labels); Catalyst's constraint inference over their aliases
-#    grows combinatorially and can spend minutes planning a seconds-long job.
-#  * AQE with skew-join splitting: hot keys (one example, one word) are split
-#    at runtime instead of landing in one task.
-TUNING = {
-    "spark.sql.constraintPropagation.enabled": "false",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-}
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    for k, v in TUNING.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
     return spark
 
 
@@ -88,21 +63,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def shared_folder(spark: SparkSession, tag: str) -> str:
+    """A new folder below the shared checkpoint folder; no two calls share one."""
+    return os.path.join(ensure_checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex}")
 
 
-def spread_by_key(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition a scan by ``key`` only when it is narrower than the
-    cluster's parallelism (small inputs arrive as a single row group).
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: several branches
+    then start from one Parquet table, with column pruning, and a lost
+    executor costs no recomputation of what came before."""
+    path = shared_folder(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Large inputs already scan into many partitions and are returned as is, so
-    no shuffle is added at scale; when a shuffle is added it is on the key the
-    next join uses, so that join can reuse the partitioning.
-    """
-    spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
-        return df
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(n, parallelism), key)
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

@@ -10,11 +10,11 @@ ratings per example.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import EMOTIONS, MOOD_LABELS
-from ..session import cut_lineage, spread_by_key, table
+from ..session import table
 
 # FIXED VALUES: prefixes of the rule-text fixture, in order.
 RULE_PREFIXES = [
@@ -28,52 +28,38 @@ def _moods():
     return F.array(*[F.lit(m) for m in MOOD_LABELS])
 
 
-def ratings(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotation rows (B1) without text.
 
     ``id`` is the example (document) an event rates; ``seq`` is the explicit
-    input order; one 0/1 column per emotion.
+    input order; ``n_labels`` and one 0/1 column per emotion are read off one
+    narrow array of label positions.  All of it is a projection of ``events``,
+    so each query scans only the columns it needs and its filters reach the
+    scan.
     """
     events = table(spark, sf_dir, "events")
     n_docs = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
     k = F.get_json_object("props", "$.k").cast("int") % 28
     v = F.floor("value").cast("int") % 28
     unclear = F.col("event_type") == "error"
-    base = events.select(
-        (F.col("event_id") % n_docs).alias("id"),
-        F.col("user_id").alias("rater_id"),
-        F.col("event_id").alias("seq"),
-        unclear.alias("example_very_unclear"),
-        k.alias("_k"), v.alias("_v"), (F.col("value") > 80).alias("_two"),
-    )
     # labels = [] if unclear; distinct [k, v] if value > 80; else [k]
-    def flag(i):
-        hit = (F.col("_k") == i) | (F.col("_two") & (F.col("_v") == i))
-        return F.when(~F.col("example_very_unclear") & hit, 1).otherwise(0)
-    n = (F.when(F.col("example_very_unclear"), 0)
-         .when(F.col("_two") & (F.col("_k") != F.col("_v")), 2).otherwise(1))
-    wide = base.select("id", "rater_id", "seq", "example_very_unclear", n.alias("n_labels"),
-                       *[flag(i).alias(e) for i, e in enumerate(EMOTIONS)])
-    # The annotation source is a table of plain 0/1 columns; materialise the
-    # derived one so downstream plans see columns, not 28 inlined expressions
-    # (which otherwise dominate planning and code generation).
-    return cut_lineage(wide) if materialize else wide
+    labels = (F.when(unclear, F.array().cast("array<int>"))
+              .when(F.col("value") > 80, F.array_distinct(F.array(k, v))).otherwise(F.array(k)))
+    base = events.select(
+        (F.col("event_id") % n_docs).alias("id"), F.col("user_id").alias("rater_id"),
+        F.col("event_id").alias("seq"), unclear.alias("example_very_unclear"), labels.alias("labels"))
+    return base.select("id", "rater_id", "seq", "example_very_unclear", F.size("labels").alias("n_labels"),
+                       *[F.array_contains("labels", F.lit(i)).cast("int").alias(e) for i, e in enumerate(EMOTIONS)])
 
 
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per example: ``id``, ``text`` (B1 text side)."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
-    return spread_by_key(docs, "id")
-
-
-def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide annotation rows with text, the reference's raw table shape."""
-    return ratings(spark, sf_dir).join(examples(spark, sf_dir), "id")
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 def social_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with URL, mention and hashtag (B2), whole page html appended."""
-    pages = spread_by_key(table(spark, sf_dir, "pages"), "page_id")
+    pages = table(spark, sf_dir, "pages")
     text = F.concat(
         F.lit("I'm at "), F.col("url"), F.lit(" @user"), F.col("page_id").cast("string"),
         F.lit(" #"), F.lower(F.substring(F.md5(F.col("url")), 1, 4)),
@@ -91,15 +77,28 @@ def single_label_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
                          y_pred.alias("y_pred"))
 
 
-def multilabel_scores(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
-    """Long multi-label rows (id, label, score, y)."""
-    emb = table(spark, sf_dir, "embeddings")
-    exploded = emb.select("vec_id", F.col("label").alias("_truth"),
-                          F.posexplode(F.slice("embedding", 1, k)).alias("j", "e"))
-    y = ((F.col("j") == F.col("_truth")) |
-         (F.col("j") == (F.col("_truth") + F.col("vec_id") % 3) % k)).cast("int")
-    return exploded.select(F.col("vec_id").alias("id"), F.col("j").cast("int").alias("label"),
-                           (F.lit(2.0) * F.col("e").cast("double")).alias("score"), y.alias("y"))
+def folded(vector: Column, k: int) -> Column:
+    """k sums over a whole vector: component i goes into sum i mod k.  Adds in
+    double, from the first component to the last."""
+    start = F.array_repeat(F.lit(0.0), k)
+    indexed = F.transform(vector, lambda x, i: F.struct(x.cast("double").alias("x"), (i % k).alias("at")))
+    return F.aggregate(indexed, start, lambda a, c: F.transform(
+        a, lambda y, j: F.when(j == c["at"], y + c["x"]).otherwise(y)))
+
+
+def multilabel_predictions(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
+    """(id, s0 ... s9): a score per label, folded from the whole vector."""
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", folded(F.col("embedding"), k).alias("s"))
+    return emb.select(F.col("vec_id").cast("string").alias("id"), *[F.get("s", F.lit(j)).alias(f"s{j}") for j in range(k)])
+
+
+def multilabel_truth(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
+    """(text, labels, id) rows with the true label ids as a comma list."""
+    second = (F.col("label") + F.col("vec_id") % 3) % k
+    ids = F.array_distinct(F.array(F.col("label").cast("int"), second.cast("int")))
+    return table(spark, sf_dir, "embeddings").select(
+        F.concat(F.lit("vector "), F.col("vec_id").cast("string")).alias("text"),
+        F.array_join(ids.cast("array<string>"), ",").alias("labels"), F.col("vec_id").cast("string").alias("id"))
 
 
 def labelled_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +123,14 @@ def rule_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, logits array<double>[4]) model outputs."""
+    """(id, logits array<double>[4]) model outputs folded from whole vectors."""
     emb = table(spark, sf_dir, "embeddings")
-    return emb.select(F.col("vec_id").alias("id"),
-                      F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double")).alias("logits"))
+    return emb.select(F.col("vec_id").alias("id"), folded(F.col("embedding"), 4).alias("logits"))
+
+
+def text_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, logits) for every document: text i has the outputs of vector
+    i mod count(embeddings)."""
+    n = table(spark, sf_dir, "embeddings").select(F.count(F.lit(1))).scalar()
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), (F.col("doc_id") % n).alias("id"))
+    return texts.join(logits(spark, sf_dir), "id").select(F.col("text_id").alias("id"), "logits")

@@ -7,8 +7,6 @@ is the session's checkpoint folder.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,21 +30,36 @@ def annotation_schema(labels: list[str] = EMOTIONS) -> T.StructType:
 
 
 def scan_parts(spark: SparkSession, paths: str | list[str], schema: T.StructType,
-               sep: str = ",", header: bool = True) -> DataFrame:
-    """Scan several delimited parts with one explicit schema.
+               sep: str = ",", header: bool = True, multi_line: bool = False) -> DataFrame:
+    """Scan delimited parts of one layout with an explicit schema.
 
-    Spark reads all parts in parallel; a missing path fails with
-    PATH_NOT_FOUND, as the reference fails when no part matches."""
+    ``multi_line`` is for texts with line breaks; without it large files are
+    split.  A missing path fails with PATH_NOT_FOUND."""
     return (spark.read.schema(schema).option("header", header).option("sep", sep)
-            .option("multiLine", True).option("escape", '"').csv(paths))
+            .option("multiLine", multi_line).option("escape", '"').csv(paths))
+
+
+def scan_by_name(spark: SparkSession, paths: list[str], schema: T.StructType, sep: str = ",") -> DataFrame:
+    """Union headered parts of different layouts by column name.
+
+    Each part's columns are named by its own header, cast to the schema's
+    types, and put in its order; a column that a part lacks is null there.
+    Parts are taken in sorted order and a missing one is an error."""
+    parts = []
+    for path in sorted(paths):
+        part = spark.read.option("header", True).option("sep", sep).option("multiLine", True).option("escape", '"').csv(path)
+        known = [f for f in schema.fields if f.name in part.columns]
+        parts.append(part.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in known]))
+    return union_parts(parts, schema)
 
 
-def union_parts(parts: list[DataFrame]) -> DataFrame:
+def union_parts(parts: list[DataFrame], schema: T.StructType) -> DataFrame:
     """Concatenate parts by column name; columns missing in a part are null."""
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    have = set(out.columns)
+    return out.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_label_list(spark: SparkSession, path: str) -> DataFrame:
@@ -66,12 +79,14 @@ def read_mapping(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:
     """Delimited sink with header (S8) or headerless TSV."""
-    df.write.mode("overwrite").option("header", header).option("sep", sep).option("escape", '"').csv(path)
+    (df.write.mode("overwrite").option("header", header).option("sep", sep).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_text(lines: DataFrame, path: str, order_col: str, value_col: str) -> None:
-    """Ordered single-column text sink (S10), e.g. a report or a label list."""
-    lines.orderBy(order_col).select(value_col).coalesce(1).write.mode("overwrite").text(path)
+    """Ordered single-column text sink (S10), e.g. a report or a label list:
+    sorted by range, so part files in name order hold the lines in order."""
+    lines.orderBy(order_col).select(value_col).write.mode("overwrite").text(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -79,24 +94,22 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def load_or_build(spark: SparkSession, path: str, build, required: set[str],
-                  force_rebuild: bool = False) -> DataFrame:
+                  force_rebuild: bool = False, partition_by: str | None = None) -> DataFrame:
     """Reuse a persisted Parquet table when it exists and has the required
-    columns, else build and persist it (S6, S7)."""
-    if not force_rebuild:
-        try:
-            existing = spark.read.parquet(path)
-            if required <= set(existing.columns):
-                return existing
-        except Exception:  # noqa: BLE001 - absent or unreadable: rebuild
-            pass
-    df = build()
-    df.write.mode("overwrite").parquet(path)
+    columns, else build and persist it (S6, S7).
+
+    Only an absent path or a table without the columns leads to a build; any
+    other failure to read is raised and nothing is overwritten."""
+    if not force_rebuild and _exists(spark, path):
+        existing = spark.read.parquet(path)
+        if required <= set(existing.columns):
+            return existing
+    writer = build().write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.parquet(path)
-
-
-def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the session's shared checkpoint folder."""
-    from ..session import ensure_checkpoint_dir
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, *parts)
