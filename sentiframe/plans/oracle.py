@@ -566,4 +566,5 @@ FROM processed p JOIN (
   LEFT JOIN bw_vocab v USING (term) GROUP BY id) q USING (id)""")
 
 ORACLE["scan_union"] = """
-SELECT doc_id AS id, text, lang, CASE WHEN doc_id % 3 < 2 THEN source END AS source FROM documents"""
+SELECT doc_id AS id, nullif(text, '') AS text, nullif(lang, '') AS lang,
+       CASE WHEN doc_id % 3 < 2 THEN nullif(source, '') END AS source FROM documents"""

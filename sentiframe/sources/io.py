@@ -43,7 +43,8 @@ def scan_by_name(spark: SparkSession, paths: list[str], schema: T.StructType, se
     """Union headered parts of different layouts by column name.
 
     Each part's columns are named by its own header, cast to the schema's
-    types, and put in its order; a column that a part lacks is null there.
+    types, and put in its order; a column that a part lacks is null there, and
+    so is an empty field, quoted or not.
     Parts are taken in sorted order and a missing one is an error."""
     parts = []
     for path in sorted(paths):

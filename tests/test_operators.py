@@ -1,4 +1,6 @@
 """Operator edge cases on hand-made rows."""
+import hashlib
+
 from pyspark.sql import functions as F
 
 from sentiframe.operators import metrics as M
@@ -43,6 +45,41 @@ def test_stratified_split_quotas_and_disjoint(spark):
     assert a == b
 
 
+def test_split_ranks_the_bucket_that_straddles(spark):
+    """Enough rows that a bucket of one hex digit straddles each quota."""
+    df = spark.createDataFrame([(i, f"t{i}", "happy" if i % 3 else "sad") for i in range(700)], "id long, clean_text string, mood string")
+    by_hash = {}
+    for i in range(700):
+        key = hashlib.md5(f"42|t{i}".encode()).hexdigest()
+        by_hash.setdefault("happy" if i % 3 else "sad", []).append((key, f"t{i}", i))
+    got = {r.id: r.split for r in SP.stratified_split(df, "mood", "clean_text", bucket_chars=1).collect()}
+    quota = {"happy": 373, "sad": 187}  # 560 of 700 by largest remainder
+    for mood, rows in by_hash.items():
+        for rank, (_, _, i) in enumerate(sorted(rows)):
+            assert got[i] == ("train" if rank < quota[mood] else "test")
+
+
+def test_train_validation_test(spark):
+    df = spark.createDataFrame([(i, f"t{i}", "happy" if i % 3 else "sad") for i in range(200)], "id long, clean_text string, mood string")
+    got = SP.train_val_test_split(df, "mood", "clean_text").groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in got} == {"train": 144, "validation": 16, "test": 40}
+
+
+def test_fixed_sample_is_the_first_by_hash(spark):
+    df = spark.createDataFrame([(f"k{i}",) for i in range(500)], "k string")
+    order = sorted((hashlib.md5(f"42|k{i}".encode()).hexdigest(), f"k{i}") for i in range(500))
+    for n, chars in ((1, 1), (77, 1), (77, 3), (500, 2), (900, 1)):
+        got = {r.k for r in SP.fixed_sample(df.repartition(3), "k", n, bucket_chars=chars).collect()}
+        assert got == {k for _, k in order[:n]}
+
+
+def test_results_do_not_depend_on_partitions(spark):
+    from sentiframe.operators import words as W
+    docs = spark.createDataFrame([(i, f"river stone word{i % 5} and more") for i in range(60)], "id long, text string")
+    a, b = (sorted(map(tuple, W.example_word_counts(docs.repartition(n)).collect())) for n in (1, 16))
+    assert a == b
+
+
 def test_metrics_zero_division_and_identities(spark):
     preds = spark.createDataFrame([("happy", "happy"), ("happy", "sad"), ("sad", "sad"), ("angry", "happy")],
                                   "y_true string, y_pred string")
@@ -61,6 +98,13 @@ def test_majority_tie_goes_to_lowest_name(spark):
     assert spark.range(1).select(M.majority_class(train)).first()[0] == "angry"
 
 
+def test_predictions_are_paired_by_id(spark):
+    preds = spark.createDataFrame([("b", 0.9, 0.1), ("a", 0.2, 0.8), ("x", 1.0, 1.0)], "id string, s0 double, s1 double")
+    truth = spark.createDataFrame([("t", "1", "a"), ("t", "0,1", "b"), ("t", "0", "y")], "text string, labels string, id string")
+    got = {(r.id, r.label): (r.score, r.y) for r in M.pair_with_truth(preds, truth, 2).collect()}
+    assert got == {("a", 0): (0.2, 0), ("a", 1): (0.8, 1), ("b", 0): (0.9, 1), ("b", 1): (0.1, 1)}
+
+
 def test_multilabel(spark):
     rows = [(1, 0, 0.9, 1), (1, 1, 0.1, 0), (2, 0, 0.3, 1), (2, 1, 0.5, 0)]
     df = spark.createDataFrame(rows, "id long, label int, score double, y int")

@@ -5,13 +5,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from sentiframe.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
 TABLES = ["events", "documents", "embeddings", "pages", "conversations", "labels", "benchmark"]
 KEYS = ["clean_text", "analysis_tokens", "processed_dataset", "pipeline_stats", "stratified_split",
         "agreement_labels", "label_correlation", "log_odds_words_contains", "top_words",
         "classification_report", "multilabel_metrics", "taxonomy_labels", "score_texts",
-        "char_ngrams", "feature_union", "encode_sequences"]
+        "char_ngrams", "feature_union", "encode_sequences", "train_val_test_split", "fixed_sample", "scan_union"]
 
 
 def _norm(v):
@@ -56,10 +57,33 @@ def test_entry_runs(spark):
     assert df.count() >= 0
 
 
-@pytest.mark.parametrize("key", ["processed_dataset", "log_odds_words", "tfidf_sublinear", "score_texts"])
-def test_no_python_udf_in_plans(spark, key):
+CORE = [k for k in QUERIES if k not in ("train_final", "experiment_comparison_models")]  # minutes of fitting
+
+
+@pytest.mark.parametrize("key", CORE)
+def test_no_python_in_plans(spark, key):
     plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert "EvalPython" not in plan and "InPandas" not in plan and "InArrow" not in plan
+
+
+RATINGS = ["filter_unclear", "corpus_stats", "label_prevalence", "mean_ratings", "label_count_histogram", "first_per_key", "map_single_class"]
+
+
+@pytest.mark.parametrize("key", RATINGS)
+def test_ratings_come_from_the_scan(spark, key):
+    plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and "FileScan parquet" in plan
+
+
+def test_unclear_filter_reaches_the_scan(spark):
+    plan = E.queries()["filter_unclear"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line and "events" in line)
+    assert "EqualTo(event_type,error)" in scan and "props" not in scan.split("ReadSchema")[1]
+
+
+def test_every_text_is_scored(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    assert E.queries()["score_texts"](spark, SF_SMALL).count() == docs.count()
 
 
 def test_dedup_has_no_collect_list(spark):
