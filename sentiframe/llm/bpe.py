@@ -33,10 +33,10 @@ NONE = np.int32(2**31 - 1)
 #: Rows longer than this merge all non-overlapping pairs of one rank per round.
 LONG_ROW = 512
 #: Parts of texts up to this many characters are remembered by a worker, so many at most.
-CACHED_CHARS, CACHED_PIECES = 40, 600_000
+CACHED_CHARS, CACHED_PIECES = 24, 200_000
 BLANK_AFTER_SPACE = re.compile(r" (?:\s|\Z)")
-CHUNK_CHARS = 1_000_000
-CELLS = 4_000_000  # of a matrix
+CHUNK_CHARS = 500_000
+CELLS = 500_000  # of a matrix
 
 
 class PairTable:

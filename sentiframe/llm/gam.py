@@ -24,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -195,11 +194,12 @@ def _with_features(rows: DataFrame, first: str) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, sample: int = SAMPLE) -> Additive:
-    rows: pd.DataFrame = training_rows(docs, labels, learn, sample).toPandas()
+    rows = training_rows(docs, labels, learn, sample).collect()
     # in an order of the rows' own, so that reruns add up alike
-    x = np.array(rows["features"].tolist(), float).reshape(len(rows), len(FEATURES))
-    order = np.lexsort(np.column_stack([x, rows["quality"]]).T)
-    return fit(x[order], rows["quality"].to_numpy(float)[order])
+    x = np.array([r["features"] for r in rows], float).reshape(len(rows), len(FEATURES))
+    y = np.array([r["quality"] for r in rows], float)
+    order = np.lexsort(np.column_stack([x, y]).T)
+    return fit(x[order], y[order])
 
 
 def score(docs: DataFrame, model: Additive, columns: list[str], text_col: str = "text") -> DataFrame:
