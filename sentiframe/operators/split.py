@@ -6,15 +6,18 @@ a class is floor(n_c * n_train / n) plus one unit for the classes with the
 largest remainders (ties: class name ascending); test takes the rest.
 
 Scale: ranking a whole class with one window would put every row of a class
-into one task.  Instead rows are first counted per (class, hash bucket) -
-a table whose size is bounded by classes x 16^bucket_chars, independent of
-the data - the bucket table yields running counts, and only rows of the one
-bucket per class that straddles the quota get an exact window rank
-(partitioned by class and bucket, so ~n_c / 16^bucket_chars rows per task).
+into one task.  Instead rows are first counted per (class, hash bucket), the
+bucket table yields running counts, and only rows of the one bucket per class
+that straddles the quota get an exact window rank.  The number of buckets
+follows the number of rows (``bucket_chars``), so that such a bucket stays
+small; the bucket table joins back without a hint, since its size depends on
+the number of classes.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,9 +25,18 @@ from ..constants import SPLIT_SEED, TEST_SIZE
 from ..session import written
 
 
-def _hashed(df: DataFrame, key_col: str, seed: str, bucket_chars: int) -> DataFrame:
+ROWS_PER_BUCKET, MOST_CHARS = 100_000, 4
+
+
+def bucket_chars(rows: int) -> int:
+    """Hexadecimal digits of the hash that make a bucket of about
+    ROWS_PER_BUCKET rows: 1 up to MOST_CHARS."""
+    return min(MOST_CHARS, max(1, math.ceil(math.log(max(1, rows) / ROWS_PER_BUCKET, 16))))
+
+
+def _hashed(df: DataFrame, key_col: str, seed: str, chars: int | None) -> DataFrame:
     h = F.md5(F.concat(F.lit(seed + "|"), F.col(key_col)))
-    return df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, bucket_chars))
+    return df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, chars or bucket_chars(df.count())))
 
 
 def _quotas(bucket_counts: DataFrame, class_col: str, test_size: float) -> DataFrame:
@@ -46,18 +58,16 @@ def _quotas(bucket_counts: DataFrame, class_col: str, test_size: float) -> DataF
 def stratified_split(df: DataFrame, class_col: str, key_col: str,
                      test_size: float = TEST_SIZE, seed: str = SPLIT_SEED,
                      labels: tuple[str, str] = ("train", "test"),
-                     bucket_chars: int = 3) -> DataFrame:
+                     chars: int | None = None) -> DataFrame:
     """Add a ``split`` column with exact stratified quotas."""
-    keyed = _hashed(df, key_col, seed, bucket_chars)
+    keyed = _hashed(df, key_col, seed, chars)
     buckets = keyed.groupBy(class_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
     quotas = _quotas(buckets, class_col, test_size)
     running = Window.partitionBy(class_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     plan = (buckets.join(quotas, class_col)
             .select(class_col, "_b", "_quota", F.sum("_n").over(running).alias("_cum"),
                     (F.sum("_n").over(running) - F.col("_n")).alias("_before")))
-    # The bucket plan has at most (#classes x 16^bucket_chars) rows: a proven
-    # bound, so it is safe to broadcast.
-    tagged = keyed.join(F.broadcast(plan), [class_col, "_b"])
+    tagged = keyed.join(plan, [class_col, "_b"])
     first, second = labels
     decided = tagged.where((F.col("_cum") <= F.col("_quota")) | (F.col("_before") >= F.col("_quota")))
     decided = decided.withColumn(
@@ -83,15 +93,15 @@ def train_val_test_split(df: DataFrame, class_col: str, key_col: str,
     return second.unionByName(test)
 
 
-def fixed_sample(df: DataFrame, key_col: str, n: int, seed: str = SPLIT_SEED, bucket_chars: int = 3) -> DataFrame:
+def fixed_sample(df: DataFrame, key_col: str, n: int, seed: str = SPLIT_SEED, chars: int | None = None) -> DataFrame:
     """Seeded sample of min(n, rows) rows without replacement (O3): the first
     n by hash, then key.  Counts per hash bucket tell which buckets are in
     whole and which one is in part; only that one is ranked."""
-    keyed = _hashed(df, key_col, seed, bucket_chars)
+    keyed = _hashed(df, key_col, seed, chars)
     counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # 16^bucket_chars rows at most
+    running = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # 16^MOST_CHARS rows at most
     plan = counts.select("_b", F.sum("_n").over(running).alias("_cum"), "_n").where(F.col("_cum") - F.col("_n") < n)
-    tagged = keyed.join(F.broadcast(plan), "_b")
+    tagged = keyed.join(F.broadcast(plan), "_b")  # bounded likewise
     whole = tagged.where(F.col("_cum") <= n)
     rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key_col))
     part = (tagged.where(F.col("_cum") > n).withColumn("_r", rank)

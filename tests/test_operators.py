@@ -30,7 +30,7 @@ def test_dedup_ties_and_first_row(spark):
 def test_stratified_split_quotas_and_disjoint(spark):
     rows = [(i, f"t{i}", m) for i, m in enumerate(["happy"] * 37 + ["sad"] * 11 + ["angry"] * 5 + ["neutral"] * 2)]
     df = spark.createDataFrame(rows, "id long, clean_text string, mood string")
-    sp = SP.stratified_split(df, "mood", "clean_text", bucket_chars=1)
+    sp = SP.stratified_split(df, "mood", "clean_text", chars=1)
     got = {(r.mood, r.split): r.n for r in sp.groupBy("mood", "split").agg(F.count("*").alias("n")).collect()}
     n = 55
     n_test = -(-n // 5)
@@ -39,7 +39,7 @@ def test_stratified_split_quotas_and_disjoint(spark):
     assert sp.count() == n and sp.select("id").distinct().count() == n
     assert SP.split_overlap(sp).first().overlap == 0
     # same result whatever the bucket granularity
-    sp2 = SP.stratified_split(df.repartition(7), "mood", "clean_text", bucket_chars=3)
+    sp2 = SP.stratified_split(df.repartition(7), "mood", "clean_text", chars=3)
     a = {r.id: r.split for r in sp.collect()}
     b = {r.id: r.split for r in sp2.collect()}
     assert a == b
@@ -52,7 +52,7 @@ def test_split_ranks_the_bucket_that_straddles(spark):
     for i in range(700):
         key = hashlib.md5(f"42|t{i}".encode()).hexdigest()
         by_hash.setdefault("happy" if i % 3 else "sad", []).append((key, f"t{i}", i))
-    got = {r.id: r.split for r in SP.stratified_split(df, "mood", "clean_text", bucket_chars=1).collect()}
+    got = {r.id: r.split for r in SP.stratified_split(df, "mood", "clean_text", chars=1).collect()}
     quota = {"happy": 373, "sad": 187}  # 560 of 700 by largest remainder
     for mood, rows in by_hash.items():
         for rank, (_, _, i) in enumerate(sorted(rows)):
@@ -65,11 +65,15 @@ def test_train_validation_test(spark):
     assert {r["split"]: r["count"] for r in got} == {"train": 144, "validation": 16, "test": 40}
 
 
+def test_buckets_follow_the_rows():
+    assert [SP.bucket_chars(n) for n in (0, 10, 100_000, 1_600_001, 10**9, 10**12)] == [1, 1, 1, 2, 4, 4]
+
+
 def test_fixed_sample_is_the_first_by_hash(spark):
     df = spark.createDataFrame([(f"k{i}",) for i in range(500)], "k string")
     order = sorted((hashlib.md5(f"42|k{i}".encode()).hexdigest(), f"k{i}") for i in range(500))
     for n, chars in ((1, 1), (77, 1), (77, 3), (500, 2), (900, 1)):
-        got = {r.k for r in SP.fixed_sample(df.repartition(3), "k", n, bucket_chars=chars).collect()}
+        got = {r.k for r in SP.fixed_sample(df.repartition(3), "k", n, chars=chars).collect()}
         assert got == {k for _, k in order[:n]}
 
 
