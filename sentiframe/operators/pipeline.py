@@ -6,7 +6,8 @@ Scale notes
   class) before they meet the text table, so a hot example (one id holding a
   large share of all ratings) is collapsed map-side by partial aggregation
   and never reaches a join or group as raw rows.
-* Texts are cleaned once per example, not once per rating row.
+* Texts are cleaned once per example, not once per rating row, and after the
+  join has dealt them by id.
 * Duplicate resolution groups by the cleaned text with one conditional count
   per class and ``min_by(id, seq)`` for the first row: fixed-width buffers,
   hash aggregation with map-side combine; no ``collect_list`` of raw rows.
@@ -42,19 +43,6 @@ def mood_rows(ratings: DataFrame) -> DataFrame:
     return mood_labels(ratings).where(F.col("mood").isNotNull())
 
 
-def cleaned_examples(examples: DataFrame) -> DataFrame:
-    """(id, text, clean_text, bert_text) for every example.
-
-    An example survives P3 exactly when ``clean_text != ''``: a non-empty
-    aggressive clean keeps letters the light clean keeps as well, so the light
-    text is then non-blank too.  The check is applied after the vote
-    aggregation (see ``_decide``) so the optimizer does not push a copy of the
-    cleaning expression into a filter below the projection.
-    """
-    return examples.select("id", "text", clean_text("text").alias("clean_text"),
-                           light_clean_text("text").alias("bert_text"))
-
-
 def class_votes_per_example(labelled: DataFrame, classes: list[str] = MOOD_LABELS) -> DataFrame:
     """One row per id with at least one mapped row: a vote count per class,
     total and first seq.  Null moods do not vote."""
@@ -67,7 +55,12 @@ def class_votes_per_example(labelled: DataFrame, classes: list[str] = MOOD_LABEL
 
 
 def _text_groups(votes: DataFrame, texts: DataFrame, classes: list[str]) -> DataFrame:
+    """Votes per cleaned text.  Texts are cleaned after the join: by then they
+    are dealt by id, and only those with votes are left.  Texts that come
+    cleaned are taken as they are."""
     joined = votes.join(texts, "id")
+    if "clean_text" not in texts.columns:
+        joined = joined.withColumn("clean_text", clean_text("text")).drop("text")
     return joined.groupBy("clean_text").agg(
         *[F.sum(f"n_{c}").alias(f"n_{c}") for c in classes],
         F.sum("n_rows").alias("n_rows"),
@@ -93,7 +86,8 @@ def resolve_duplicates(labelled: DataFrame, texts: DataFrame,
                        classes: list[str] = MOOD_LABELS) -> DataFrame:
     """Majority vote per cleaned text (A1).
 
-    ``labelled``: (id, seq, mood) annotation rows; ``texts``: cleaned examples.
+    ``labelled``: (id, seq, mood) annotation rows; ``texts``: (id, text)
+    examples, cleaned here unless they carry ``clean_text``.
     A group whose top count is shared by two or more classes is dropped.
     Otherwise the first row (lowest ``seq``) supplies id/text/bert_text and
     the winning class is the mood.  The aggregation buffer holds only
@@ -112,7 +106,7 @@ def resolve_duplicates(labelled: DataFrame, texts: DataFrame,
 def processed_dataset(ratings: DataFrame, examples: DataFrame,
                       classes: list[str] = MOOD_LABELS) -> DataFrame:
     """ratings + examples -> (id, seq, text, clean_text, bert_text, mood)."""
-    return resolve_duplicates(mood_labels(ratings), cleaned_examples(examples), classes)
+    return resolve_duplicates(mood_labels(ratings), examples.select("id", "text"), classes)
 
 
 def pipeline_stats(ratings: DataFrame, examples: DataFrame,
@@ -122,7 +116,7 @@ def pipeline_stats(ratings: DataFrame, examples: DataFrame,
     spark = ratings.sparkSession
     votes = class_votes_per_example(mood_labels(ratings), classes)
     with_text = votes.join(examples.where(F.col("text").isNotNull()).select("id"), "id")
-    decided = _decide(_text_groups(votes, cleaned_examples(examples), classes), classes)
+    decided = _decide(_text_groups(votes, examples.select("id", "text"), classes), classes)
     summary = decided.agg(
         F.coalesce(F.sum("_kept_rows"), F.lit(0)).alias("rows_before_dedup"),
         F.count("_winner").alias("rows_after_dedup"),

@@ -25,8 +25,10 @@ from .agreement import agreed
 
 
 def example_word_counts(examples: DataFrame) -> DataFrame:
-    """(id, word, n): analysis-token counts per example (A17 per example)."""
-    toks = examples.select("id", F.explode(analysis_tokens("text")).alias("word"))
+    """(id, word, n): analysis-token counts per example (A17 per example).
+    Texts are dealt by id before their words are exploded, so neither the
+    counts nor a later join by id shuffles words."""
+    toks = examples.select("id", "text").repartition("id").select("id", F.explode(analysis_tokens("text")).alias("word"))
     return toks.groupBy("id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
