@@ -30,7 +30,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import written
@@ -63,14 +63,22 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) with the 64 bits in a signed long."""
+def text_hash() -> Column:
+    """128 bits of the text; null for a null text."""
+    return F.unhex(F.md5(F.col("text").cast("binary")))
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp) with the 64 bits in a signed long, and text_hash if asked for."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, len(batch))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64)), *batch.columns[2:]],
+                                             names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    extra = [text_hash().alias("text_hash")] if hashed else []
+    return docs.select("doc_id", "text", *extra).mapInArrow(
+        run, "doc_id long, fp long" + (", text_hash binary" if hashed else ""))
 
 
 class Forest:
@@ -232,26 +240,32 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2, subtree: int = 1 << 13) -> DataFrame:
-    """(doc_id, fp, component_id, group_size) of every row of ``docs``."""
-    prints = written(fingerprints(docs, shingle), "fingerprints")
+def near_duplicates(docs: DataFrame, shingle: int = 3, budget: int = 2, subtree: int = 1 << 13,
+                    hashed: bool = False) -> DataFrame:
+    """(doc_id, fp, root, component_id, group_size) of every row of ``docs``,
+    and text_hash if asked for; root is the fingerprint that tells a group from
+    all others, also where the groups' ids are equal or null."""
+    prints = written(fingerprints(docs, shingle, hashed), "fingerprints")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")), "distinct")
     linked = components(trie_self_join(distinct.select("fp"), budget, subtree))
     rooted = (distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
               .select("fp", F.coalesce("root", "fp").alias("root"), "first_id", "n"))
     named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.sum("n").alias("group_size"))
-    classes = written(rooted.select("fp", "root").join(named, "root").select("fp", "component_id", "group_size"), "classes")
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id", "group_size")
+    classes = written(rooted.select("fp", "root").join(named, "root").select("fp", "root", "component_id", "group_size"), "classes")
+    return prints.join(classes, "fp").select(*prints.columns, "root", "component_id", "group_size")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, budget: int = 2) -> DataFrame:
-    """One document of each group: the row whose id names the group.  Rows
-    with the same id, null included, are one document, so one of them stays;
-    a row without an id stays only where no member of its group has one."""
-    groups = near_duplicates(docs, shingle, budget)
-    ids = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    return (docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
-            .dropDuplicates(["doc_id"]))
+    """One row of each group: that of the smallest id, rows without an id last;
+    among rows of one id, that of the smallest text hash; among rows of one id
+    and text, that of the smallest hash of the other columns."""
+    groups = near_duplicates(docs, shingle, budget, hashed=True)
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]) & text_hash().eqNullSafe(kept["kept_hash"]), "left_semi")
+    rest = [x for c in docs.columns if c not in ("doc_id", "text") for x in (F.col(c).isNull(), F.col(c))]
+    one = F.min_by(F.struct(*docs.columns), F.xxhash64(F.lit(0), *rest)).alias("one")
+    return rows.groupBy("doc_id", text_hash().alias("text_hash")).agg(one).select("one.*")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

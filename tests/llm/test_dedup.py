@@ -98,6 +98,21 @@ def test_simhash_of_empty_table_and_keep_one(spark):
     assert set(ids) == named
 
 
+def test_keep_one_keeps_a_row_of_every_group(spark):
+    """Null ids, and one id on unlike texts, stand in groups of their own."""
+    unlike = [f"{w} alone in a text of its own, about {w} and no more than {w}" for w in ("stone", "river", "paper", "light")]
+    rows = [(None, unlike[0], "a"), (None, unlike[1], "a"), (7, unlike[2], "a"), (7, unlike[3], "a"),
+            (None, unlike[2], "a"), (None, unlike[1], "a"), (8, unlike[3], "a"), (7, unlike[3], None), (9, None, "a"), (9, "", "a")]
+    want = None
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, source string").repartition(3)
+        got = sorted(map(tuple, simhash_trie.keep_one(docs).collect()), key=str)
+        assert sorted((r[:2] for r in got), key=str) == sorted(
+            [(None, unlike[0]), (None, unlike[1]), (7, unlike[2]), (7, unlike[3]), (9, None)], key=str)
+        assert want in (None, got)
+        want = got
+
+
 @pytest.mark.parametrize("n", [1, 3, 60])
 @pytest.mark.parametrize("depth", [0, 3])
 def test_trie_links_in_subtrees(n, depth):
