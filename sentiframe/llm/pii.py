@@ -2,8 +2,9 @@
 
 Base spans come from four patterns with validators and always stay.  On top,
 generators of high recall propose further spans, which may overlap: e-mail
-addresses written out with "at" and "dot", telephone numbers without a plus,
-IPv6 addresses, card numbers with other separators.  Every candidate is
+addresses written out with "at" and "dot", telephone numbers of at least seven
+digits without a plus, in any groups or in one, IPv6 addresses in full and
+compressed, card numbers with other separators.  Every candidate is
 described by features of its format and of the text around it; gradient
 boosted trees, trained here on labelled snippets, score it, and a kind's
 threshold, calibrated on snippets that the trees did not see, decides.
@@ -41,6 +42,9 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+#: A telephone number starts neither within a number nor after its point or hyphen, and has seven digits.
+NUMBER = r"(?<![0-9+]|[0-9][.-])(?=\(?[0-9](?:[\x20()./-]{0,4}[0-9]){6})"
+HEX = r"[0-9A-Fa-f]{1,4}"
 #: FIXED VALUES: generators of candidates: name, kind, pattern.
 GENERATORS = [
     ("written email", "email",
@@ -50,6 +54,15 @@ GENERATORS = [
     ("dialled phone", "phone", r"(?<![0-9+])00[1-9](?:[\x20().-]?+[0-9]){7,13}+(?![0-9])"),
     ("ipv6", "ip", r"(?<![0-9A-Fa-f:.])(?:[0-9A-Fa-f]{1,4}:{1,2}){2,7}+[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])"),
     ("other card", "card", r"(?<![0-9])[0-9]{4}(?:[._/][0-9]{4}){2}+[._/][0-9]{1,7}(?![0-9])"),
+    ("evenly separated phone", "phone",
+     NUMBER + r"\(?[0-9]{1,8}\)?([\x20./-])\(?[0-9]{1,9}\)?(?:\1[0-9]{1,9}){0,6}+(?![0-9])"),
+    ("freely separated phone", "phone",
+     NUMBER + r"\(?[0-9]{1,8}(?:(?:\)?[\x20./-]{1,2}\(?|\)|\()[0-9]{1,9}){1,7}+(?![0-9])"),
+    ("two-part phone", "phone", NUMBER + r"\(?[0-9]{2,6}(?:\)[\x20./-]{0,2}|[\x20./-]{1,2})[0-9]{3,9}(?![0-9])"),
+    ("bare phone", "phone", r"(?<![0-9A-Za-z+]|[0-9][.,-])[0-9]{7,15}(?![0-9A-Za-z])"),
+    ("compressed ipv6", "ip",
+     rf"(?<![0-9A-Za-z:.])(?:{HEX}(?::{HEX}){{0,6}}+::(?:{HEX}(?::{HEX}){{0,6}}+)?|::{HEX}(?::{HEX}){{0,6}}+)(?![0-9A-Za-z:])"),
+    ("4-6-5 card", "card", r"(?<![0-9])[0-9]{4}[._/][0-9]{6}[._/][0-9]{4,5}(?![0-9])"),
 ]
 #: FIXED VALUES: words before a span that speak for or against a kind.
 SPEAKS = {
@@ -166,21 +179,25 @@ def describe(g: int, m: Column) -> list[Column]:
         flag(F.lower(last).rlike("^(?:" + SPEAKS[kind] + ")$")), flag(F.lower(last).rlike("^(?:" + AGAINST + ")$")),
         flag(F.lower(before).rlike(r"(?:^|[^\p{L}])(?:" + SPEAKS[kind] + r")[^\p{L}]")), flag(before.rlike(r"(?:^|[\s:=,;(])$|^$")),
         flag(after.rlike(r"^(?:$|[\s.,;)!?])")), flag(F.lower(text).rlike(r"\sat\s.*\sdot\s")),
+        flag(text.rlike(r"^\(?0[0-9]|^1[\x20./-]")), flag(after.rlike(r"^[\x20()./-]{1,2}[0-9]")),
     ]
 
 
 PROPOSALS = "array<struct<kind:int,start:int,end:int,features:array<double>>>"
-#: Every written address holds this; every other candidate holds a digit.
+#: Every written address holds this; an IPv6 address holds a colon beside another or a hexadecimal digit, the rest a digit.
 WRITTEN_AT = (r"(?i)[\[({]at[\])}]|@[a-z0-9-]++(?:\x20?[\[({]dot|\x20dot\x20)|"
               r"\x20at\x20[a-z0-9-]++(?:\.[a-z0-9-]|\x20?[\[({]dot|\x20dot\x20)")
 
 
+MAY_PROPOSE = {"email": WRITTEN_AT, "ip": "[0-9A-Fa-f:]:|:[0-9A-Fa-f:]", "card": "[0-9]", "phone": "[0-9]"}
+
+
 def proposed(text: Column) -> Column:
     """array<struct<kind, start, end, features>> of all generators."""
     kinds = {name: i for i, name in enumerate(KINDS)}
     out = []
     for g, (_, kind, pattern) in enumerate(GENERATORS):
-        may = text.rlike(WRITTEN_AT if kind == "email" else "[0-9]")
+        may = text.rlike(MAY_PROPOSE[kind])
         found = F.transform(matches(text, pattern), _proposal(g, kinds[kind]))
         out.append(F.when(may, found).otherwise(F.array().cast(PROPOSALS)))
     return F.concat(*out)
@@ -202,21 +219,31 @@ SNIPPETS = {
         "stop at $$$$$$.$$$ for lunch", "the $$$$$ at $$$$$.$$$$$$ was", "a lot at $$$$ dot $$$$$", "years at $$$$$$$.$$$$ and more"],
     ("phone", 1): [
         "call ###-###-####", "phone: (###) ###-####", "tel ###.###.#### please", "mobile ## ## ## ## ##", "my number, call 0049 ## #######",
-        "fax 00## ### ### ###", "dial 0033 # ## ## ## ##", "text me on ##### ######", "ring ### ### #### after six", "call us at (##) #### ####"],
+        "fax 00## ### ### ###", "dial 0033 # ## ## ## ##", "text me on ##### ######", "ring ### ### #### after six", "call us at (##) #### ####",
+        "call #-###-###-####", "dial # (###) ###-#### now", "mobile 0#### ######", "phone 0## #######", "tel 0##/#######, please",
+        "phone (0##)####### today", "call ##########", "mobile 0##########, thanks", "whatsapp ########## after six", "fax ###-####",
+        "ring 0### ###### or write", "phone: 1-800-###-####"],
     ("phone", 0): [
         "order ###-###-####-##", "isbn ###-##-###-##", "version ##.##.##", "pages ##-##-##", "dated 20##-##-## ##", "score ##-##-##",
-        "serial 00########", "ref ##/##/####", "batch ####-####-####-####", "lines ## ## ## ## ## ##", "on ##.##.20## we", "ticket 00##########"],
+        "serial 00########", "ref ##/##/####", "batch ####-####-####-####", "lines ## ## ## ## ## ##", "on ##.##.20## we", "ticket 00##########",
+        "order ##########", "invoice ######## is paid", "serial ############", "ref ####### done", "years 20##-20##", "isbn #-###-#####-#",
+        "isbn ##########", "lot 0#### ######", "score ###-####", "model ### ####", "about ######## people", "it counts ########## bytes",
+        "lines # ### ### ###", "version #.###.###.####", "sku #-###-###-####", "part 0## #######", "a sum of ### ###### in all"],
     ("ip", 1): [
         "host 20**:*db#:**::****", "ping fe80::****:****:****:****", "server ****:****:****:****:****:****:****:****",
-        "client ip 2a0#:***::*", "from ****:***:****:****::**", "address ::ffff:****:**** 2001:db8:#::#"],
+        "client ip 2a0#:***::*", "from ****:***:****:****::**", "address ::ffff:****:**** 2001:db8:#::#",
+        "ping fe80::#", "host ::#", "server 2001:db8::", "gateway fe80::****, then", "dns 2001:db8:**::", "client ::ffff:****:0#*#"],
     ("ip", 0): [
-        "at ##:##:## sharp", "time ##:##:##", "ratio #:#:#", "mac **:**:**:**:**:**", "score ##:##:##:##", "verse #:##:##"],
+        "at ##:##:## sharp", "time ##:##:##", "ratio #:#:#", "mac **:**:**:**:**:**", "score ##:##:##:##", "verse #:##:##",
+        "class dad::add", "type abc::fed", "model bed::", "call face::cab() there", "see ::add and"],
     ("card", 1): [
         "card 4111.1111.1111.1111", "visa 4012.8888.8888.1881", "pay 5555.5555.5555.4444", "credit card 3530.1113.3330.0000",
-        "debit 6011.1111.1111.1117", "number 4000_0566_5566_5556", "charge 5105/1051/0510/5100"],
+        "debit 6011.1111.1111.1117", "number 4000_0566_5566_5556", "charge 5105/1051/0510/5100",
+        "amex 3782.822463.10005", "card 3714_496353_98431", "pay 3787/344936/71000"],
     ("card", 0): [
         "serial ####.####.####.####", "invoice ####_####_####_####", "batch ####/####/####/###", "ref ####.####.####.#",
-        "sku ####_####_####_####", "model ####.####.####.##"],
+        "sku ####_####_####_####", "model ####.####.####.##",
+        "serial ####.######.#####", "batch ####_######_#####", "ref ####/######/####"],
 }
 COPIES = 30
 
@@ -271,10 +298,15 @@ def _tree(node) -> tuple:
 
 def train(spark: SparkSession) -> Scorer:
     """Fit on four fifths of the filled-in snippets; on the rest, choose each
-    kind's lowest threshold at which PRECISION of its selections are right."""
-    one = F.explode(proposed(F.col("text"))).alias("c")
-    rows = (snippets(spark).select("copy", "text", F.col("kind").alias("k"), "label", one).where(F.col("c.kind") == F.col("k"))
-            .select("copy", "k", F.col("label").cast("double").alias("label"), array_to_vector("c.features").alias("features")))
+    kind's lowest threshold at which PRECISION of its selections are right.  A
+    part of a longer candidate of its kind counts as wrong."""
+    longer = lambda o, c: ((o["kind"] == c["kind"]) & (o["start"] <= c["start"]) & (o["end"] >= c["end"])
+                           & (o["end"] - o["start"] > c["end"] - c["start"]))
+    rows = snippets(spark).select("copy", F.col("kind").alias("k"), "label", proposed(F.col("text")).alias("all"))
+    rows = rows.select("copy", "k", "label", "all", F.explode("all").alias("c")).where(F.col("c.kind") == F.col("k"))
+    whole = ~F.exists("all", lambda o: longer(o, F.col("c")))
+    rows = rows.select("copy", "k", (F.col("label") * whole.cast("int")).cast("double").alias("label"),
+                       array_to_vector("c.features").alias("features"))
     rows = rows.coalesce(1).persist()
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=5, maxBins=16).fit(rows.where(F.col("copy") % 5 != 0))
     trees = [_tree(t._java_obj.rootNode()) for t in model.trees]

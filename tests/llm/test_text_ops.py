@@ -231,6 +231,32 @@ def test_personal_data(spark, scorer):
     assert pii.find(docs.limit(0), scorer).count() == 0
 
 
+def test_generators_propose_every_form(spark):
+    forms = {"phone": ["1-800-555-1234", "1 (800) 555-1234", "07911 123456", "030 1234567", "(030)1234567", "5551234567", "030/1234567-12"],
+             "ip": ["fe80::1", "::1", "::ffff:c000:0280", "2001:db8::", "dead::beef"], "card": ["3782.822463.10005"]}
+    one = F.explode(pii.proposed(F.col("text"))).alias("c")
+    for kind, texts in forms.items():
+        docs = spark.createDataFrame([(f"see {t}, then",) for t in texts], "text string")
+        got = {(r["text"], r["kind"], r["text"][r["start"]:r["end"]]) for r in docs.select("text", one).select("text", "c.*").collect()}
+        assert {(f"see {t}, then", pii.KINDS.index(kind), t) for t in texts} <= got
+
+
+def test_every_positive_snippet_has_a_candidate(spark):
+    kinds = F.transform(pii.proposed(F.col("text")), lambda c: c["kind"])
+    missed = pii.snippets(spark).where("label = 1").where(~F.array_contains(kinds, F.col("kind")))
+    assert missed.collect() == []
+
+
+def test_wider_forms_are_selected(spark, scorer):
+    texts = ["call 1-800-555-1234 now", "text me on 07911 123456", "phone 030 1234567, please", "call 5551234567", "ping fe80::1", "host ::1 is up",
+             "amex 3782.822463.10005", "order 5551234567", "the years 2019-2020", "class dad::add", "isbn 1-234-56789-0", "about 12345678 people"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: [texts[r["doc_id"]][s["start"]:s["end"]] for s in r["spans"]] for r in pii.find(docs, scorer).collect()}
+    assert [got[i] for i in range(7)] == [["1-800-555-1234"], ["07911 123456"], ["030 1234567"], ["5551234567"], ["fe80::1"], ["::1"],
+                                          ["3782.822463.10005"]]
+    assert not any(got[i] for i in range(7, 12))
+
+
 def test_added_spans(spark, scorer):
     texts = ["call me at 555-123-4567 or john at gmail dot com", "ping 2001:db8:85a3::8a2e:370:7334", "card 4111.1111.1111.1111",
              "they met at noon dot and left", "order 555-123-4567-12", "the score 10:20:30", "the river and the stone"]
