@@ -388,7 +388,7 @@ def q_scan_union(spark, sf_dir):
     path = shared_folder(spark, "csv-parts")
     layouts = [["id", "text", "lang", "source"], ["source", "text", "id", "lang"], ["text", "id", "lang"]]
     for i, columns in enumerate(layouts):
-        IO.write_csv(docs.where(F.col("id") % 3 == i).select(*columns), f"{path}/part{i}")
+        IO.write_csv(docs.where(F.pmod(F.coalesce("id", F.lit(0)), F.lit(3)) == i).select(*columns), f"{path}/part{i}")
     return IO.scan_by_name(spark, [f"{path}/part{i}" for i in range(3)], docs.schema)
 
 

@@ -93,6 +93,14 @@ def test_every_text_is_scored(spark):
     assert E.queries()["score_texts"](spark, SF_SMALL).count() == docs.count()
 
 
+def test_scan_union_keeps_null_and_negative_ids(spark, tmp_path):
+    ids = [None, -4, -3, -2, -1, 0, 1, 2, None]
+    rows = [(i, f"text {k}", "en", "src") for k, i in enumerate(ids)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in E.queries()["scan_union"](spark, str(tmp_path)).select("id", "text", "lang").collect()]
+    assert sorted(got, key=str) == sorted((r[:3] for r in rows), key=str)
+
+
 def test_dedup_has_no_collect_list(spark):
     plan = E.queries()["dedup_majority"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan
