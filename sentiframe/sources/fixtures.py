@@ -10,11 +10,11 @@ ratings per example.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..constants import EMOTIONS, MOOD_LABELS
-from ..session import table
+from ..session import table, written
 
 # FIXED VALUES: prefixes of the rule-text fixture, in order.
 RULE_PREFIXES = [
@@ -130,7 +130,14 @@ def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, logits) for every document: text i has the outputs of vector
-    i mod count(embeddings)."""
-    n = table(spark, sf_dir, "embeddings").select(F.count(F.lit(1))).scalar()
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), (F.col("doc_id") % n).alias("id"))
-    return texts.join(logits(spark, sf_dir), "id").select(F.col("text_id").alias("id"), "logits")
+    i mod count(embeddings), the vectors being numbered from 0 in the order of
+    their ids, dealt by range."""
+    ranged = written(logits(spark, sf_dir).repartitionByRange("id").withColumn("part", F.spark_partition_id()), "logits")
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # one row per partition
+    before = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy("id", "logits")) - 1
+    numbered = ranged.withColumn("inside", inside).join(before, "part").select(
+        (F.col("inside") + F.col("before")).alias("id"), "logits")
+    n = ranged.select(F.count(F.lit(1))).scalar()
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), F.pmod("doc_id", n).alias("id"))
+    return texts.join(numbered, "id").select(F.col("text_id").alias("id"), "logits")

@@ -93,6 +93,16 @@ def test_every_text_is_scored(spark):
     assert E.queries()["score_texts"](spark, SF_SMALL).count() == docs.count()
 
 
+def test_every_text_is_scored_on_vectors_with_gaps(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    vectors = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    gaps = vectors.where("vec_id % 3 <> 1").withColumn("vec_id", vectors["vec_id"] * 5 + 7)
+    gaps.union(gaps.limit(1)).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = [r["id"] for r in E.queries()["score_texts"](spark, str(tmp_path)).select("id").collect()]
+    assert sorted(got) == sorted(r["doc_id"] for r in docs.collect())
+
+
 def test_scan_union_keeps_null_and_negative_ids(spark, tmp_path):
     ids = [None, -4, -3, -2, -1, 0, 1, 2, None]
     rows = [(i, f"text {k}", "en", "src") for k, i in enumerate(ids)]
