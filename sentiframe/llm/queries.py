@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import bpe, gam, line_crf, line_runs, mixing, multi_index, pii, rank_language, simhash_trie, url_filter
+from . import (bpe, fim, gam, katz, line_crf, line_runs, mixing, multi_index, pii, rank_language, simhash_trie, url_filter,
+               whiten)
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,8 +16,12 @@ QUERIES = {
     "op8_language": rank_language.op8_language,
     "op9_line_dedup": line_runs.op9_line_dedup,
     "op10_simhash": simhash_trie.op10_simhash,
+    "op11_katz": katz.op11_katz,
+    "op12_fim": fim.op12_fim,
+    "op13_whitening": whiten.op13_whitening,
 }
 
 ORACLE = {
     "op9_line_dedup": line_runs.OP9_SQL,
+    "op12_fim": fim.OP12_SQL,
 }
