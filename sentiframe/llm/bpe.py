@@ -22,6 +22,7 @@ from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,9 @@ from .common import chunks
 NONE = np.int32(2**31 - 1)
 #: Rows longer than this merge all non-overlapping pairs of one rank per round.
 LONG_ROW = 512
-#: Parts of texts up to this many characters are remembered by a worker, so many at most.
-CACHED_CHARS, CACHED_PIECES = 24, 200_000
+#: Parts of texts up to this many characters are remembered within a partition, so many
+#: at most: below 40 MB, as a part has 24 characters and so many ids at most 4 bytes each a byte.
+CACHED_CHARS, CACHED_PIECES = 24, 100_000
 BLANK_AFTER_SPACE = re.compile(r" (?:\s|\Z)")
 CHUNK_CHARS = 500_000
 CELLS = 500_000  # of a matrix
@@ -82,10 +84,32 @@ class PairTable:
         return out.reshape(shape)
 
 
-class Vocabulary:
-    """Token bytes by id, with the tables that encoding and decoding need."""
+class Decoder:
+    """Token bytes by id: three arrays, under 1 MB for 50,000 tokens."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        by_id = sorted(ranks.items(), key=lambda x: x[1])
+        size = by_id[-1][1] + 1 if by_id else 0
+        self.lengths = np.zeros(size, np.int64)
+        self.lengths[[r for _, r in by_id]] = [len(t) for t, _ in by_id]
+        self.starts = np.concatenate(([0], np.cumsum(self.lengths)))
+        self.blob = np.frombuffer(b"".join(t for t, _ in by_id), np.uint8)
+
+    def decode(self, codes: list[bytes]) -> list[bytes]:
+        ids = np.frombuffer(b"".join(codes), "<u4").astype(np.int64)
+        lengths = self.lengths[ids]
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        at = np.repeat(self.starts[ids] - ends[:-1], lengths) + np.arange(ends[-1])
+        data = self.blob[at].tobytes()
+        bounds = ends[np.concatenate(([0], np.cumsum([len(c) // 4 for c in codes])))]
+        return [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+class Vocabulary(Decoder):
+    """A decoder with the tables that encoding needs."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
+        super().__init__(ranks)
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.byte_ids = np.full(256, -1, np.int32)
         left, right, merged = [], [], []
@@ -100,12 +124,6 @@ class Vocabulary:
                     merged.append(rank)
         self.pairs = PairTable(*(np.array(x, np.int32) for x in (left, right, merged)))
         self.byte_pairs = self.pairs.ranks(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256))
-        by_id = sorted(ranks.items(), key=lambda x: x[1])
-        size = by_id[-1][1] + 1 if by_id else 0
-        self.lengths = np.zeros(size, np.int64)
-        self.lengths[[r for _, r in by_id]] = [len(t) for t, _ in by_id]
-        self.starts = np.concatenate(([0], np.cumsum(self.lengths)))
-        self.blob = np.frombuffer(b"".join(t for t, _ in by_id), np.uint8)
         self.cache: dict[str, bytes] = {}
         self._long: list[str] = []
 
@@ -242,26 +260,27 @@ class Vocabulary:
         self._long.clear()
         return out
 
-    def decode(self, codes: list[bytes]) -> list[bytes]:
-        ids = np.frombuffer(b"".join(codes), "<u4").astype(np.int64)
-        lengths = self.lengths[ids]
-        ends = np.concatenate(([0], np.cumsum(lengths)))
-        at = np.repeat(self.starts[ids] - ends[:-1], lengths) + np.arange(ends[-1])
-        data = self.blob[at].tobytes()
-        bounds = ends[np.concatenate(([0], np.cumsum([len(c) // 4 for c in codes])))]
-        return [data[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
+#: The last one of each class: a worker holds one vocabulary, and builds it once.
+_HELD: dict[str, tuple] = {}
 
-_VOCABULARIES: dict[tuple, Vocabulary] = {}
+
+def _ranks(lines: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
 
 
 def _vocabulary(lines: bytes, pattern: str) -> Vocabulary:
-    """One per worker process: building it takes a second."""
     key = (hash(lines), pattern)
-    if key not in _VOCABULARIES:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines.splitlines())}
-        _VOCABULARIES[key] = Vocabulary(ranks, pattern)
-    return _VOCABULARIES[key]
+    if _HELD.get("vocabulary", (None,))[0] != key:
+        _HELD["vocabulary"] = key, Vocabulary(_ranks(lines), pattern)
+    return _HELD["vocabulary"][1]
+
+
+def _decoder(lines: bytes) -> Decoder:
+    key = hash(lines)
+    if _HELD.get("decoder", (None,))[0] != key:
+        _HELD["decoder"] = key, Decoder(_ranks(lines))
+    return _HELD["decoder"][1]
 
 
 def read_ranks(path: str) -> bytes:
@@ -271,30 +290,48 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
+def _encoded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str, text_col: str, keep: tuple[str, ...], back: bool) -> DataFrame:
+    """One pass over the texts; ``back`` adds the decoded bytes."""
+    lines = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    width = 1 + len(keep)
+    kept = [docs.schema[c] for c in (id_col, *keep)]
+    source = docs.select(id_col, *keep, text_col).toDF(*[f"c{i}" for i in range(width + 1)])  # kept columns may have any name
+    made = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())] + [T.StructField("bytes", T.BinaryType())] * back
+    schema = T.StructType([*[T.StructField(f"c{i}", f.dataType) for i, f in enumerate(kept)], *made])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = _vocabulary(lines.value, pattern)
+        try:
+            for batch in batches:
+                lengths = pc.fill_null(pc.binary_length(batch.column(width)), 0).to_pylist()
+                for a, b in chunks([range(n) for n in lengths], CHUNK_CHARS):
+                    codes = vocabulary.encode_texts(batch.column(width).slice(a, b - a).to_pylist())
+                    columns = [batch.column(i).slice(a, b - a) for i in range(width)]
+                    columns += [pa.array([len(c) // 4 for c in codes], pa.int64()), pa.array(codes, pa.binary())]
+                    if back:
+                        columns.append(pa.array(vocabulary.decode(codes), pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        finally:
+            vocabulary.cache.clear()
+
+    return source.mapInArrow(run, schema).toDF(id_col, *keep, *[f.name for f in made])
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
            text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, kept columns, n_tokens long, ids binary: little-endian unsigned
     32-bit token ids) of every whole text."""
-    lines = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
-    source = docs.select(id_col, *keep, F.col(text_col).alias("_text"))
-    schema = T.StructType([f for f in source.schema.fields if f.name != "_text"]
-                          + [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+    return _encoded(docs, ranks_path, pattern, id_col, text_col, keep, False)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(lines.value, pattern)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for a, b in chunks(texts, CHUNK_CHARS):
-                codes = vocabulary.encode_texts(texts[a:b])
-                columns = [batch.column(i).slice(a, b - a) for i in range(batch.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array([len(c) // 4 for c in codes], pa.int64()), pa.array(codes, pa.binary())],
-                    names=schema.names)
 
-    return source.mapInArrow(run, schema)
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
+               text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``encode`` with the ``bytes`` (binary) that the ids decode to, by one
+    worker in one pass."""
+    return _encoded(docs, ranks_path, pattern, id_col, text_col, keep, True)
 
 
-def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """``encoded`` with its ``ids`` turned back into ``bytes`` (binary) in a
     new last column."""
     lines = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
@@ -302,21 +339,19 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     at = encoded.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(lines.value, pattern)
+        decoder = _decoder(lines.value)
         for batch in batches:
-            codes = batch.column(at).to_pylist()
-            for a in range(0, len(codes), 256):
+            for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(vocabulary.decode(codes[a:a + 256]), pa.binary())], names=schema.names)
+                decoded = decoder.decode(part.column(at).to_pylist())
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], names=schema.names)
 
     return encoded.mapInArrow(run, schema)
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Round trip of every document as digests."""
-    both = decode(encode(docs, ranks_path, pattern), ranks_path, pattern)
-    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+    return round_trip(docs, ranks_path, pattern).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("bytes", 256).alias("decoded_sha256"))
 
 

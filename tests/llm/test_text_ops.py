@@ -47,6 +47,16 @@ def test_bpe_table(spark, library):
     assert bpe.digests(fixtures.documents(spark).limit(0), *bpe.public_vocabulary()).count() == 0
 
 
+def test_bpe_keeps_columns_of_any_name(spark):
+    path, pattern = bpe.public_vocabulary()
+    docs = fixtures.documents(spark).withColumns({"c0": F.col("size"), "bytes2": F.col("ids"), "_text": F.col("lang")})
+    encoded = bpe.encode(docs, path, pattern, keep=("c0", "bytes2", "_text"))
+    assert encoded.columns == ["doc_id", "c0", "bytes2", "_text", "n_tokens", "ids"]
+    decoded = bpe.decode(encoded, path)
+    both = bpe.round_trip(docs, path, pattern, keep=("c0", "bytes2", "_text"))
+    assert sorted(map(str, decoded.collect())) == sorted(map(str, both.collect()))
+
+
 def brute_ngrams(text):
     words = re.findall(r"[^\W\d_]+", (text or "").lower())
     return Counter(g for w in words for g in [*w] + [(f" {w} ")[i:i + n] for n in (2, 3) for i in range(len(w) + 3 - n)])
