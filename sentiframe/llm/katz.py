@@ -51,19 +51,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, shared_folder, written
+from .common import chunks, written
 
 CUT = 5  # counts above are not discounted
-HEAD, HOT, LEAST_HOT = 1 << 18, 5_000, 1_000
-BUCKET_TOKENS = 1_000_000
-CHUNK_CHARS = 6_000_000
-#: Hashes of the start mark and the end token: no word holds a blank.
-START, END = (np.array([xxhash.xxh64_intdigest(x)], np.uint64).view(np.int64)[0] for x in (b"\t", b"\n"))
+HEAD, HOT, LEAST_HOT = 1 << 20, 5_000, 1_000
+BUCKET_TOKENS = 1_500_000
+CHUNK_CHARS = 4_000_000
+#: Keys of the start mark and the end token.
+START, END = np.int64(0x1F83D9ABFB41BD6B), np.int64(0x5BE0CD19137E2179)
 
 
 def discounts(n_r: list[float]) -> list[float]:
@@ -85,24 +84,54 @@ def discounted(c: np.ndarray, d: list[float]) -> np.ndarray:
     return c * np.array([0.0, *d, 1.0])[np.minimum(c, CUT + 1)]
 
 
+class Hash:
+    """64-bit hashes of all words of a byte buffer at once: the sum of a
+    random number for each byte times an odd base to the power of its place in
+    the word, modulo 2^64.  A-Z have the numbers of a-z."""
+
+    rng = np.random.Generator(np.random.PCG64(20240611))
+    table = rng.integers(0, 2**64, 256, np.uint64)
+    table[65:91] = table[97:123]
+    base = rng.integers(0, 2**63, 1, np.uint64) * np.uint64(2) + np.uint64(1)
+    blank = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+    powers = np.ones(1, np.uint64)
+
+    @classmethod
+    def words(cls, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(hash, row) of every word of rows that lie between ``offsets``."""
+        keep = ~cls.blank[data]
+        start = keep.copy()
+        start[1:] &= ~keep[:-1]
+        first = offsets[:-1][offsets[:-1] < offsets[1:]]
+        start[first] = keep[first]  # a word ends with its row
+        starts = np.flatnonzero(start)
+        if not len(starts):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.flatnonzero(keep)
+        place = at - starts[np.cumsum(start)[at] - 1]
+        longest = int(place.max()) + 1
+        if len(cls.powers) < longest:
+            cls.powers = np.concatenate(([np.uint64(1)], np.cumprod(np.repeat(cls.base, longest - 1))))
+        values = cls.table[data[at]] * cls.powers[place]
+        hashes = np.add.reduceat(values, np.searchsorted(at, starts))
+        return (hashes ^ (hashes >> np.uint64(31))).view(np.int64), np.searchsorted(offsets, starts, side="right") - 1
+
+
 class Tokens:
     """The tokens of some texts: ``keys`` of the distinct ones, and for each
     token its code, its context's code and its row."""
 
     def __init__(self, texts: pa.Array):
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-        lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-        flat = lists.flatten()
-        filled = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-        encoded = flat.dictionary_encode()
-        words = np.array([xxhash.xxh64_intdigest(w) for w in encoded.dictionary.cast(pa.binary()).to_pylist()], np.uint64).view(np.int64)
+        raw = texts.cast(pa.large_binary())
+        offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
+        data = np.frombuffer(raw.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        hashes, row = Hash.words(data, offsets - offsets[0])
+        words, code = np.unique(hashes, return_inverse=True)
         self.keys = np.concatenate((words, [START, END]))
         start, end = len(words), len(words) + 1
-        row = np.repeat(np.arange(len(lengths)), lengths)[filled]
-        code = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)[filled]
-        per_row = np.bincount(row, minlength=len(lengths)) + 1
+        per_row = np.bincount(row, minlength=len(raw)) + 1
         ends = np.cumsum(per_row)
-        self.row = np.repeat(np.arange(len(lengths)), per_row)
+        self.row = np.repeat(np.arange(len(raw)), per_row)
         self.word = np.full(int(ends[-1]) if len(ends) else 0, end, np.int64)
         inner = np.ones(len(self.word), bool)
         inner[ends - 1] = False
@@ -123,11 +152,16 @@ class Lookup:
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
 
-    def get(self, keys: np.ndarray) -> np.ndarray:
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Position of each key, or -1."""
         if not len(self.keys):
-            return np.zeros(len(keys), self.values.dtype)
+            return np.full(len(keys), -1)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.values[at], 0)
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        at = self.find(keys)
+        return np.where(at >= 0, self.values[at], 0) if len(self.keys) else np.zeros(len(keys), self.values.dtype)
 
 
 def mixed(h: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -232,7 +266,9 @@ def count(source: DataFrame, hot: int = HOT) -> DataFrame:
                 mine = train[a:b][t.row]
                 words = np.bincount(t.word[mine], minlength=len(t.keys))
                 at = np.flatnonzero(words)
-                pairs, c = np.unique(t.pairs()[mine], return_counts=True)
+                often = words * hot >= mine.sum()  # a pair is no more frequent than its words
+                both = mine & often[t.word] & (often[t.context] | (t.context == len(t.keys) - 2))
+                pairs, c = np.unique(t.pairs()[both], return_counts=True)
                 often = (c * hot >= mine.sum()) & (c >= 2)
                 pairs, c = pairs[often], c[often]
                 h = pa.array(np.concatenate((np.zeros(len(at), np.int64), t.keys[pairs // len(t.keys)])),
@@ -255,9 +291,10 @@ def _hot_counts(source: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             train = batch.column(1).to_numpy(zero_copy_only=False)
             for a, b, t in _pieces(batch):
-                pairs, c = np.unique(t.pairs()[train[a:b][t.row]], return_counts=True)
-                at = m.hot(t.keys[pairs // len(t.keys)], t.keys[pairs % len(t.keys)])
-                np.add.at(total, at[at >= 0], c[at >= 0])
+                first, second = np.isin(t.keys, m.hot_h), np.isin(t.keys, m.hot_w)
+                some = np.flatnonzero(train[a:b][t.row] & first[t.context] & second[t.word])
+                at = m.hot(t.keys[t.context[some]], t.keys[t.word[some]])
+                total += np.bincount(at[at >= 0], minlength=len(total))
         yield pa.RecordBatch.from_arrays([pa.array(m.hot_h), pa.array(m.hot_w), pa.array(total)], names=["h", "w", "c"])
 
     return source.mapInArrow(run, "h long, w long, c long").groupBy("h", "w").agg(F.sum("c").alias("c"))
@@ -292,6 +329,7 @@ def _deal(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
         for a, b, t in _pieces(batch):
             rows = np.arange(a, b)
             first, done = task + done, done + len(rows)
+            in_head = model.head.find(t.keys)
             c_head = model.head.get(t.keys)
             after = model.contexts(t.keys, c_head)
             h, w, row = t.context, t.word, t.row
@@ -299,30 +337,40 @@ def _deal(model: Model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             base = np.bincount(row, weights=np.where(known > 0, np.log10((known + 1) / (model.n + model.vocabulary + 1)), 0.0), minlength=len(rows))
             n_known = np.bincount(row[known > 0], minlength=len(rows))
             rare = np.unique(row[known == 0] * len(t.keys) + w[known == 0], return_counts=True)
-            pairs, inverse = np.unique(t.pairs(), return_inverse=True)
-            ph, pw = pairs // len(t.keys), pairs % len(t.keys)
+            codes = t.pairs()
+            order = np.argsort(codes)  # tokens by pair
+            codes = codes[order]
+            fresh = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1]))) if len(codes) else np.zeros(0, np.int64)
+            times = np.diff(fresh, append=len(codes))
+            ph, pw = codes[fresh] // len(t.keys), codes[fresh] % len(t.keys)
             at = model.hot(t.keys[ph], t.keys[pw])
-            log_hot = np.zeros(len(pairs))
-            log_hot[at >= 0] = np.log10(model.hot_c[at[at >= 0]]) - np.log10(after[ph[at >= 0]] + 1)
-            score = np.bincount(row, weights=log_hot[inverse], minlength=len(rows))
+            is_hot = at >= 0
+            log_hot = np.zeros(len(fresh))
+            log_hot[is_hot] = np.log10(model.hot_c[at[is_hot]]) - np.log10(after[ph[is_hot]] + 1)
+            score = np.bincount(row[order], weights=np.repeat(log_hot, times), minlength=len(rows))
             ids = batch.column(0).slice(a, b - a)
             bucket = [int(first % model.buckets)]
             blobs = [_pack(kind=np.zeros(1, np.int64), id=ids.fill_null(0).to_numpy(), null=np.asarray(ids.is_null()).astype(np.int8),
                            train=train[a:b].astype(np.int8), tokens=t.per_row, known=n_known, base=base, score=score,
                            first=np.array([first]), rare_row=_small(rare[0] // len(t.keys)), rare_word=t.keys[rare[0] % len(t.keys)],
                            rare_n=_small(rare[1]))]
-            to = model.bucket(t.keys[ph], t.keys[pw], after[ph])
-            to[at >= 0] = -1
-            order = np.argsort(to[inverse] * len(pairs) + inverse, kind="stable")
-            to_sorted = to[inverse][order]
-            bounds = np.searchsorted(to_sorted, np.arange(model.buckets + 1))
+            to = np.where(is_hot, -1, model.bucket(t.keys[ph], t.keys[pw], after[ph]))
+            to = np.repeat(to, times).astype(np.int16 if model.buckets < 1 << 15 else np.int64)
+            by_bucket = np.argsort(to, kind="stable")  # then by pair
+            order, to = order[by_bucket], to[by_bucket]
+            bounds = np.searchsorted(to, np.arange(model.buckets + 1))
+            code = np.empty(len(t.keys), np.int64)  # of a word within a blob: broadcast words by their place there, then others
+            in_training = train[a:b].astype(np.int8)
             for k in np.flatnonzero(np.diff(bounds)):
                 take = order[bounds[k]:bounds[k + 1]]
-                words, back = np.unique(np.concatenate((h[take], w[take])), return_inverse=True)
-                used, doc = np.unique(row[take], return_inverse=True)
+                words = np.unique(np.concatenate((h[take], w[take])))
+                words = words[np.argsort(np.where(in_head[words] < 0, len(model.head.keys), in_head[words]), kind="stable")]
+                n_head = int((in_head[words] >= 0).sum())
+                code[words] = np.arange(len(words))
                 bucket.append(int(k))
-                blobs.append(_pack(kind=np.ones(1, np.int64), words=t.keys[words], h=_small(back[:len(take)]), w=_small(back[len(take):]),
-                                   doc=_small(doc), used=_small(used), first=np.array([first]), train=train[a:b][used].astype(np.int8)))
+                blobs.append(_pack(kind=np.ones(1, np.int64), head=_small(np.diff(in_head[words[:n_head]], prepend=0)), tail=t.keys[words[n_head:]],
+                                   h=_small(code[h[take]]), w=_small(code[w[take]]),
+                                   doc=_small(row[take]), first=np.array([first]), train=in_training))
             yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(blobs, pa.binary())], schema=BLOB)
 
 
@@ -350,13 +398,17 @@ def _grade(model: Model, group: pa.Table) -> pa.Table:
         out.append(_rows(WORD, len(p["rare_row"]), doc=first + p["rare_row"].astype(np.int64), a=p["rare_word"], count=p["rare_n"]))
     if not parts:
         return pa.concat_tables(out) if out else _rows(DOC, 0)
-    keys, at = np.unique(np.concatenate([p["words"] for p in parts]), return_inverse=True)
-    starts = np.cumsum([0, *[len(p["words"]) for p in parts]])
-    h, w = (np.concatenate([at[s + p[side].astype(np.int64)] for s, p in zip(starts, parts, strict=False)]) for side in ("h", "w"))
-    doc = np.concatenate([int(p["first"][0]) + p["used"].astype(np.int64)[p["doc"]] for p in parts])
+    words = [np.concatenate((model.head.keys[np.cumsum(p["head"].astype(np.int64))], p["tail"])) for p in parts]
+    keys, at = np.unique(np.concatenate(words), return_inverse=True)
+    at = at.astype(np.int32)
+    starts = np.cumsum([0, *map(len, words)])
+    h, w = (np.concatenate([at[s:][p[side]] for s, p in zip(starts, parts, strict=False)]) for side in ("h", "w"))
+    doc = np.concatenate([int(p["first"][0]) + p["doc"].astype(np.int64) for p in parts])
     train = np.concatenate([p["train"][p["doc"]] for p in parts]) > 0
-    del parts
-    pairs, pair = np.unique(h * len(keys) + w, return_inverse=True)
+    del parts, words, at
+    pairs, pair = np.unique(h.astype(np.int64) * len(keys) + w, return_inverse=True)
+    del h, w
+    pair = pair.astype(np.int32)
     c = np.bincount(pair, weights=train, minlength=len(pairs)).astype(np.int64)
     ph, pw = pairs // len(keys), pairs % len(keys)
     c_head = model.head.get(keys)
@@ -369,6 +421,7 @@ def _grade(model: Model, group: pa.Table) -> pa.Table:
     # scores: seen pairs, then unseen ones with what is known of them
     log_pair = np.where(seen, np.log10(np.maximum(c, 1)) - np.log10(after[ph] + 1.0), np.where(c_head[pw] > 0, np.log10(p_word[pw]), 0.0))
     ds, d = np.unique(doc, return_inverse=True)
+    del doc, train
     x = np.bincount(d, weights=log_pair[pair], minlength=len(ds))
     low = np.where(c <= CUT, c, 0)[pair]
     m = np.bincount(d * (CUT + 1) + low, minlength=len(ds) * (CUT + 1)).reshape(len(ds), CUT + 1)[:, 1:]
@@ -401,9 +454,7 @@ def grade(source: DataFrame, model: Model) -> DataFrame:
     mass = model.probability(model.head.get(model.hot_w))
     hot = [(CONTEXT, None, int(h), None, int(n), float(x), [0] * (CUT + 1)) for h, n, x in zip(model.hot_h, after, mass, strict=True)]
     rows = rows.unionByName(spark.createDataFrame(hot, PARTS)) if hot else rows
-    path = shared_folder(spark, "graded")
-    rows.write.partitionBy("kind").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return written(rows, "graded")
 
 
 def _m(r: int) -> Column:
