@@ -42,8 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of them and of the text that
     they decode to."""
-    vocabulary = bpe.public_vocabulary()
-    both = bpe.decode(bpe.encode(docs, *vocabulary, keep=("source",)), *vocabulary)
+    both = bpe.round_trip(docs, *bpe.public_vocabulary(), keep=("source",))
     return both.select("doc_id", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("bytes", 256).alias("decoded_sha256"))
 
