@@ -103,7 +103,7 @@ MULTILABEL_THRESHOLD = 0.3
 AGREEMENT_MIN = 2
 LOG_ODDS_MIN_Z = 3.0
 
-# Model configurations of the two TF-IDF + logistic-regression experiments.
+# FIXED VALUES: model configurations of the two TF-IDF + logistic-regression experiments.
 BASELINE_CONFIG = {
     "experiment": "Baseline_Unigram_TFIDF_LogReg",
     "word": {"ngram": (1, 1), "max_features": 10000, "min_df": 1, "max_df": 1.0,

@@ -9,7 +9,7 @@ has sides that AQE can split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import EMOTIONS, SENTIMENT_MAPPING
@@ -63,16 +63,37 @@ def agreement_sets(sums: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
                        agreed(labels, 1, 1).alias("no_agree"))
 
 
+def agreement_from_positions(rows: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
+    """The four variants per example from rows that carry their labels as an
+    array of positions (``labels``): sums per (id, position) combine map-side
+    with two narrow columns, and an example's at most ``len(labels)`` sums are
+    put together afterwards."""
+    sums = rows.select("id", F.explode("labels").alias("at")).groupBy("id", "at").agg(F.count(F.lit(1)).alias("n"))
+    per_id = sums.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("sums"))
+    names = F.array(*[F.lit(e) for e in labels])
+
+    def agreed_of(lo: int, hi: int | None = None):
+        kept = F.filter("sums", lambda s: (s["n"] >= lo) & (s["n"] <= hi if hi is not None else F.lit(True)))
+        return F.array_join(F.transform(kept, lambda s: F.get(names, s["at"])), ",")
+
+    return per_id.select("id", agreed_of(1).alias("unique_labels"), agreed_of(2).alias("agree_2"),
+                         agreed_of(3).alias("agree_3"), agreed_of(1, 1).alias("no_agree"))
+
+
 def agreement_per_row(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
     """Per-example agreement mapped back onto each labelled annotation row.
 
     The sets are written first: then both sides of the join are plain
     shuffles, which AQE can split where one id holds many rows (it does not
-    split a side that an aggregation feeds)."""
+    split a side that an aggregation feeds).  Ratings that carry ``labels``,
+    an array of positions, are summed by position; others by column."""
     rows = labelled_rows(ratings, labels)
-    sets = written(agreement_sets(label_sums_per_example(rows, labels), labels).select(
-        "id", "unique_labels", "agree_2", "agree_3", "no_agree"), "agreement")
-    return rows.select("seq", "id").join(sets, "id", "left")
+    if "labels" in ratings.columns:
+        sets = agreement_from_positions(rows, labels)
+    else:
+        sets = agreement_sets(label_sums_per_example(rows, labels), labels).select(
+            "id", "unique_labels", "agree_2", "agree_3", "no_agree")
+    return rows.select("seq", "id").join(written(sets, "agreement"), "id", "left")
 
 
 def corpus_stats(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
@@ -89,6 +110,52 @@ def corpus_stats(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
     )
 
 
+MEASURES = {"n_examples": "id", "n_raters": "rater_id"}
+
+
+def distinct_sketches(ratings: DataFrame, parts: int = 64, bits: int = 12) -> DataFrame:
+    """(measure, part, register, rank): HyperLogLog sketches of examples and
+    raters over ``parts`` parts of the rows (A4, approximate).
+
+    A value's hash picks one of 2^bits registers by its first bits, which keeps
+    the highest rank (leading zeros of the other bits, and one).  Sketches
+    merge by the maximum of each register, in any order and exactly: a table of
+    them is extended by adding rows, without reading old ones.  Partial
+    aggregation leaves at most 2^bits rows a part and measure."""
+    values = F.array(*[F.struct(F.lit(m).alias("measure"), F.xxhash64(c).alias("h"), F.col(c).isNotNull().alias("counts"))
+                       for m, c in MEASURES.items()])
+    rows = ratings.select(F.pmod(F.xxhash64("seq"), F.lit(parts)).alias("part"), F.explode(values).alias("v")).where("v.counts")
+    rest = F.shiftleft(F.col("v.h"), bits)
+    rank = F.when(rest == 0, 65 - bits).otherwise(65 - F.length(F.bin(rest)))
+    return rows.groupBy("v.measure", "part", F.shiftrightunsigned(F.col("v.h"), 64 - bits).alias("register")).agg(F.max(rank).alias("rank"))
+
+
+def distinct_estimates(sketches: DataFrame, bits: int = 12) -> DataFrame:
+    """(measure, n_estimate) of merged sketches: the harmonic mean of the
+    registers, or by the empty ones where counts are small."""
+    m = float(2 ** bits)
+    merged = sketches.groupBy("measure", "register").agg(F.max("rank").alias("rank"))
+    sums = merged.groupBy("measure").agg(F.count(F.lit(1)).alias("used"), F.sum(F.pow(F.lit(2.0), -F.col("rank"))).alias("z"))
+    empty = F.lit(m) - F.col("used")
+    raw = F.lit(0.7213 / (1 + 1.079 / m) * m * m) / (F.col("z") + empty)
+    small = (raw <= 2.5 * m) & (empty > 0)
+    return sums.select("measure", F.round(F.when(small, m * F.log(F.lit(m) / empty)).otherwise(raw)).cast("long").alias("n_estimate"))
+
+
+def approximate_distinct(ratings: DataFrame, parts: int = 64, bits: int = 12) -> DataFrame:
+    """Per measure: the exact distinct count, the estimate from merged
+    sketches, whether that equals the estimate of one pass over all rows, and
+    whether it is within three standard errors (1.04 / sqrt(2^bits) each)."""
+    merged = distinct_estimates(distinct_sketches(ratings, parts, bits), bits)
+    one_pass = distinct_estimates(distinct_sketches(ratings, 1, bits), bits).withColumnRenamed("n_estimate", "n_pass")
+    exact = ratings.agg(*[F.count_distinct(c).alias(m) for m, c in MEASURES.items()]).unpivot([], list(MEASURES), "measure", "n_exact")
+    error = 3 * 1.04 / 2 ** (bits / 2)
+    estimate = F.coalesce("n_estimate", F.lit(0))
+    return exact.join(merged, "measure", "left").join(one_pass, "measure", "left").select(
+        "measure", "n_exact", estimate.alias("n_estimate"), F.col("n_estimate").eqNullSafe(F.col("n_pass")).alias("merged_equals_pass"),
+        (F.abs(estimate - F.col("n_exact")) <= F.lit(error) * F.col("n_exact")).alias("within_error"))
+
+
 def label_cardinality(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
     """Share of labelled annotations per number of labels."""
     rows = labelled_rows(ratings, labels)
@@ -97,12 +164,19 @@ def label_cardinality(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataF
         F.count(F.lit(1)).alias("n_rows"), _r6(F.count(F.lit(1)) / total).alias("share"))
 
 
+def ranked_labels(table: DataFrame, value: str) -> DataFrame:
+    """A label-sized table sorted by a value, descending, with the place of
+    each label (O1); ties go by label."""
+    order = [F.desc(value), F.asc("label")]
+    return table.withColumn("rank", F.row_number().over(Window.orderBy(*order))).orderBy(*order)
+
+
 def label_prevalence(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
     """Per label: positive annotations and share of labelled annotations."""
     rows = labelled_rows(ratings, labels)
     wide = rows.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(e).cast("long").alias(e) for e in labels])
     long = wide.unpivot("_n", labels, "label", "n_positive")
-    return long.select("label", "n_positive", _r6(F.col("n_positive") / F.col("_n")).alias("share"))
+    return ranked_labels(long.select("label", "n_positive", _r6(F.col("n_positive") / F.col("_n")).alias("share")), "n_positive")
 
 
 def mean_ratings(ratings: DataFrame, labels: list[str] = EMOTIONS) -> DataFrame:
@@ -196,7 +270,7 @@ def label_agreed_share(ratings: DataFrame, labels: list[str] = EMOTIONS) -> Data
                     *[F.coalesce(F.sum(F.when(hit, F.col(e))), F.lit(0)).cast("long").alias(e)
                       for e in labels])
     long = wide.unpivot("_total", labels, "label", "n_agreed")
-    return long.select("label", "n_agreed", _r6(F.col("n_agreed") / F.col("_total")).alias("share"))
+    return ranked_labels(long.select("label", "n_agreed", _r6(F.col("n_agreed") / F.col("_total")).alias("share")), "n_agreed")
 
 
 def first_per_key(ratings: DataFrame, key: str = "id", order: str = "seq",

@@ -6,8 +6,10 @@ Scale notes
   class) before they meet the text table, so a hot example (one id holding a
   large share of all ratings) is collapsed map-side by partial aggregation
   and never reaches a join or group as raw rows.
-* Texts are cleaned once per example, not once per rating row, and after the
-  join has dealt them by id.
+* Texts are dealt by id before they meet the votes, and cleaned once per
+  example after that deal: however few partitions the scan has, and whichever
+  side the planner broadcasts, cleaning runs in all shuffle partitions.  The
+  winners' texts come from the same exchange, which is read again.
 * Duplicate resolution groups by the cleaned text with one conditional count
   per class and ``min_by(id, seq)`` for the first row: fixed-width buffers,
   hash aggregation with map-side combine; no ``collect_list`` of raw rows.
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from ..constants import EMOTIONS, MOOD_LABELS
 from ..functions.labels import single_class
 from ..functions.text import clean_text, light_clean_text
+from ..session import partitions
 
 
 def mood_labels(ratings: DataFrame, classes_from: list[str] | None = None) -> DataFrame:
@@ -54,11 +57,15 @@ def class_votes_per_example(labelled: DataFrame, classes: list[str] = MOOD_LABEL
     return votes.where(F.col("n_rows") > 0)
 
 
+def dealt(texts: DataFrame) -> DataFrame:
+    """Texts dealt by id; equal calls share one exchange."""
+    return texts.repartition(partitions(texts.sparkSession), "id")
+
+
 def _text_groups(votes: DataFrame, texts: DataFrame, classes: list[str]) -> DataFrame:
-    """Votes per cleaned text.  Texts are cleaned after the join: by then they
-    are dealt by id, and only those with votes are left.  Texts that come
-    cleaned are taken as they are."""
-    joined = votes.join(texts, "id")
+    """Votes per cleaned text.  Texts are cleaned after the join, when only
+    those with votes are left.  Texts that come cleaned are taken as they are."""
+    joined = votes.join(dealt(texts), "id")
     if "clean_text" not in texts.columns:
         joined = joined.withColumn("clean_text", clean_text("text")).drop("text")
     return joined.groupBy("clean_text").agg(
@@ -98,8 +105,7 @@ def resolve_duplicates(labelled: DataFrame, texts: DataFrame,
     winners = decided.where(F.col("_winner").isNotNull()).select(
         F.col("first_id").alias("id"), F.col("first_seq").alias("seq"), "clean_text",
         F.col("_winner").alias("mood"))
-    raw = texts.select("id", "text")
-    return winners.join(raw, "id").select(
+    return winners.join(dealt(texts).select("id", "text"), "id").select(
         "id", "seq", "text", "clean_text", light_clean_text("text").alias("bert_text"), "mood")
 
 

@@ -6,18 +6,16 @@ a class is floor(n_c * n_train / n) plus one unit for the classes with the
 largest remainders (ties: class name ascending); test takes the rest.
 
 Scale: ranking a whole class with one window would put every row of a class
-into one task.  Instead rows are first counted per (class, hash bucket), the
-bucket table yields running counts, and only rows of the one bucket per class
-that straddles the quota get an exact window rank.  The number of buckets
-follows the number of rows (``bucket_chars``), so that such a bucket stays
-small; the bucket table joins back without a hint, since its size depends on
-the number of classes.
+into one task.  Instead the rows of a class are counted by leading digits of
+the hash; the one bucket that straddles the quota is counted again by more
+digits, until it holds at most ``ROWS_PER_BUCKET`` rows, and only these get an
+exact window rank.  All other rows compare their hash with that bucket's.
+Whatever the number of rows, a window so is bounded (but for rows of one equal
+key, which no order tells apart), and each round reads fewer rows.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,18 +23,40 @@ from ..constants import SPLIT_SEED, TEST_SIZE
 from ..session import written
 
 
-ROWS_PER_BUCKET, MOST_CHARS = 100_000, 4
+ROWS_PER_BUCKET, CHARS, HASH_CHARS = 100_000, 2, 32
+
+
+def _hashed(df: DataFrame, key_col: str, seed: str) -> DataFrame:
+    """A null key is hashed as the empty string."""
+    return df.withColumn("_h", F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col(key_col), F.lit("")))))
 
 
-def bucket_chars(rows: int) -> int:
-    """Hexadecimal digits of the hash that make a bucket of about
-    ROWS_PER_BUCKET rows: 1 up to MOST_CHARS."""
-    return min(MOST_CHARS, max(1, math.ceil(math.log(max(1, rows) / ROWS_PER_BUCKET, 16))))
+def _straddling(keyed: DataFrame, quotas: DataFrame, class_col: str, chars: int, bound: int) -> DataFrame:
+    """(class, _quota, _prefix, _before, _size): the leading digits of the
+    bucket in which each class's quota ends, and how many of its rows have
+    lower ones.  A class without a quota has no row."""
+    state = quotas.where(F.col("_quota") > 0).select(
+        class_col, F.least("_quota", "_nc").alias("_quota"), F.lit("").alias("_prefix"), F.lit(0).cast("long").alias("_before"), F.col("_nc").alias("_size"))
+    state, depth = written(state, "straddle"), 0
+    while depth < HASH_CHARS and (state.agg(F.max("_size")).head()[0] or 0) > bound:
+        rows = keyed.select(class_col, "_h").join(state, class_col).where(F.substring("_h", 1, depth) == F.col("_prefix"))
+        depth += chars
+        counts = rows.groupBy(class_col, "_quota", "_before", F.substring("_h", 1, depth).alias("_prefix")).agg(F.count(F.lit(1)).alias("_size"))
+        lower = Window.partitionBy(class_col).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)  # 16^chars rows at most
+        counts = counts.withColumn("_before", F.col("_before") + F.coalesce(F.sum("_size").over(lower), F.lit(0)))
+        inside = (F.col("_before") < F.col("_quota")) & (F.col("_before") + F.col("_size") >= F.col("_quota"))
+        state = written(counts.where(inside), "straddle")
+    return state
 
 
-def _hashed(df: DataFrame, key_col: str, seed: str, chars: int | None) -> DataFrame:
-    h = F.md5(F.concat(F.lit(seed + "|"), F.col(key_col)))
-    return df.withColumn("_h", h).withColumn("_b", F.substring("_h", 1, chars or bucket_chars(df.count())))
+def _decided(keyed: DataFrame, state: DataFrame, class_col: str, key_col: str) -> DataFrame:
+    """``keyed`` with ``_in``: whether a row is among its class's quota."""
+    placed = keyed.join(state, class_col, "left").withColumn("_b", F.substring(F.col("_h"), F.lit(1), F.char_length("_prefix")))
+    open_ = F.coalesce(F.col("_b") == F.col("_prefix"), F.lit(False))
+    sure = placed.where(~open_).withColumn("_in", F.coalesce(F.col("_b") < F.col("_prefix"), F.lit(False)))
+    rank = F.row_number().over(Window.partitionBy(class_col).orderBy("_h", key_col))
+    ranked = placed.where(open_).withColumn("_in", F.col("_before") + rank <= F.col("_quota"))
+    return sure.unionByName(ranked)
 
 
 def _quotas(bucket_counts: DataFrame, class_col: str, test_size: float) -> DataFrame:
@@ -52,33 +72,21 @@ def _quotas(bucket_counts: DataFrame, class_col: str, test_size: float) -> DataF
     need = F.col("_n_train") - F.sum("_base").over(total)
     rank = F.row_number().over(Window.orderBy(F.desc("_rem"), F.col(class_col)))
     return with_base.select(
-        class_col, (F.col("_base") + F.when(rank <= need, 1).otherwise(0)).alias("_quota"))
+        class_col, "_nc", (F.col("_base") + F.when(rank <= need, 1).otherwise(0)).alias("_quota"))
 
 
 def stratified_split(df: DataFrame, class_col: str, key_col: str,
                      test_size: float = TEST_SIZE, seed: str = SPLIT_SEED,
                      labels: tuple[str, str] = ("train", "test"),
-                     chars: int | None = None) -> DataFrame:
-    """Add a ``split`` column with exact stratified quotas."""
-    keyed = _hashed(df, key_col, seed, chars)
-    buckets = keyed.groupBy(class_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    quotas = _quotas(buckets, class_col, test_size)
-    running = Window.partitionBy(class_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    plan = (buckets.join(quotas, class_col)
-            .select(class_col, "_b", "_quota", F.sum("_n").over(running).alias("_cum"),
-                    (F.sum("_n").over(running) - F.col("_n")).alias("_before")))
-    tagged = keyed.join(plan, [class_col, "_b"])
+                     chars: int = CHARS, bound: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add a ``split`` column with exact stratified quotas.  Rows without a
+    class belong to no stratum and are left out."""
+    keyed = _hashed(df.where(F.col(class_col).isNotNull()), key_col, seed)
+    sizes = keyed.groupBy(class_col).agg(F.count(F.lit(1)).alias("_n"))
+    state = _straddling(keyed, _quotas(sizes, class_col, test_size), class_col, chars, bound)
     first, second = labels
-    decided = tagged.where((F.col("_cum") <= F.col("_quota")) | (F.col("_before") >= F.col("_quota")))
-    decided = decided.withColumn(
-        "split", F.when(F.col("_cum") <= F.col("_quota"), F.lit(first)).otherwise(F.lit(second)))
-    straddle = tagged.where((F.col("_before") < F.col("_quota")) & (F.col("_cum") > F.col("_quota")))
-    in_bucket = Window.partitionBy(class_col, "_b").orderBy("_h", key_col)
-    straddle = straddle.withColumn(
-        "split", F.when(F.col("_before") + F.row_number().over(in_bucket) <= F.col("_quota"),
-                        F.lit(first)).otherwise(F.lit(second)))
-    out_cols = df.columns + ["split"]
-    return decided.select(*out_cols).unionByName(straddle.select(*out_cols))
+    return _decided(keyed, state, class_col, key_col).select(
+        *df.columns, F.when(F.col("_in"), F.lit(first)).otherwise(F.lit(second)).alias("split"))
 
 
 def train_val_test_split(df: DataFrame, class_col: str, key_col: str,
@@ -93,20 +101,14 @@ def train_val_test_split(df: DataFrame, class_col: str, key_col: str,
     return second.unionByName(test)
 
 
-def fixed_sample(df: DataFrame, key_col: str, n: int, seed: str = SPLIT_SEED, chars: int | None = None) -> DataFrame:
+def fixed_sample(df: DataFrame, key_col: str, n: int, seed: str = SPLIT_SEED, chars: int = CHARS,
+                 bound: int = ROWS_PER_BUCKET) -> DataFrame:
     """Seeded sample of min(n, rows) rows without replacement (O3): the first
-    n by hash, then key.  Counts per hash bucket tell which buckets are in
-    whole and which one is in part; only that one is ranked."""
-    keyed = _hashed(df, key_col, seed, chars)
-    counts = keyed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # 16^MOST_CHARS rows at most
-    plan = counts.select("_b", F.sum("_n").over(running).alias("_cum"), "_n").where(F.col("_cum") - F.col("_n") < n)
-    tagged = keyed.join(F.broadcast(plan), "_b")  # bounded likewise
-    whole = tagged.where(F.col("_cum") <= n)
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key_col))
-    part = (tagged.where(F.col("_cum") > n).withColumn("_r", rank)
-            .where(F.col("_cum") - F.col("_n") + F.col("_r") <= n))
-    return whole.select(*df.columns).unionByName(part.select(*df.columns))
+    n by hash, then key, cut like a split with one class."""
+    keyed = _hashed(df, key_col, seed).withColumn("_all", F.lit(1))
+    quotas = keyed.groupBy("_all").agg(F.count(F.lit(1)).alias("_nc")).withColumn("_quota", F.lit(n))
+    state = _straddling(keyed, quotas, "_all", chars, bound)
+    return _decided(keyed, state, "_all", key_col).where("_in").select(*df.columns)
 
 
 def split_overlap(split_df: DataFrame, key_col: str = "clean_text",

@@ -25,6 +25,8 @@ from ..operators import words as W
 from ..session import shared_folder, table, written
 from ..sources import fixtures as FX
 from ..sources import io as IO
+from ..sources import versions as V
+from ..streaming import scoring as ST
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -45,14 +47,23 @@ def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.processed_dataset(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir))
 
 
-def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processed rows with their split, written once per query.
+def _inputs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [table(spark, sf_dir, t) for t in ("documents", "events")]
+
+
+def stored_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed table, built once for the state of the inputs and read
+    from then on (S6)."""
+    return V.load_or_build(spark, V.folder(spark, "processed", *_inputs(spark, sf_dir)), lambda: processed(spark, sf_dir),
+                           {"id", "text", "clean_text", "bert_text", "mood"})
 
-    The processed rows are written before the split counts and ranks them,
-    and the split before the features read it, so cleaning and the vote run
-    once and a lost executor does not replay them."""
-    rows = written(processed(spark, sf_dir), "processed")
-    return written(SP.stratified_split(rows, "mood", "clean_text"), "split")
+
+def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed rows with their split, stored by split (S7): every query on
+    features or models reads this table, and a filter on the split prunes it."""
+    return V.load_or_build(spark, V.folder(spark, "split", *_inputs(spark, sf_dir)),
+                           lambda: SP.stratified_split(stored_processed(spark, sf_dir), "mood", "clean_text"),
+                           {"id", "clean_text", "bert_text", "mood", "split"}, partition_by="split")
 
 
 def _all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,8 +139,13 @@ def q_stratified_split(spark, sf_dir):
 
 @query("train_val_test_split")
 def q_train_val_test_split(spark, sf_dir):
-    rows = written(processed(spark, sf_dir), "processed")
-    return SP.train_val_test_split(rows, "mood", "clean_text").select("id", "mood", "split")
+    return SP.train_val_test_split(stored_processed(spark, sf_dir), "mood", "clean_text").select("id", "mood", "split")
+
+
+@query("persisted_split")
+def q_persisted_split(spark, sf_dir):
+    """The stored split's test part, of which only its own folder is read."""
+    return split_table(spark, sf_dir).where(F.col("split") == "test").select("id", "mood", "split")
 
 
 @query("fixed_sample")
@@ -167,6 +183,17 @@ for _name, _fn in {
     QUERIES[_name] = _ratings_query(_fn)
 
 
+@query("approx_distinct")
+def q_approx_distinct(spark, sf_dir):
+    """Exact counts beside what merged sketches say of them (A4)."""
+    return AG.approximate_distinct(FX.ratings(spark, sf_dir)).drop("n_estimate")
+
+
+@query("distinct_estimates")
+def q_distinct_estimates(spark, sf_dir):
+    return AG.approximate_distinct(FX.ratings(spark, sf_dir))
+
+
 @query("mean_ratings")
 def q_mean_ratings(spark, sf_dir):
     means = AG.mean_ratings(FX.ratings(spark, sf_dir))
@@ -317,6 +344,19 @@ def q_score_texts(spark, sf_dir):
     return SC.score_texts(FX.rule_texts(spark, sf_dir).select("id", "text"), FX.text_logits(spark, sf_dir))
 
 
+@query("score_stream")
+def q_score_stream(spark, sf_dir):
+    """``score_texts`` as a stream: files of texts arrive in a folder and are
+    scored a few at a time into a table, each exactly once."""
+    path = shared_folder(spark, "stream")
+    texts = FX.rule_texts(spark, sf_dir).select("id", "text")
+    texts.repartition(8).write.parquet(f"{path}/in")
+    arriving = ST.read_text_stream(spark, f"{path}/in", texts.schema, max_files_per_trigger=3)
+    scored = ST.score_stream(arriving, written(FX.text_logits(spark, sf_dir), "text-logits"))
+    ST.write_stream(scored, f"{path}/out", f"{path}/checkpoint")
+    return spark.read.schema(scored.schema).parquet(f"{path}/out")
+
+
 # --- features ----------------------------------------------------------------------
 
 
@@ -334,13 +374,13 @@ def _char_block(docs, cfg):
 
 @query("word_ngrams")
 def q_word_ngrams(spark, sf_dir):
-    c = FE.term_counts(processed(spark, sf_dir).select("id", "clean_text"), FE.word_terms("clean_text", (1, 2)))
+    c = FE.term_counts(stored_processed(spark, sf_dir).select("id", "clean_text"), FE.word_terms("clean_text", (1, 2)))
     return c.select(F.col("doc").alias("id"), "term", "tf")
 
 
 @query("char_ngrams")
 def q_char_ngrams(spark, sf_dir):
-    c = FE.term_counts(processed(spark, sf_dir).select("id", "clean_text"), FE.char_terms("clean_text", (3, 5)))
+    c = FE.term_counts(stored_processed(spark, sf_dir).select("id", "clean_text"), FE.char_terms("clean_text", (3, 5)))
     return c.select(F.col("doc").alias("id"), "term", "tf")
 
 
@@ -392,31 +432,98 @@ def q_scan_union(spark, sf_dir):
     return IO.scan_by_name(spark, [f"{path}/part{i}" for i in range(3)], docs.schema)
 
 
-# --- models (rows-only: no SQL oracle for an iterative optimiser) ------------------
+# --- models --------------------------------------------------------------------------
+# metrics and predictions are rows-only: no SQL oracle for an iterative optimiser
 
 
-def _run(spark, sf_dir, cfg, blocks_of):
+def _features(spark, sf_dir, blocks_of):
+    """(split rows, blocks, long weights, assembled features)."""
     docs = split_table(spark, sf_dir)
     blocks = blocks_of(docs)
     size = sum(v.select(F.count(F.lit(1))).scalar() for v, _ in blocks)
-    feats = MD.assemble(docs, FE.feature_union(blocks), size)
+    weights = FE.feature_union(blocks)
+    return docs, blocks, weights, MD.assemble(docs, weights, size)
+
+
+def _baseline_blocks(docs):
+    return [_word_block(docs, BASELINE_CONFIG["word"])]
+
+
+def _final_blocks(docs):
+    return [_word_block(docs, FINAL_CONFIG["word"]), _char_block(docs, FINAL_CONFIG["char"])]
+
+
+def _run(spark, sf_dir, cfg, blocks_of):
+    feats = _features(spark, sf_dir, blocks_of)[-1]
     return M.experiment_row(cfg["experiment"], MD.train_and_predict(feats, cfg["C"], cfg["max_iter"]))
 
 
 @query("train_baseline")
 def q_train_baseline(spark, sf_dir):
     """Unigram TF-IDF (10k) + logistic regression, C = 1: test-set metrics (M1, M3)."""
-    return _run(spark, sf_dir, BASELINE_CONFIG, lambda docs: [_word_block(docs, BASELINE_CONFIG["word"])])
+    return _run(spark, sf_dir, BASELINE_CONFIG, _baseline_blocks)
 
 
 @query("train_final")
 def q_train_final(spark, sf_dir):
     """Word (1,2) + char_wb (3,5) sublinear TF-IDF + logistic regression, C = 1.5 (M2, M3)."""
-    return _run(spark, sf_dir, FINAL_CONFIG, lambda docs: [
-        _word_block(docs, FINAL_CONFIG["word"]), _char_block(docs, FINAL_CONFIG["char"])])
+    return _run(spark, sf_dir, FINAL_CONFIG, _final_blocks)
 
 
 @query("experiment_comparison_models")
 def q_experiment_comparison_models(spark, sf_dir):
-    """Benchmark, baseline and final run side by side (M5)."""
+    """Benchmark, baseline and final run side by side (M5), all on the stored
+    split."""
     return M.experiment_table(_benchmark(spark, sf_dir), q_train_baseline(spark, sf_dir), q_train_final(spark, sf_dir))
+
+
+@query("model_certificate")
+def q_model_certificate(spark, sf_dir):
+    """Whether baseline and final fit are at the optimum of their objective,
+    by the gradient at the fitted weights (M1, M2)."""
+    rows = []
+    for cfg, blocks_of in ((BASELINE_CONFIG, _baseline_blocks), (FINAL_CONFIG, _final_blocks)):
+        docs, _, weights, feats = _features(spark, sf_dir, blocks_of)
+        model = MD.fit(feats, cfg["C"], cfg["max_iter"])
+        proof = MD.certificate(model, docs.select("id", "mood", "split"), weights, cfg["C"])
+        rows.append(proof.select(F.lit(cfg["experiment"]).alias("experiment"), "converged", "n_train", "n_features"))
+    return rows[0].unionByName(rows[1])
+
+
+def _saved_baseline(spark, sf_dir) -> str:
+    """Folder of the baseline's model and vocabulary, fitted and stored once
+    for the state of the inputs (S12)."""
+    def write(path):
+        docs, blocks, _, feats = _features(spark, sf_dir, _baseline_blocks)
+        n_train = docs.where(F.col("split") == "train").select(F.count(F.lit(1))).scalar()
+        MD.save(MD.fit(feats, BASELINE_CONFIG["C"], BASELINE_CONFIG["max_iter"]), blocks[0][0], n_train, path)
+
+    return V.reuse_or_write(spark, V.folder(spark, "baseline", *_inputs(spark, sf_dir)), write)
+
+
+def classify_saved(spark: SparkSession, path: str, texts: DataFrame) -> DataFrame:
+    """(doc, y_pred, logits) of (id, text) rows by the stored baseline (M3)."""
+    cfg = BASELINE_CONFIG["word"]
+    model, vocabulary, n_docs = MD.load(spark, path)
+    cleaned = texts.select("id", T.clean_text("text").alias("clean_text"))
+    feats = MD.outside_features(cleaned, vocabulary, n_docs, FE.word_terms("clean_text", cfg["ngram"]), cfg["sublinear"], cfg["max_features"])
+    return MD.classify(model, feats)
+
+
+@query("predict_saved")
+def q_predict_saved(spark, sf_dir):
+    """Moods of texts outside the corpus - pages and conversation turns - by
+    the stored model."""
+    pages = FX.social_texts(spark, sf_dir).select(F.concat(F.lit("page-"), F.col("id").cast("string")).alias("id"), "text")
+    turns = FX.labelled_tsv(spark, sf_dir).select(F.concat(F.lit("turn-"), "id").alias("id"), "text")
+    rows = classify_saved(spark, _saved_baseline(spark, sf_dir), pages.unionByName(turns))
+    return rows.select(F.col("doc").alias("id"), "y_pred")
+
+
+@query("score_texts_model")
+def q_score_texts_model(spark, sf_dir):
+    """End-to-end scoring (M4) on the stored model's own margins: TF-IDF,
+    model, softmax, override, repair and ranking of every document."""
+    texts = FX.rule_texts(spark, sf_dir).select("id", "text")
+    logits = classify_saved(spark, _saved_baseline(spark, sf_dir), texts).select(F.col("doc").alias("id"), "logits")
+    return SC.score_texts(texts, logits)

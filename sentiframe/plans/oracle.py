@@ -150,6 +150,8 @@ ORACLE["stratified_split"] = with_ctes(["split"], "SELECT id, mood, split FROM s
 ORACLE["train_val_test_split"] = with_ctes(["split", "val_split"], """
 SELECT id, mood, split FROM val_split UNION ALL SELECT id, mood, split FROM split WHERE split = 'test'""")
 
+ORACLE["persisted_split"] = with_ctes(["split"], "SELECT id, mood, split FROM split WHERE split = 'test'")
+
 ORACLE["fixed_sample"] = """
 SELECT id, lang FROM (
   SELECT doc_id AS id, lang, row_number() OVER (ORDER BY md5('42|' || doc_id), CAST(doc_id AS VARCHAR)) AS r FROM documents)
@@ -190,14 +192,22 @@ SELECT count(DISTINCT id) AS n_examples, count(*) AS n_annotations, count(DISTIN
        {_r6(f"count(*) FILTER (WHERE ({_NL}) > 3) / count(*) FILTER (WHERE ({_NL}) <> 0)")} AS share_gt3
 FROM ratings""")
 
+ORACLE["approx_distinct"] = with_ctes(["ratings"], """
+SELECT 'n_examples' AS measure, count(DISTINCT id) AS n_exact, true AS merged_equals_pass, true AS within_error FROM ratings
+UNION ALL SELECT 'n_raters', count(DISTINCT rater_id), true, true FROM ratings""")
+
 ORACLE["label_cardinality"] = with_ctes(["labelled"], f"""
 SELECT ({_NL}) AS n_labels, count(*) AS n_rows,
        {_r6("count(*) / (SELECT count(*) FROM labelled)")} AS share
 FROM labelled GROUP BY 1""")
 
-ORACLE["label_prevalence"] = with_ctes(["labelled"], " UNION ALL ".join(
+def _ranked(rows: str, value: str) -> str:
+    return f"SELECT *, CAST(row_number() OVER (ORDER BY {value} DESC, label) AS INTEGER) AS rank FROM ({rows})"
+
+
+ORACLE["label_prevalence"] = with_ctes(["labelled"], _ranked(" UNION ALL ".join(
     f"""SELECT '{e}' AS label, CAST(sum("{e}") AS BIGINT) AS n_positive,
-        {_r6(f'sum("{e}") / count(*)')} AS share FROM labelled""" for e in EMOTIONS))
+        {_r6(f'sum("{e}") / count(*)')} AS share FROM labelled""" for e in EMOTIONS), "n_positive"))
 
 ORACLE["mean_ratings"] = with_ctes(["labelled"], "SELECT id, " + ", ".join(
     f'{_r6(f"avg(\"{e}\")")} AS "{e}"' for e in EMOTIONS) + " FROM labelled GROUP BY id")
@@ -229,10 +239,10 @@ SELECT type, n_labels, count(*) AS n_examples FROM (
   SELECT 'pre-filter' AS type, n_pre AS n_labels FROM agree_sets
   UNION ALL SELECT 'post-filter', n_post FROM agree_sets) GROUP BY 1, 2""")
 
-ORACLE["label_agreed_share"] = with_ctes(["ex_sums", "agree_sets"], " UNION ALL ".join(f"""
+ORACLE["label_agreed_share"] = with_ctes(["ex_sums", "agree_sets"], _ranked(" UNION ALL ".join(f"""
 SELECT '{e}' AS label, CAST(coalesce(sum(s."{e}") FILTER (WHERE a.n_post > 0), 0) AS BIGINT) AS n_agreed,
        {_r6(f'coalesce(sum(s."{e}") FILTER (WHERE a.n_post > 0), 0) / sum(s.n_rows)')} AS share
-FROM ex_sums s JOIN agree_sets a USING (id)""" for e in EMOTIONS))
+FROM ex_sums s JOIN agree_sets a USING (id)""" for e in EMOTIONS), "n_agreed"))
 
 ORACLE["first_per_key"] = with_ctes(["ratings"], """
 SELECT id, min(seq) AS seq, arg_min(rater_id, seq) AS rater_id FROM ratings GROUP BY id""")
@@ -503,6 +513,8 @@ SELECT id, raw_mood, final_mood, coalesce(rule, 0) AS rule, {_r6("q[1]")} AS p_h
         FROM (SELECT unnest({_M}) AS lab, unnest(q) AS pr, unnest(range(0, 4)) AS ix)) AS ranking
 FROM scored_q""")
 
+ORACLE["score_stream"] = ORACLE["score_texts"]
+
 
 # --- features ----------------------------------------------------------------------
 from ..constants import BASELINE_CONFIG as _BC, FINAL_CONFIG as _FC  # noqa: E402
@@ -568,3 +580,10 @@ FROM processed p JOIN (
 ORACLE["scan_union"] = """
 SELECT doc_id AS id, nullif(text, '') AS text, nullif(lang, '') AS lang,
        CASE WHEN doc_id % 3 < 2 THEN nullif(source, '') END AS source FROM documents"""
+
+# the gradient certificate: an optimum on as many rows and features
+ORACLE["model_certificate"] = with_ctes(["train_docs", "bw_vocab", "fw_vocab", "fc_vocab"], f"""
+SELECT '{_BC["experiment"]}' AS experiment, true AS converged, (SELECT count(*) FROM train_docs) AS n_train,
+       (SELECT count(*) FROM bw_vocab) AS n_features
+UNION ALL SELECT '{_FC["experiment"]}', true, (SELECT count(*) FROM train_docs),
+       (SELECT count(*) FROM fw_vocab) + (SELECT count(*) FROM fc_vocab)""")

@@ -56,13 +56,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives
-    executor loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shared_folder(spark: SparkSession, tag: str) -> str:
     """A new folder below the shared checkpoint folder; no two calls share one."""
     return os.path.join(ensure_checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex}")
@@ -77,5 +70,22 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def partitions(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def written_by_key(df: DataFrame, tag: str, key: str) -> DataFrame:
+    """Like ``written``, in buckets by ``key``: readers know the partitioning,
+    so that windows and groups by the key need no shuffle.  ``df`` must be
+    dealt by ``repartition(partitions(spark), key)``; a task then writes one
+    bucket.  The table lies in the shared folder and has a name of its own."""
+    spark = df.sparkSession
+    path, n = shared_folder(spark, tag), partitions(spark)
+    name = os.path.basename(path).replace("-", "_")
+    df.write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))

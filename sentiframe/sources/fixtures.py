@@ -32,8 +32,8 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotation rows (B1) without text.
 
     ``id`` is the example (document) an event rates; ``seq`` is the explicit
-    input order; ``n_labels`` and one 0/1 column per emotion are read off one
-    narrow array of label positions.  All of it is a projection of ``events``,
+    input order; ``labels`` is a narrow array of label positions, off which
+    one 0/1 column per emotion is read, and ``n_labels`` its size.  All of it is a projection of ``events``,
     so each query scans only the columns it needs and its filters reach the
     scan.
     """
@@ -45,10 +45,12 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     # labels = [] if unclear; distinct [k, v] if value > 80; else [k]
     labels = (F.when(unclear, F.array().cast("array<int>"))
               .when(F.col("value") > 80, F.array_distinct(F.array(k, v))).otherwise(F.array(k)))
+    # the same number as the array's size, without making the array
+    n_labels = F.when(unclear, 0).when((F.col("value") > 80) & ~k.eqNullSafe(v), 2).otherwise(1)
     base = events.select(
-        (F.col("event_id") % n_docs).alias("id"), F.col("user_id").alias("rater_id"),
-        F.col("event_id").alias("seq"), unclear.alias("example_very_unclear"), labels.alias("labels"))
-    return base.select("id", "rater_id", "seq", "example_very_unclear", F.size("labels").alias("n_labels"),
+        (F.col("event_id") % n_docs).alias("id"), F.col("user_id").alias("rater_id"), F.col("event_id").alias("seq"),
+        unclear.alias("example_very_unclear"), labels.alias("labels"), n_labels.alias("n_labels"))
+    return base.select("id", "rater_id", "seq", "example_very_unclear", "n_labels", "labels",
                        *[F.array_contains("labels", F.lit(i)).cast("int").alias(e) for i, e in enumerate(EMOTIONS)])
 
 

@@ -1,4 +1,5 @@
-"""Sources and sinks (S1-S11) with explicit schemas.
+"""Sources and sinks (S1-S5, S8-S11) with explicit schemas; stored results
+(S6, S7, S12) are in versions.py.
 
 Readers never infer schemas; writers overwrite whole outputs.  Paths on a
 cluster must be shared storage; the only default location this module uses
@@ -11,8 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import EMOTIONS
-
 LABELLED_TSV_SCHEMA = T.StructType([
     T.StructField("text", T.StringType()),
     T.StructField("labels", T.StringType()),
@@ -20,15 +19,6 @@ LABELLED_TSV_SCHEMA = T.StructType([
 ])
 
 
-def annotation_schema(labels: list[str] = EMOTIONS) -> T.StructType:
-    """Rater x example annotation rows with one 0/1 column per label."""
-    return T.StructType(
-        [T.StructField("id", T.LongType()), T.StructField("rater_id", T.LongType()),
-         T.StructField("seq", T.LongType()), T.StructField("example_very_unclear", T.BooleanType()),
-         T.StructField("n_labels", T.IntegerType())]
-        + [T.StructField(e, T.IntegerType()) for e in labels])
-
-
 def scan_parts(spark: SparkSession, paths: str | list[str], schema: T.StructType,
                sep: str = ",", header: bool = True, multi_line: bool = False) -> DataFrame:
     """Scan delimited parts of one layout with an explicit schema.
@@ -93,24 +83,3 @@ def write_text(lines: DataFrame, path: str, order_col: str, value_col: str) -> N
 def write_json(df: DataFrame, path: str) -> None:
     """JSON-lines sink (S11), one object per row (e.g. a metrics record)."""
     df.write.mode("overwrite").json(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
-def load_or_build(spark: SparkSession, path: str, build, required: set[str],
-                  force_rebuild: bool = False, partition_by: str | None = None) -> DataFrame:
-    """Reuse a persisted Parquet table when it exists and has the required
-    columns, else build and persist it (S6, S7).
-
-    Only an absent path or a table without the columns leads to a build; any
-    other failure to read is raised and nothing is overwritten."""
-    if not force_rebuild and _exists(spark, path):
-        existing = spark.read.parquet(path)
-        if required <= set(existing.columns):
-            return existing
-    writer = build().write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    return spark.read.parquet(path)

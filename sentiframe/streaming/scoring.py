@@ -4,7 +4,8 @@ The reference has no streaming operator; its live path scores one text per
 request.  Every text / label / scoring function in this library is a Column
 expression without actions, so the same chain runs unchanged on a streaming
 DataFrame: a stream of texts is cleaned and joined to a static table of model
-outputs (stream-static join) and scored.  No state is kept.
+outputs (stream-static join) and scored.  No state is kept but the checkpoint
+of what was read and written.
 """
 
 from __future__ import annotations
@@ -31,6 +32,16 @@ def clean_stream(texts: DataFrame) -> DataFrame:
                         light_clean_text("text").alias("bert_text"))
 
 
+def write_stream(rows: DataFrame, path: str, checkpoint: str) -> None:
+    """Append all that a stream has at present to the Parquet table ``path``
+    and return.  The checkpoint holds which files were taken in and the sink
+    which batches were written, so a run that follows a broken or finished one
+    goes on after it and no row is written twice."""
+    query = (rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
+    query.awaitTermination()
+
+
 def score_stream(texts: DataFrame, logits: DataFrame) -> DataFrame:
     """Score arriving texts against a static (id, logits) table."""
     return score_texts(texts, logits)

@@ -1,5 +1,6 @@
 """Agreement with few and many raters, and a hot example."""
 import pytest
+from pyspark.sql import functions as F
 
 from sentiframe.constants import EMOTIONS
 from sentiframe.operators import agreement as AG
@@ -68,3 +69,32 @@ def test_ranks_use_unrounded_scores(spark):
     from pyspark.sql import functions as F
     top = W.top_k_per_group(df, "emotion", [F.desc("z"), F.asc("word")], 2, "word")
     assert [(r.word, r.rank) for r in top.orderBy("rank").collect()] == [("x", 1), ("b", 2)]
+
+
+def test_sketches_merge_and_estimate(spark):
+    rows = spark.range(30_000).selectExpr("id AS seq", "id % 9000 AS id", "id % 700 AS rater_id")
+    got = {r.measure: r for r in AG.approximate_distinct(rows, parts=13).collect()}
+    assert {m: r.n_exact for m, r in got.items()} == {"n_examples": 9000, "n_raters": 700}
+    assert all(r.merged_equals_pass and r.within_error for r in got.values())
+    assert all(abs(r.n_estimate - r.n_exact) <= 0.05 * r.n_exact for r in got.values())
+    half = [AG.distinct_sketches(rows.where(f"seq % 2 = {i}"), parts=5) for i in (0, 1)]
+    added = {r.measure: r.n_estimate for r in AG.distinct_estimates(half[0].unionByName(half[1])).collect()}
+    assert added == {m: r.n_estimate for m, r in got.items()}  # new rows' sketches extend the old
+
+
+def test_positions_and_columns_agree(spark):
+    rows = [(1, 1, [0, 3]), (2, 1, [3]), (3, 1, [27]), (4, 2, [5]), (5, 2, [5]), (6, 2, [5]), (7, 3, []), (8, 4, [1, 2])]
+    base = spark.createDataFrame(rows, "seq long, id long, labels array<int>")
+    wide = base.select("seq", "id", F.size("labels").alias("n_labels"), "labels",
+                       *[F.array_contains("labels", F.lit(i)).cast("int").alias(e) for i, e in enumerate(EMOTIONS)])
+    a = AG.agreement_per_row(wide).collect()
+    b = AG.agreement_per_row(wide.drop("labels")).collect()
+    assert sorted(a) == sorted(b) and len(a) == 7
+
+
+def test_labels_are_sorted_by_value(spark):
+    rows = [rating(i, 1, i, *labels) for i, labels in enumerate([("joy",), ("anger", "joy"), ("anger",), ("fear",), ("joy",)])]
+    got = AG.label_prevalence(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [(r.label, r["rank"], r.n_positive) for r in got[:3]] == [("joy", 1, 3), ("anger", 2, 2), ("fear", 3, 1)]
+    assert [r["rank"] for r in got] == list(range(1, len(EMOTIONS) + 1))
+    assert [r.label for r in got[3:]] == sorted(r.label for r in got[3:])

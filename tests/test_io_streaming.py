@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentiframe.sources import io as IO
+from sentiframe.sources import versions as V
 from sentiframe.streaming import scoring as ST
 from tests.conftest import SF_SMALL
 
@@ -33,25 +34,57 @@ def test_tsv_roundtrip_and_load_or_build(spark):
         calls.append(1)
         return df
     p = os.path.join(d, "cache")
-    IO.load_or_build(spark, p, build, {"text", "labels"})
-    IO.load_or_build(spark, p, build, {"text", "labels"})
+    V.load_or_build(spark, p, build, {"text", "labels"})
+    V.load_or_build(spark, p, build, {"text", "labels"})
     assert len(calls) == 1
 
 
-def test_only_an_absent_table_is_built(spark, tmp_path):
-    path = str(tmp_path / "table")
-    (tmp_path / "table").mkdir()
-    (tmp_path / "table" / "part-0.parquet").write_bytes(b"not a parquet file")
+def test_a_broken_version_is_an_error_and_stays(spark, tmp_path):
+    folder = str(tmp_path / "table")
+
+    def broken(path):
+        os.makedirs(path)
+        with open(os.path.join(path, "part-0.parquet"), "wb") as f:
+            f.write(b"not a parquet file")
+
+    path = V.publish(spark, folder, broken)
     with pytest.raises(Exception, match="(?i)parquet"):
-        IO.load_or_build(spark, path, lambda: spark.range(1), {"id"})
-    assert (tmp_path / "table" / "part-0.parquet").read_bytes() == b"not a parquet file"
+        V.load_or_build(spark, folder, lambda: spark.range(1), {"id"})
+    assert V.current(spark, folder) == path and len(os.listdir(folder)) >= 2
+
+
+def test_a_crash_before_publication_leaves_the_old_version(spark, tmp_path):
+    folder = str(tmp_path / "table")
+    assert V.current(spark, folder) is None
+    V.load_or_build(spark, folder, lambda: spark.range(3), {"id"})
+
+    def crash(path):
+        spark.range(9).write.parquet(path)  # written whole, but not published
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        V.publish(spark, folder, crash)
+    assert V.load_or_build(spark, folder, lambda: spark.range(5), {"id"}).count() == 3
+    assert V.load_or_build(spark, folder, lambda: spark.range(5), {"id"}, force_rebuild=True).count() == 5
+    assert V.load_or_build(spark, folder, lambda: spark.range(7), {"id"}).count() == 5
+    wider = V.load_or_build(spark, folder, lambda: spark.range(2).selectExpr("id", "id AS more"), {"id", "more"})
+    assert sorted(wider.columns) == ["id", "more"] and wider.count() == 2
+
+
+def test_the_fingerprint_follows_the_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    one = V.fingerprint(spark.read.parquet(path))
+    assert one == V.fingerprint(spark.read.parquet(path))
+    spark.range(1).write.mode("append").parquet(path)
+    assert one != V.fingerprint(spark.read.parquet(path))
 
 
 def test_persisted_split_is_pruned(spark, tmp_path):
     rows = spark.createDataFrame([(1, "train"), (2, "test"), (3, "train")], "id long, split string")
     path = str(tmp_path / "split")
-    IO.load_or_build(spark, path, lambda: rows, {"id", "split"}, partition_by="split")
-    back = IO.load_or_build(spark, path, lambda: rows, {"id", "split"}, partition_by="split").where("split = 'test'")
+    V.load_or_build(spark, path, lambda: rows, {"id", "split"}, partition_by="split")
+    back = V.load_or_build(spark, path, lambda: rows, {"id", "split"}, partition_by="split").where("split = 'test'")
     assert [r.id for r in back.collect()] == [2]
     assert "PartitionFilters: [isnotnull(split" in back._jdf.queryExecution().executedPlan().toString()
 
@@ -101,3 +134,29 @@ def test_stream_matches_batch(spark):
     got = sorted(spark.sql("SELECT * FROM sf_clean").collect())
     want = sorted(ST.clean_stream(docs).collect())
     assert got == want
+
+
+def test_a_broken_stream_goes_on_without_repeats(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"not so happy {i}") for i in range(40)], "id long, text string")
+    logits = docs.selectExpr("id", "array(2.0D, 0.0D, 0.0D, 0.0D) AS logits")
+    docs.repartition(8).write.parquet(str(tmp_path / "in"))
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+
+    def scored():
+        return ST.score_stream(ST.read_text_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1), logits)
+
+    first = (scored().writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+             .trigger(processingTime="0 seconds").start())
+    while not first.recentProgress:
+        first.awaitTermination(0.05)
+    first.stop()  # in the middle: some files are still to come
+    begun = len([f for f in os.listdir(os.path.join(checkpoint, "commits")) if f.isdigit()])
+    ST.write_stream(scored(), out, checkpoint)
+    ST.write_stream(scored(), out, checkpoint)  # nothing is left
+    assert 0 < begun
+    got = spark.read.parquet(out)
+    assert sorted(got.collect()) == sorted(ST.score_stream(docs, logits).collect())
+    docs.selectExpr("id + 100 AS id", "text").write.mode("append").parquet(str(tmp_path / "in"))
+    logits = logits.union(logits.selectExpr("id + 100", "logits"))
+    ST.write_stream(scored(), out, checkpoint)  # files that came later
+    assert spark.read.parquet(out).count() == 80

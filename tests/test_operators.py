@@ -30,7 +30,7 @@ def test_dedup_ties_and_first_row(spark):
 def test_stratified_split_quotas_and_disjoint(spark):
     rows = [(i, f"t{i}", m) for i, m in enumerate(["happy"] * 37 + ["sad"] * 11 + ["angry"] * 5 + ["neutral"] * 2)]
     df = spark.createDataFrame(rows, "id long, clean_text string, mood string")
-    sp = SP.stratified_split(df, "mood", "clean_text", chars=1)
+    sp = SP.stratified_split(df, "mood", "clean_text", chars=1, bound=3)
     got = {(r.mood, r.split): r.n for r in sp.groupBy("mood", "split").agg(F.count("*").alias("n")).collect()}
     n = 55
     n_test = -(-n // 5)
@@ -52,7 +52,8 @@ def test_split_ranks_the_bucket_that_straddles(spark):
     for i in range(700):
         key = hashlib.md5(f"42|t{i}".encode()).hexdigest()
         by_hash.setdefault("happy" if i % 3 else "sad", []).append((key, f"t{i}", i))
-    got = {r.id: r.split for r in SP.stratified_split(df, "mood", "clean_text", chars=1).collect()}
+    got = {r.id: r.split for r in SP.stratified_split(df, "mood", "clean_text", chars=1, bound=3).collect()}
+    assert got == {r.id: r.split for r in SP.stratified_split(df, "mood", "clean_text").collect()}  # one window, no buckets
     quota = {"happy": 373, "sad": 187}  # 560 of 700 by largest remainder
     for mood, rows in by_hash.items():
         for rank, (_, _, i) in enumerate(sorted(rows)):
@@ -65,15 +66,25 @@ def test_train_validation_test(spark):
     assert {r["split"]: r["count"] for r in got} == {"train": 144, "validation": 16, "test": 40}
 
 
-def test_buckets_follow_the_rows():
-    assert [SP.bucket_chars(n) for n in (0, 10, 100_000, 1_600_001, 10**9, 10**12)] == [1, 1, 1, 2, 4, 4]
+def test_straddling_buckets_are_counted_until_small(spark):
+    df = spark.createDataFrame([(f"k{i}", 1) for i in range(500)] + [("twin", 1)] * 9, "k string, c int")
+    keyed = SP._hashed(df, "k", "42")
+    hashes = sorted(hashlib.md5(f"42|{k}".encode()).hexdigest() for k in [f"k{i}" for i in range(500)] + ["twin"] * 9)
+    for quota in (1, 250, 508, 509, 600):
+        quotas = spark.createDataFrame([(1, 509, quota)], "c int, _nc long, _quota long")
+        r = SP._straddling(keyed, quotas, "c", 1, 3).first()
+        mine = [h for h in hashes if h.startswith(r._prefix)]
+        assert r._size == len(mine) and (len(mine) <= 3 or len(set(mine)) == 1)
+        assert r._before == sum(h < r._prefix for h in hashes if not h.startswith(r._prefix))
+        assert r._before < min(quota, 509) <= r._before + r._size
+    assert SP._straddling(keyed, spark.createDataFrame([(1, 509, 0)], "c int, _nc long, _quota long"), "c", 1, 3).count() == 0
 
 
 def test_fixed_sample_is_the_first_by_hash(spark):
     df = spark.createDataFrame([(f"k{i}",) for i in range(500)], "k string")
     order = sorted((hashlib.md5(f"42|k{i}".encode()).hexdigest(), f"k{i}") for i in range(500))
-    for n, chars in ((1, 1), (77, 1), (77, 3), (500, 2), (900, 1)):
-        got = {r.k for r in SP.fixed_sample(df.repartition(3), "k", n, chars=chars).collect()}
+    for n, chars, bound in ((0, 1, 3), (1, 1, 3), (77, 1, 3), (77, 3, 1), (500, 2, 50), (900, 1, 3), (77, 2, 1000)):
+        got = {r.k for r in SP.fixed_sample(df.repartition(3), "k", n, chars=chars, bound=bound).collect()}
         assert got == {k for _, k in order[:n]}
 
 
