@@ -70,11 +70,6 @@ def multi_hot(ids, k: int) -> Column:
                        lambda j: F.array_contains(arr, j).cast("int"))
 
 
-def binarize(score, threshold: float) -> Column:
-    """1 if score > threshold (strict), else 0."""
-    return (_col(score) > F.lit(threshold)).cast("int")
-
-
 def softmax(logits) -> Column:
     """Numerically stable softmax of an array<double>."""
     z = _col(logits)

@@ -15,9 +15,8 @@ from .regex import LETTERS_ONLY, NON_WS, WORD, WS
 # FIXED VALUES: what counts as a URL and as a mention.
 URL_PATTERN = f"http{NON_WS}+|www{NON_WS}+"
 MENTION_PATTERN = f"@{WORD}+"
-ANALYSIS_URL_PATTERN = f"http{NON_WS}*|{NON_WS}*\\.com{NON_WS}*|{NON_WS}*www{NON_WS}*"
-# Same matches in linear time for Java: a run of non-space characters that
-# contains '.com' or 'www' is matched from its first character (the
+# A run of non-space characters from 'http' on, or around '.com' or 'www', in
+# linear time for Java: a run that contains '.com' or 'www' is matched from its first character (the
 # backtracking form retries every position of long runs); otherwise only
 # 'http...' can match, from its first occurrence to the end of the run.
 ANALYSIS_URL_PATTERN_JAVA = (f"(?<!{NON_WS}){NON_WS}*?(?:\\.com|www){NON_WS}*|http{NON_WS}*")
