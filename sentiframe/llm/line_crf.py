@@ -6,11 +6,15 @@ states boilerplate and content weighs them together with the state of the line
 before.  Viterbi decoding marks each line, and a document is kept if at least
 ``SHARE`` of its words stand in content lines.
 
-The weights are learned by gradient ascent on the conditional likelihood,
-from a bounded sample of ``SAMPLE`` labelled documents (picked by hash): all
-lines of a document of good quality count as content, all of a poor one as
-boilerplate.  Levels that mark poor lines only, whatever document they stand
-in, thus get their weight, and the chain smooths the rest.
+Labels are known for documents, not for lines, so line labels are hidden.  The
+weights are learned by EM under a constraint (posterior regularisation) from a
+bounded sample of ``SAMPLE`` labelled documents, picked by hash: the expected
+share of content lines is at least ``GOOD`` in a document of good quality and at
+most ``POOR`` in a poor one.  The E-step adds to all lines of a document the
+least tilt at which its share meets that, found by dual ascent beside the
+weights; the M-step follows the gradient towards the tilted expectations.  A
+document whose lines meet its constraint by themselves has no tilt, so clean
+lines of a poor page and junk lines of a good one keep their own labels.
 
 Defined results: words are runs of characters other than x20 and x09-x0D; a
 null or empty text has no words and fails the base rule; blank lines are no
@@ -20,6 +24,7 @@ and extra columns are kept as they are.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from operator import eq
 
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLANKS
+from .common import BLANKS, WORD
 
 #: FIXED VALUES: characters that count as symbols; words that mark notices.
 SYMBOLS = "#*$%&|<>"
@@ -39,10 +44,18 @@ RATIO, LENGTH = (0.0, 0.05, 0.2, 0.5), (2, 5, 10, 25)
 #: double exclamation marks, bars, an end mark, a copy of an earlier line, place, notice.
 LEVELS = (5, 5, 5, 5, 5, 5, 5, 2, 2, 4, 2)
 OFFSETS = np.concatenate(([0], np.cumsum(LEVELS)[:-1]))
-SAMPLE, ITERATIONS, PENALTY, SHARE = 4_000, 60, 1.0, 0.5
+SAMPLE, ITERATIONS, PENALTY, SHARE = 4_000, 80, 1.0, 0.5
+#: Content shares that labelled documents must have in expectation; the step of the dual ascent and the largest tilt.
+GOOD, POOR, ASCENT, MOST_TILT = 0.9, 0.25, 1.0, 6.0
+#: Penalty of the steps between states, as a share of all lines: labels of whole documents say little about changes
+#: within one, and without it the chain learns that states never change.
+STEADY = 0.03
 REPEAT_WINDOW = 5
 
 
+words_of = re.compile(WORD).findall
+
+
 def _level(x: float, ends: tuple) -> int:
     for i, end in enumerate(ends):
         if x <= end:
@@ -55,7 +68,7 @@ def line_features(text: str | None) -> tuple[np.ndarray, list[int]]:
     words of each such line)."""
     rows, sizes, seen = [], [], set()
     for line in (text or "").split("\n"):
-        words = line.split()
+        words = words_of(line)
         n = len(words)
         if not n:
             continue
@@ -123,8 +136,8 @@ def _posterior(scores: np.ndarray, mask: np.ndarray, step: np.ndarray) -> tuple[
 
 
 def fit(chains: list[np.ndarray], labels: list[int]) -> Chain:
-    """Maximise the penalised likelihood of lines that all have their
-    document's label (1 content, 0 boilerplate), by Adam steps."""
+    """Penalised likelihood of hidden line labels under the content shares that
+    the documents' labels (1 good, 0 poor) ask for, by Adam steps."""
     model = Chain()
     pairs = [(c, y) for c, y in zip(chains, labels, strict=True) if len(c)]
     if len({y for _, y in pairs}) < 2:
@@ -138,18 +151,23 @@ def fit(chains: list[np.ndarray], labels: list[int]) -> Chain:
         mask = np.arange(size.max()) < size[:, None]
         features = np.zeros((*mask.shape, len(LEVELS)), np.int64)
         features[mask] = np.concatenate([c for c, _ in part])
-        blocks.append((features, mask, np.array([y for _, y in part]), size))
-    total = sum(s.sum() for *_, s in blocks)
+        good = np.array([y for _, y in part]) == 1
+        blocks.append((features, mask, good, size, np.where(good, 2.0, -2.0)))
+    total = sum(len(c) for c, _ in pairs)
     moments = [np.zeros(len(model.emit) + 5), np.zeros(len(model.emit) + 5)]
     for turn in range(1, ITERATIONS + 1):
-        grad = -PENALTY * np.concatenate((model.emit, model.step.ravel(), [0.0]))
-        for features, mask, y, size in blocks:
-            p, steps = _posterior(model.emit[features].sum(axis=2) + model.bias, mask, model.step)
-            rest = (y[:, None] - p) * mask
+        grad = -PENALTY * np.concatenate((model.emit, STEADY / PENALTY * total * model.step.ravel(), [0.0]))
+        for features, mask, good, size, tilt in blocks:
+            scores = model.emit[features].sum(axis=2) + model.bias
+            p, steps = _posterior(scores, mask, model.step)
+            q, tilted = _posterior(scores + tilt[:, None], mask, model.step)
+            rest = q - p
             grad[:len(model.emit)] += np.bincount(features[mask].ravel(), np.repeat(rest[mask], len(LEVELS)), len(model.emit))
-            seen = np.array([[((size - 1) * (y == 0)).sum(), 0], [0, ((size - 1) * (y == 1)).sum()]])
-            grad[len(model.emit):-1] += (seen - steps).ravel()
+            grad[len(model.emit):-1] += (tilted - steps).ravel()
             grad[-1] += rest.sum()
+            share = q.sum(axis=1) / size
+            tilt[:] = np.where(good, np.clip(tilt + ASCENT * (GOOD - share), 0.0, MOST_TILT),
+                               np.clip(tilt + ASCENT * (POOR - share), -MOST_TILT, 0.0))
         grad /= total
         for m, beta, g in zip(moments, (0.9, 0.99), (grad, grad ** 2), strict=True):
             m *= beta

@@ -173,6 +173,31 @@ def test_junk_lines_are_boilerplate(spark):
     assert good[0] > 0.98 and poor[0] < 0.2
 
 
+def test_lines_of_mixed_pages(spark):
+    """Junk blocks within good lines are marked, on documents that the chain did not learn from."""
+    labelled = (spark.read.parquet("/root/testdata/sf0.01/documents.parquet").join(
+        spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").where("quality in (0, 1)").orderBy("doc_id")
+        .select("text", "quality").collect())
+    held, known = labelled[::5], [r for i, r in enumerate(labelled) if i % 5]
+    model = line_crf.fit([line_crf.line_features(r["text"])[0] for r in known], [r["quality"] for r in known])
+    shares = [model.content_share(r["text"]) for r in held]
+    assert np.mean([(s >= line_crf.SHARE) == bool(r["quality"]) for s, r in zip(shares, held, strict=True)]) > 0.97
+    assert sum(0 < s < 1 for s in shares) >= 2
+    lines = lambda q: [[x for x in r["text"].split("\n") if x.strip()][:5] for r in held if r["quality"] == q and r["text"]]
+    junk = [[x for x in d if line_crf.line_features(x)[1][0] > 2 and model.content_share(x) == 0] for d in lines(0)]
+    rng, right, n = random.Random(1), 0, 0
+    for _ in range(100):
+        a, b, c = rng.choice(lines(1)), rng.choice([d for d in junk if d]), rng.choice(lines(1))
+        states = model.decode(line_crf.line_features("\n".join(a + b + c))[0])
+        right += sum(map(int.__eq__, states, [1] * len(a) + [0] * len(b) + [1] * len(c)))
+        n += len(states)
+    assert right / n > 0.95
+
+
+def test_line_words_are_split_at_six_blanks_alone():
+    assert line_crf.line_features("a\x1cb\u00a0c d\x0be")[1] == [3]
+
+
 def test_classifier_separates_and_is_repeatable(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
