@@ -26,6 +26,7 @@ they are.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
@@ -75,28 +76,52 @@ AGAINST = ("order|invoice|ref|reference|isbn|version|ver|page|pages|chapter|sect
            "score|ratio|lines|room|year|years|batch|ticket|meet|met|arrive|arrived|stop|look|sat|lot")
 DOMAINS = "com|org|net|edu|gov|info|io|de|fr|es|uk|eu|it|nl|ch|at"
 AROUND = 32
-TREES, DEPTH, PRECISION = 20, 3, 0.97
+TREES, DEPTH, PRECISION, CHUNK = 20, 3, 0.97, 64
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, as a lambda's variable."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def between(xs: Column, low: Column, end: Column) -> Column:
+    """Elements ``low`` to ``end - 1``; ``slice`` would copy the whole array first."""
+    return F.transform(F.sequence(low, end - 1), lambda i: F.get(xs, i))
+
+
+def running(values: Column, join: Callable[[Column, Column], Column], start: Column) -> Column:
+    """Array of longs of the running ``join`` (associative, ``start`` neutral)
+    of an array of longs.  A fold copies its state at each element, so it runs
+    over chunks of CHUNK elements, then over the chunks' last values."""
+    def fold(xs: Column) -> Column:
+        return F.aggregate(xs, F.array().cast("array<long>"), lambda a, x: F.concat(
+            a, F.array(join(F.coalesce(F.get(a, F.size(a) - 1), start), x))))
+
+    def chunked(xs: Column) -> Column:
+        at = F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / CHUNK).cast("int"))
+        return F.transform(at, lambda c: fold(between(xs, c * CHUNK, F.least((c + 1) * CHUNK, F.size(xs)))))
+
+    def joined(chunks: Column) -> Column:
+        return bound(fold(F.transform(chunks, lambda c: F.get(c, F.size(c) - 1))), lambda upto: F.flatten(F.transform(
+            chunks, lambda c, i: F.when(i == 0, c).otherwise(bound(F.get(upto, i - 1), lambda u: F.transform(c, lambda x: join(u, x)))))))
+
+    return bound(values, lambda xs: F.when(F.size(xs) == 0, F.array().cast("array<long>")).otherwise(bound(chunked(xs), joined)))
 
 
 def matches(text: Column, pattern: str) -> Column:
     """array<struct<start, end, text, before, after>> of all matches, from the
     matches and the pieces between them."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    both = F.zip_with(found, F.slice(pieces, F.lit(1), F.size(found)), lambda m, p: F.struct(
-        m.alias("text"), F.char_length(p).alias("gap"), F.right(p, F.lit(AROUND)).alias("before")))
-    both = F.zip_with(both, F.slice(pieces, F.lit(2), F.size(found)), lambda x, p: F.struct(
-        x["text"].alias("text"), x["gap"].alias("gap"), x["before"].alias("before"), F.left(p, F.lit(8)).alias("after")))
-    empty = F.array().cast("array<struct<start:int,end:int,text:string,before:string,after:string>>")
+    def spans(found: Column, pieces: Column) -> Column:
+        lengths = F.zip_with(found, F.slice(pieces, F.lit(1), F.size(found)),
+                             lambda m, p: (F.char_length(p) + F.char_length(m)).cast("long"))
+        return bound(running(lengths, lambda a, x: a + x, F.lit(0).cast("long")), lambda ends: F.transform(found, lambda m, i: bound(
+            F.get(ends, i).cast("int"), lambda end: F.struct(
+                (end - F.char_length(m)).alias("start"), end.alias("end"), m.alias("text"),
+                F.right(F.get(pieces, i), F.lit(AROUND)).alias("before"), F.left(F.get(pieces, i + 1), F.lit(8)).alias("after")))))
 
-    def step(a: Column, x: Column) -> Column:
-        start = a["at"] + x["gap"]
-        end = start + F.char_length(x["text"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["text"].alias("text"), x["before"].alias("before"),
-                        x["after"].alias("after"))
-        return F.struct(end.alias("at"), F.concat(a["out"], F.array(span)).alias("out"))
-
-    return F.aggregate(both, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
+    empty = F.array().cast("array<struct<start:int,end:int,text:string,before:string,after:string>>")
+    return bound(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) == 0, empty).otherwise(
+        bound(F.split(text, pattern, -1), lambda pieces: spans(found, pieces))))
 
 
 def digits(text: Column) -> Column:
@@ -144,7 +169,7 @@ def base_spans(text: Column) -> Column:
     out = []
     for k, kind in enumerate(KINDS):
         out.append(F.when(may_hold(kind, text), F.transform(_kept(text, kind), _as_span(k))).otherwise(F.array().cast(SPAN)))
-    return F.array_sort(F.concat(*out), _by_start)
+    return _sorted(F.concat(*out))
 
 
 def _kept(text: Column, kind: str) -> Column:
@@ -155,10 +180,10 @@ def _as_span(kind: int):
     return lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"))
 
 
-def _by_start(x: Column, y: Column) -> Column:
-    return (F.when(x["start"] < y["start"], -1).when(x["start"] > y["start"], 1)
-            .when(x["kind"] < y["kind"], -1).when(x["kind"] > y["kind"], 1)
-            .when(x["end"] < y["end"], -1).when(x["end"] > y["end"], 1).otherwise(0))
+def _sorted(spans: Column) -> Column:
+    """By start, then kind, then end: the natural order of structs in that order."""
+    keyed = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return F.transform(F.sort_array(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
 
 
 def describe(g: int, m: Column) -> list[Column]:
@@ -323,25 +348,68 @@ def train(spark: SparkSession) -> Scorer:
     return scorer
 
 
+def clear(spans: Column, cover: Column) -> Column:
+    """The ``spans`` (structs that start with start, end) that overlap none of
+    ``cover`` (array of struct<start, end>).  Both are sorted together; a span
+    is clear if what starts before it ends before it, and what starts after it
+    starts after its end."""
+    long = lambda c: c.cast("long")
+    least, most = F.lit(-1).cast("long"), F.lit(2**62)
+    both = F.sort_array(F.concat(
+        F.transform(cover, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), F.lit(None).cast("int").alias("at"))),
+        F.transform(spans, lambda c, i: F.struct(c["start"].alias("start"), c["end"].alias("end"), i.alias("at")))))
+
+    def free(xs: Column) -> Column:
+        """Places in ``spans`` of those that are clear."""
+        ends = running(F.transform(xs, lambda x: F.when(x["at"].isNull(), long(x["end"])).otherwise(least)), F.greatest, least)
+        starts = F.reverse(running(F.transform(F.reverse(xs), lambda x: F.when(x["at"].isNull(), long(x["start"])).otherwise(most)),
+                                   F.least, most))
+        return bound(ends, lambda before: bound(starts, lambda after: F.transform(
+            F.filter(xs, lambda x, i: x["at"].isNotNull() & (F.get(before, i) <= x["start"]) & (F.get(after, i) >= x["end"])),
+            lambda x: x["at"])))
+
+    return F.when((F.size(cover) == 0) | (F.size(spans) == 0), spans).otherwise(
+        bound(both, lambda xs: bound(free(xs), lambda places: F.transform(places, lambda i: F.get(spans, i)))))
+
+
+def best_of_overlaps(chosen: Column) -> Column:
+    """The spans that overlap no better one: of higher p, then first, longest,
+    of the first kind.  Only spans that a chain of overlaps connects are
+    compared; sorted by start, such a group ends where the next start is not
+    before any end so far."""
+    clash = lambda x, y: (x["start"] < y["end"]) & (y["start"] < x["end"])
+    better = lambda x, y: F.when(x["p"] != y["p"], x["p"] > y["p"]).otherwise(
+        F.when(x["start"] != y["start"], x["start"] < y["start"]).otherwise(
+            F.when(x["end"] != y["end"], x["end"] > y["end"]).otherwise(x["kind"] < y["kind"])))
+
+    def alone(group: Column) -> Column:
+        return F.filter(group, lambda c: ~F.exists(group, lambda o: clash(o, c) & better(o, c)))
+
+    def groups(xs: Column) -> Column:
+        """Each group, cut at the places where one starts."""
+        ends = running(F.transform(xs, lambda x: x["end"].cast("long")), F.greatest, F.lit(-1).cast("long"))
+        return bound(ends, lambda upto: bound(
+            F.filter(F.sequence(F.lit(0), F.size(xs) - 1), lambda i: (i == 0) | (F.get(upto, i - 1) <= F.get(xs, i)["start"])),
+            lambda cuts: F.flatten(F.transform(cuts, lambda c, i: bound(
+                between(xs, c, F.coalesce(F.get(cuts, i + 1), F.size(xs))), alone)))))
+
+    return bound(F.sort_array(chosen), lambda xs: F.when(F.size(xs) < 2, xs).otherwise(groups(xs)))
+
+
 def find(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """(doc_id, base, spans): base and all spans of every whole text, as
     arrays of struct<kind, start, end> by start, then kind."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).select("doc_id", "text", base_spans(F.col("text")).alias("base"))
-    rows = rows.withColumn("more", proposed(F.col("text")))
-    clash = lambda x, y: (x["start"] < y["end"]) & (y["start"] < x["end"])
-    free = F.filter("more", lambda c: ~F.exists("base", lambda b: clash(b, c)))
-    scored = F.transform(free, lambda c: F.struct(
-        c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), scorer.probability(c["features"]).alias("p")))
-    rows = rows.select("doc_id", "base", scored.alias("scored")).withColumn(
-        "chosen", F.filter("scored", lambda c: scorer.admits(c["kind"], c["p"])))
-    better = lambda x, y: F.when(x["p"] != y["p"], x["p"] > y["p"]).otherwise(
-        F.when(x["start"] != y["start"], x["start"] < y["start"]).otherwise(
-            F.when(x["end"] != y["end"], x["end"] > y["end"]).otherwise(x["kind"] < y["kind"])))
-    added = F.filter("chosen", lambda c: ~F.exists("chosen", lambda o: clash(o, c) & better(o, c)))
-    spans = F.concat("base", F.transform(added, lambda c: F.struct(
-        c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))))
-    return rows.select("doc_id", "base", F.array_sort(F.array_distinct(spans), _by_start).alias("spans"))
+    scored = F.transform("more", lambda c: F.struct(
+        c["start"].alias("start"), c["end"].alias("end"), c["kind"].alias("kind"), scorer.probability(c["features"]).alias("p")))
+    rows = rows.select("doc_id", "base", proposed(F.col("text")).alias("more")).select("doc_id", "base", scored.alias("scored"))
+    chosen = F.filter("scored", lambda c: scorer.admits(c["kind"], c["p"]))
+    rows = rows.select("doc_id", "base", bound(chosen, lambda c: clear(c, F.col("base"))).alias("chosen"))
+    added = F.transform(best_of_overlaps(F.col("chosen")), lambda c: F.struct(
+        c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
+    return rows.select("doc_id", "base", F.when(F.size("chosen") == 0, F.col("base")).otherwise(
+        _sorted(F.array_distinct(F.concat("base", added)))).alias("spans"))
 
 
 def listing(spans: Column) -> Column:

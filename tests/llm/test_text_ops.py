@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -292,6 +293,34 @@ def test_wider_forms_are_selected(spark, scorer):
     assert not any(got[i] for i in range(7, 12))
 
 
+def test_overlaps_equal_brute_force(spark):
+    """Spans clear of the base, and the best of those that overlap, as all pairs tell."""
+    rng, rows = random.Random(8), []
+    for i in range(300):
+        span = lambda: (lambda a: (a, a + rng.randint(1, 9)))(rng.randint(0, 400))
+        rows.append((i, sorted({span() for _ in range(rng.choice([0, 1, 12, 90]))}),
+                     sorted({(*span(), rng.randint(0, 3), rng.choice([0.6, 0.7, 0.8])) for _ in range(rng.choice([0, 1, 12, 150]))})))
+    docs = spark.createDataFrame(rows, "id int, base array<struct<start:int,end:int>>, "
+                                       "more array<struct<start:int,end:int,kind:int,p:double>>")
+    got = {r["id"]: r for r in docs.select("id", pii.clear(F.col("more"), F.col("base")).alias("clear"),
+                                           pii.best_of_overlaps(F.col("more")).alias("best")).collect()}
+    meet = lambda x, y: x[0] < y[1] and y[0] < x[1]
+    rank = lambda x: (-x[3], x[0], -x[1], x[2])
+    for i, base, more in rows:
+        assert sorted(map(tuple, got[i]["clear"])) == [c for c in more if not any(meet(b, c) for b in base)]
+        assert sorted(map(tuple, got[i]["best"])) == [c for c in more if not any(meet(o, c) and rank(o) < rank(c) for o in more)]
+
+
+def test_a_text_of_many_spans(spark, scorer):
+    n = 20_000
+    text = " ".join(f"user{i}@mail{i % 7}.example.com 10.0.{i % 200}.{i % 250}," for i in range(n))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.perf_counter()
+    found = pii.find(docs, scorer).head()
+    assert time.perf_counter() - start < 60
+    assert [(s["kind"], s["start"], s["end"]) for s in found["base"]] == brute_spans(text) and len(found["base"]) == 2 * n
+
+
 def test_added_spans(spark, scorer):
     texts = ["call me at 555-123-4567 or john at gmail dot com", "ping 2001:db8:85a3::8a2e:370:7334", "card 4111.1111.1111.1111",
              "they met at noon dot and left", "order 555-123-4567-12", "the score 10:20:30", "the river and the stone"]
