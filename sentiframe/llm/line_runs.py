@@ -108,10 +108,14 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, n_batches: int = 4, fano
 def line_dedup(docs: DataFrame, min_chars: int = 10, n_batches: int = 4, fanout: int = 2,
                keep: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, kept columns, n_lines, n_dropped, remaining text) of every row
-    of ``docs``."""
+    of ``docs``.  Kept columns may have any names but those of the result."""
+    clash = {"doc_id", "n_lines", "n_dropped", "text"} & set(keep)
+    if clash:
+        raise ValueError(f"columns of the result cannot be kept from the input: {sorted(clash)}")
     docs = docs.select("doc_id", "text", *keep)
     drops = dropped_lines(docs, min_chars, n_batches, fanout)
-    split = docs.select("doc_id", *keep, F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("row"),
+    # carried columns are one struct, so that their names meet no other
+    split = docs.select(F.struct("doc_id", *keep).alias("carried"), F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("row"),
                         F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
     both = split.join(drops, ["id", "row"], "left")
     n_lines = F.size("lines")
@@ -119,8 +123,9 @@ def line_dedup(docs: DataFrame, min_chars: int = 10, n_batches: int = 4, fanout:
     left = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("dropped"))
     kept = F.when(F.col("dropped").isNull(), F.array_join("lines", "\n")).otherwise(
         F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n"))
-    return both.select("doc_id", *keep, n_lines.cast("long").alias("n_lines"),
-                       F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("text"))
+    out = both.select("carried", n_lines.cast("long").alias("n_lines"),
+                      F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("text"))
+    return out.select("carried.*", "n_lines", "n_dropped", "text")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -226,15 +226,15 @@ def mix(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     taken, dealt to partitions by shard and shuffled within it.  All columns
     of ``docs`` are kept and none is added."""
     planned = written(plan(written(sizes(docs), "sizes"), seed=seed, **options)
-                      .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-                              F.col("shards").alias("_shards")).distinct(), "mix")
-    size = F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long")
-    copies = docs.withColumn("_words", size).join(
-        planned, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size"))).select(*docs.columns, F.posexplode("_shards").alias("_copy", "_shard"))
-    return (copies.repartition("_shard")
-            .sortWithinPartitions("_shard", F.xxhash64(F.lit(seed), "_shard", "doc_id", "_copy"))
-            .select(*docs.columns))
+                      .select("doc_id", "source", "size", "shards").distinct(), "mix")
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    # the whole row is one column, so that its names meet no other
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.col("source").alias("from"), size.alias("words"))
+    copies = keyed.join(planned, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("from"))
+                        & (F.col("words") == F.col("size"))).select("row", "id", F.posexplode("shards").alias("copy", "shard"))
+    return (copies.repartition("shard")
+            .sortWithinPartitions("shard", F.xxhash64(F.lit(seed), "shard", "id", "copy"))
+            .select("row.*"))
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import hashlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from sentiframe.llm import line_runs, simhash_trie
 from tests.llm import fixtures
@@ -39,6 +40,18 @@ def test_line_dedup_equals_brute_force(spark, n_batches, fanout):
     assert sorted(((r["doc_id"], r["n_lines"], r["n_dropped"], r["text"]) for r in got), key=str) == expected_lines(fixtures.rows())
 
 
+def test_line_dedup_carries_columns_of_any_name(spark):
+    names = ("lines", "id", "row", "dropped", "carried", "source")
+    docs = fixtures.documents(spark).withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    out = line_runs.line_dedup(docs, keep=names)
+    assert out.columns == ["doc_id", *names, "n_lines", "n_dropped", "text"]
+    plain = line_runs.line_dedup(fixtures.documents(spark))
+    assert sorted(map(str, out.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    assert all(r[c] == f"{c}{r['doc_id']}" for r in out.where("doc_id is not null").collect() for c in names)
+    with pytest.raises(ValueError):
+        line_runs.line_dedup(docs, keep=("n_lines",))
+
+
 def test_line_dedup_of_empty_table(spark):
     assert line_runs.line_dedup(fixtures.documents(spark).limit(0)).count() == 0
 

@@ -98,6 +98,17 @@ def test_mix_of_empty_and_wordless_tables(spark):
     assert {r["target"] for r in planned(spark, blank).collect()} == {0.0}
 
 
+def test_mix_carries_columns_of_any_name(spark):
+    docs = fixtures.documents(spark)
+    names = ["_words", "_id", "_source", "_size", "_shards", "row", "id", "from", "words", "shards", "copy", "shard"]
+    more = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in names})
+    mixed = mixing.mix(more)
+    assert mixed.columns == more.columns
+    assert sorted(map(str, mixed.select(*docs.columns[:2], "lang", "source").collect())) == sorted(
+        map(str, mixing.mix(docs).select(*docs.columns[:2], "lang", "source").collect()))
+    assert all(r[c] == f"{c}{r['doc_id']}" for r in mixed.where("doc_id is not null").collect() for c in names)
+
+
 def test_mix_comes_near_targets(spark):
     got = mixing.op1_mixing(spark, "/root/testdata/sf0.01").groupBy("source_size", "target").agg(F.sum("taken").alias("taken")).collect()
     assert all(abs(r["taken"] - r["target"]) <= 0.02 * r["target"] for r in got)
