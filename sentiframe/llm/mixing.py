@@ -32,12 +32,18 @@ table gives an empty mix.  Extra columns are carried by ``mix`` alone.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, unit, written
 
 SUPER = 1024
+#: Words of one output shard (some 100 MB of text) and fewest shards.
+SHARD_WORDS, LEAST_SHARDS = 1 << 24, 64
+#: Levels of the splitting tree that one task computes before nodes are dealt anew.
+TREE_LEVELS = 6
 #: Half-width, in standard deviations, of the range in which a draw is
 #: inverted; the mass beyond it is below the resolution of a double.
 SIGMAS = 12.0
@@ -122,7 +128,9 @@ def split_quotas(quotas: DataFrame, n_shards: int, seed: int) -> DataFrame:
         F.lit(0).alias("low"), F.lit(n_shards).alias("high"),
         F.transform("q", lambda x: x["s"]).alias("sources"), F.transform("q", lambda x: x["quota"].cast("double")).alias("q"))
     nodes = root
-    for _ in range((n_shards - 1).bit_length()):
+    for level in range((n_shards - 1).bit_length()):
+        if level and level % TREE_LEVELS == 0:
+            nodes = nodes.repartition("low")
         wide = F.col("high") - F.col("low")
         middle = F.col("low") + F.ceil(wide / 2).cast("int")
         total = F.aggregate("q", F.lit(0.0), lambda a, x: a + x)
@@ -141,11 +149,18 @@ def split_quotas(quotas: DataFrame, n_shards: int, seed: int) -> DataFrame:
     return leaves.select("shard", "s", (upto - F.col("n")).alias("first"), upto.alias("last"))
 
 
-def plan(sized: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = 3.0, n_shards: int = 64,
+def shards_for(words: float | None) -> int:
+    """Number of output shards for so many words."""
+    return max(LEAST_SHARDS, math.ceil((words or 0) / SHARD_WORDS))
+
+
+def plan(sized: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: float = 3.0, n_shards: int | None = None,
          units_per_block: int = 64, seed: int = 17) -> DataFrame:
     """(doc_id, source, size, source_size, target, shards) of every row of
-    ``sized``: one shard number for each time the document is taken."""
+    ``sized``: one shard number for each time the document is taken.  The
+    number of shards follows the words to take unless it is given."""
     source = written(source_targets(sized, weights, most), "targets")
+    n_shards = n_shards or shards_for(source.agg(F.sum("target")).head()[0])
     words = F.round("target").cast("long")
     source = source.select(
         "source", "s", "source_size", "target",
@@ -223,8 +238,8 @@ def plan(sized: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), most: f
 
 def mix(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, repeated as often as they are
-    taken, dealt to partitions by shard and shuffled within it.  All columns
-    of ``docs`` are kept and none is added."""
+    taken, one partition per shard, shuffled within it.  All columns of
+    ``docs`` are kept and none is added."""
     planned = written(plan(written(sizes(docs), "sizes"), seed=seed, **options)
                       .select("doc_id", "source", "size", "shards").distinct(), "mix")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
@@ -232,7 +247,8 @@ def mix(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
     keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.col("source").alias("from"), size.alias("words"))
     copies = keyed.join(planned, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("from"))
                         & (F.col("words") == F.col("size"))).select("row", "id", F.posexplode("shards").alias("copy", "shard"))
-    return (copies.repartition("shard")
+    shards = planned.agg(F.max(F.array_max("shards"))).head()[0]
+    return (copies.repartitionById((shards or 0) + 1, F.col("shard"))
             .sortWithinPartitions("shard", F.xxhash64(F.lit(seed), "shard", "id", "copy"))
             .select("row.*"))
 

@@ -6,7 +6,8 @@ join visits pairs of nodes of the same depth together, adds a differing bit
 when it goes down different sides, and leaves a pair as soon as the Hamming
 budget is exceeded.  The top levels are spread by Spark: subtrees under a
 prefix of ``prefix_bits`` are paired with those whose prefix differs in no
-more bits than the budget, and each pair is one group.  Within a group the
+more bits than the budget, and each pair is one group; a pair with too many
+values is spread again over deeper levels.  Within a group the
 traversal goes level by level over arrays of node ranges, depth first in
 bounded slices.  A group returns a spanning forest of its links rather than
 all of them, so a dense cluster costs no more rows than it has members;
@@ -39,6 +40,8 @@ SEED = 42
 LANES = np.uint64(0x0101010101010101)
 #: Node pairs that are looked at together.
 NODE_PAIRS = 200_000
+#: A pair of subtrees that holds more than so many times the usual values goes further down.
+CROWDED = 8
 #: Node pairs with so few entry pairs are compared entry by entry.
 LEAF = 32
 
@@ -172,18 +175,27 @@ def prefix_bits(n: int, subtree: int) -> int:
     return min(24, max(0, math.ceil(math.log2(max(1, n) / subtree))))
 
 
-def trie_self_join(distinct: DataFrame, budget: int = 2, subtree: int = 1 << 13) -> DataFrame:
-    """(a, b) spanning links, a > b, between distinct values of ``fp`` that
-    differ in at most ``budget`` bits."""
-    depth = prefix_bits(distinct.count(), subtree)
-    masks = _masks(depth, budget)
-    own = F.shiftrightunsigned("fp", 64 - depth) if depth else F.lit(0).cast("long")
-    to = F.explode(F.array(*[F.lit(m).cast("long") for m in masks]))
-    placed = (distinct.select("fp", own.alias("own")).select("fp", "own", to.alias("mask"))
-              .select("fp", F.least("own", F.col("own").bitwiseXOR(F.col("mask"))).alias("lo"),
-                      F.greatest("own", F.col("own").bitwiseXOR(F.col("mask"))).alias("hi"),
-                      (F.col("own") > F.col("own").bitwiseXOR(F.col("mask"))).alias("second")))
-
+def _place(nodes: DataFrame, depth: int, bits: int, budget: int) -> DataFrame:
+    """``nodes`` (fp, lo, hi, second, ..), values in pairs of nodes at
+    ``depth``, in the pairs of nodes ``bits`` levels below: a value goes to the
+    pair of its own prefix with every prefix on the other side that keeps the
+    differing bits within the budget.  A pair of a node with itself has lo = hi
+    and one side."""
+    below = F.shiftrightunsigned("fp", 64 - depth - bits) if depth + bits else F.lit(0).cast("long")
+    masks = F.array(*[F.struct(F.lit(m).cast("long").alias("m"), F.lit(m.bit_count()).alias("e")) for m in _masks(bits, budget)])
+    left = F.lit(budget) - F.bit_count(F.col("lo").bitwiseXOR(F.col("hi")))
+    rest = [c for c in nodes.columns if c not in ("fp", "lo", "hi", "second")]
+    to = nodes.withColumn("own", below).withColumn("mask", F.explode(F.filter(masks, lambda x: x["e"] <= left)))
+    other = F.shiftleft(F.when(F.col("second"), F.col("lo")).otherwise(F.col("hi")), bits).bitwiseOR(
+        F.col("own").bitwiseXOR(F.col("mask.m")).bitwiseAND(F.lit((1 << bits) - 1)))
+    to = to.withColumn("other", other).withColumn(
+        "second", F.when(F.col("lo") == F.col("hi"), F.col("own") > F.col("other")).otherwise(F.col("second")))
+    return to.select("fp", F.when(F.col("second"), F.col("other")).otherwise(F.col("own")).alias("lo"),
+                     F.when(F.col("second"), F.col("own")).otherwise(F.col("other")).alias("hi"), "second", *rest)
+
+
+def _join_pairs(placed: DataFrame, depth: int, budget: int) -> DataFrame:
+    """Spanning links (a, b) of each pair of nodes at ``depth``."""
     def join(key, table):
         fp = table.column("fp").to_numpy().view(np.uint64)
         second = table.column("second").to_numpy(zero_copy_only=False)
@@ -199,6 +211,36 @@ def trie_self_join(distinct: DataFrame, budget: int = 2, subtree: int = 1 << 13)
     return placed.groupBy("lo", "hi").applyInArrow(join, "a long, b long")
 
 
+def trie_self_join(distinct: DataFrame, budget: int = 2, subtree: int = 1 << 13, step: int = 6) -> DataFrame:
+    """(a, b) spanning links, a > b, between distinct values of ``fp`` that
+    differ in at most ``budget`` bits.
+
+    Pairs of nodes are first cut at the depth where evenly spread values would
+    make subtrees of ``subtree``.  A pair that holds more than ``CROWDED``
+    times that (templated texts share leading bits) goes ``step`` levels
+    further down, with the bits it has spent, until it is no larger; so a
+    group's size is bounded whatever the values are."""
+    nodes = distinct.select("fp", F.lit(0).cast("long").alias("lo"), F.lit(0).cast("long").alias("hi"), F.lit(False).alias("second"))
+    depth, bits, links = 0, prefix_bits(distinct.count(), subtree), None
+    while True:
+        placed, down = _place(nodes, depth, bits, budget), depth + bits
+        # sizes come from one row per node and side, not from every value
+        node = F.shiftrightunsigned("fp", 64 - down) if down else F.lit(0)
+        counted = nodes.groupBy("lo", "hi", "second", node.alias("node")).agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")).drop("node")
+        sizes = _place(counted, depth, bits, budget).groupBy("lo", "hi").agg(
+            F.sum("n").alias("n"), F.max("second").alias("right"), F.min("second").alias("left"))
+        both = (F.col("lo") == F.col("hi")) | (F.col("right") & ~F.col("left"))
+        crowded = written(sizes.where(F.col("n") > CROWDED * subtree).select("lo", "hi", both.alias("both")), "crowded")
+        some = down < 64 and not crowded.isEmpty()
+        part = _join_pairs(placed.join(crowded, ["lo", "hi"], "left_anti") if some else placed, down, budget)
+        links = part if links is None else links.union(part)
+        if not some:
+            return links
+        # a pair with one empty side has no links
+        nodes = written(placed.join(crowded.where("both").drop("both"), ["lo", "hi"]).select("fp", "lo", "hi", "second"), "nodes")
+        depth, bits = down, min(step, 64 - down)
+
+
 def _masks(depth: int, budget: int) -> list[int]:
     """Numbers of ``depth`` bits with at most ``budget`` ones."""
     out = {0}

@@ -166,3 +166,35 @@ def test_digests(spark, tmp_path):
     assert got == {(i, hashlib.sha256(t.encode()).hexdigest()) for i, _, _, t in expected_lines(fixtures.rows())}
     prints = {(r["doc_id"], r["fingerprint"]) for r in simhash_trie.op10_simhash(spark, str(tmp_path)).collect()}
     assert prints == {(i, f"{brute_fingerprint(t):016x}") for i, t, *_ in fixtures.rows()}
+
+
+def test_crowded_prefixes_go_deeper(spark, monkeypatch):
+    """Templated values, which share most leading bits, make no large group and lose no link."""
+    rng = np.random.default_rng(5)
+    spread = rng.integers(0, 1 << 63, 300, dtype=np.uint64) << np.uint64(1)
+    shared = (np.uint64(0xF5A3) << np.uint64(48)) | rng.integers(0, 1 << 14, 1500, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, 400).astype(np.uint64)
+    values = np.unique(np.concatenate((spread, shared, rng.choice(np.concatenate((spread, shared)), 400) ^ flips)))
+    largest, joined = [], simhash_trie._join_pairs
+
+    def watched(placed, depth, budget):
+        largest.append((depth, placed.groupBy("lo", "hi").count().agg(F.max("count")).head()[0]))
+        return joined(placed, depth, budget)
+
+    monkeypatch.setattr(simhash_trie, "_join_pairs", watched)
+    distinct = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    links = simhash_trie.trie_self_join(distinct, 2, subtree=16)
+    got = {r["node"]: r["root"] for r in simhash_trie.components(links).collect()}
+    assert len(largest) > 2 and all(n <= simhash_trie.CROWDED * 16 for _, n in largest)
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 2
+    label = np.arange(len(values))
+    while True:  # the smallest label among neighbours, until nothing changes
+        now = np.array([label[row].min() for row in near])
+        if (now == label).all():
+            break
+        label = now
+    groups = {}
+    for v, at in zip(values.view(np.int64).tolist(), label.tolist(), strict=True):
+        groups.setdefault(at, []).append(v)
+    assert {v: min(g) for g in groups.values() if len(g) > 1 for v in g} == {a: b for a, b in got.items()} | {
+        b: b for b in got.values()}

@@ -236,3 +236,21 @@ def test_pipeline_keeps_good_documents(spark):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     poor = out.join(labels.where("quality = 0"), "doc_id", "left_semi").select("doc_id").distinct().count()
     assert out.count() > 0 and poor <= 0.2 * labels.where("quality = 0").count()
+
+
+@pytest.mark.parametrize("n_shards", [3, 500])
+def test_one_partition_per_shard(spark, n_shards):
+    docs = fixtures.documents(spark)
+    plan = mixing.plan(written(mixing.sizes(docs), "sizes"), n_shards=n_shards)
+    taken = plan.select("doc_id", F.explode("shards").alias("shard"))
+    want = sorted(map(str, taken.select("doc_id").collect()))
+    sizes = [r["n"] for r in taken.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()]
+    mixed = mixing.mix(docs, n_shards=n_shards)
+    got = [r["n"] for r in mixed.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sorted(got) == sorted(sizes) and len(got) <= n_shards
+    assert sorted(map(str, mixed.select("doc_id").collect())) == want
+
+
+def test_number_of_shards_follows_the_words():
+    assert mixing.shards_for(None) == mixing.shards_for(1e6) == mixing.LEAST_SHARDS
+    assert mixing.shards_for(1e13) == -(-10**13 // mixing.SHARD_WORDS)
