@@ -15,11 +15,6 @@ from .regex import LETTERS_ONLY, NON_WS, WORD, WS
 # FIXED VALUES: what counts as a URL and as a mention.
 URL_PATTERN = f"http{NON_WS}+|www{NON_WS}+"
 MENTION_PATTERN = f"@{WORD}+"
-# A run of non-space characters from 'http' on, or around '.com' or 'www', in
-# linear time for Java: a run that contains '.com' or 'www' is matched from its first character (the
-# backtracking form retries every position of long runs); otherwise only
-# 'http...' can match, from its first occurrence to the end of the run.
-ANALYSIS_URL_PATTERN_JAVA = (f"(?<!{NON_WS}){NON_WS}*?(?:\\.com|www){NON_WS}*|http{NON_WS}*")
 ANALYSIS_MENTION_PATTERN = f"{WS}@{NON_WS}+"
 
 
@@ -62,6 +57,17 @@ def light_clean_text(c) -> Column:
     return squash_whitespace(s)
 
 
+def strip_analysis_urls(s: Column) -> Column:
+    """A text without its runs of non-space characters that hold '.com' or 'www'
+    and without the rest of a run from 'http' on; whitespace left is a space.
+    Texts with none of these, most of them, are only searched for them; in the
+    others a run is looked at as a whole, in linear time."""
+    cut = F.transform(F.split(s, f"{WS}+"), lambda t: F.when(
+        t.contains(".com") | t.contains("www"), F.lit("")).otherwise(F.substring_index(t, "http", 1)))
+    found = s.contains(".com") | s.contains("www") | s.contains("http")
+    return F.when(found, F.array_join(cut, " ")).otherwise(s)
+
+
 def analysis_tokens(c) -> Column:
     """Tokens for word statistics (T3): array<string> of words longer than 2.
 
@@ -70,7 +76,7 @@ def analysis_tokens(c) -> Column:
     replaced by spaces.
     """
     s = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
-    s = F.regexp_replace(s, ANALYSIS_URL_PATTERN_JAVA, " ")
+    s = strip_analysis_urls(s)
     s = F.regexp_replace(s, ANALYSIS_MENTION_PATTERN, " ")
     s = F.translate(s, ANALYSIS_PUNCTUATION, " " * len(ANALYSIS_PUNCTUATION))
     return F.filter(F.split(squash_whitespace(s), " "), lambda t: F.length(t) > 2)

@@ -3,7 +3,7 @@
 
 Word counts run over annotation rows (an example's words count once per
 rater).  Instead of tokenising the text once per annotation row, each
-example is tokenised once and its word counts are weighted by the number of
+example is tokenised once and its words are weighted by the number of
 annotation rows of that example - the same sums, with tokenisation cost
 proportional to distinct examples.
 
@@ -15,12 +15,12 @@ T - c1 and its total N - n1; the prior is T (total N).  One
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import AGREEMENT_MIN, EMOTIONS, LOG_ODDS_MIN_Z
 from ..functions.text import analysis_tokens
-from ..session import written
+from ..session import partitions, written
 from .agreement import agreed
 
 
@@ -40,35 +40,42 @@ def rows_per_example(ratings: DataFrame, labels: list[str] = EMOTIONS,
     return sums.select("id", "n_rows", agreed(labels, min_agreement).alias("agreement"))
 
 
-def weighted_word_counts(ratings: DataFrame, examples: DataFrame) -> DataFrame:
-    """(id, word, n): word counts per example times its annotation rows."""
-    per_ex = rows_per_example(ratings).select("id", "n_rows")
-    wc = example_word_counts(examples)
-    return wc.join(per_ex, "id").select("id", "word", (F.col("n") * F.col("n_rows")).alias("n"))
+def word_rows(examples: DataFrame, per_ex: DataFrame) -> DataFrame:
+    """Every occurrence of a word with its example's row of ``per_ex`` (one row
+    per id).  Texts are dealt by id before they are tokenised, however few tasks
+    the scan has; sums by word are added up map-side, without a table of
+    (example, word), so a task's memory follows its distinct words."""
+    texts = examples.select("id", "text").repartition(partitions(examples.sparkSession), "id")
+    columns = [c for c in per_ex.columns if c != "id"]
+    return texts.join(per_ex, "id").select(*columns, F.explode(analysis_tokens("text")).alias("word"))
 
 
 def word_counts(ratings: DataFrame, examples: DataFrame) -> DataFrame:
     """Total count per word over all annotation rows."""
-    return weighted_word_counts(ratings, examples).groupBy("word").agg(F.sum("n").alias("n"))
+    per_ex = rows_per_example(ratings).select("id", "n_rows")
+    return word_rows(examples, per_ex).groupBy("word").agg(F.sum("n_rows").alias("n"))
 
 
-def label_membership(ratings: DataFrame, labels: list[str] = EMOTIONS, match: str = "exact",
-                     min_agreement: int = AGREEMENT_MIN) -> DataFrame:
-    """(id, label) for every label an example belongs to.
+def agreed_members(labels: list[str] = EMOTIONS, match: str = "exact") -> Column:
+    """The labels an example belongs to, as an array, off its ``agreement``.
 
     ``exact``: the label is in the agreed set.  ``contains``: the label occurs
     as a substring of the comma-joined agreed set (parity mode: 'approval'
     then also matches 'disapproval').  The label list is a literal array, so
     membership is a per-row higher-order function, not a join."""
-    per_ex = rows_per_example(ratings, labels, min_agreement)
     names = F.array(*[F.lit(e) for e in labels])
     if match == "exact":
-        members = F.filter(F.split(F.col("agreement"), ","), lambda x: x != "")
-    elif match == "contains":
-        members = F.filter(names, lambda x: F.instr(F.col("agreement"), x) > 0)
-    else:
-        raise ValueError(f"match must be 'exact' or 'contains', not {match!r}")
-    return per_ex.select("id", F.explode(members).alias("label"))
+        return F.filter(F.split(F.col("agreement"), ","), lambda x: x != "")
+    if match == "contains":
+        return F.filter(names, lambda x: F.instr(F.col("agreement"), x) > 0)
+    raise ValueError(f"match must be 'exact' or 'contains', not {match!r}")
+
+
+def label_membership(ratings: DataFrame, labels: list[str] = EMOTIONS, match: str = "exact",
+                     min_agreement: int = AGREEMENT_MIN) -> DataFrame:
+    """(id, label) for every label an example belongs to (``agreed_members``)."""
+    per_ex = rows_per_example(ratings, labels, min_agreement)
+    return per_ex.select("id", F.explode(agreed_members(labels, match)).alias("label"))
 
 
 def log_odds(ratings: DataFrame, examples: DataFrame, labels: list[str] = EMOTIONS,
@@ -76,16 +83,22 @@ def log_odds(ratings: DataFrame, examples: DataFrame, labels: list[str] = EMOTIO
              min_z: float | None = LOG_ODDS_MIN_Z) -> DataFrame:
     """Log-odds ratio with informative prior per (label, word).
 
-    Returns (emotion, word, z, freq) with ``z >= min_z`` (3 by default).  The
-    counts per example are written once, so texts are tokenised once.  Words a label never uses always score <= 0, so the
-    thresholded output needs only the (label, word) pairs that occur.
+    Returns (emotion, word, z, freq) with ``z >= min_z`` (3 by default).  Texts
+    are tokenised once: an occurrence counts for every label of its example and
+    for all words together, and these counts, at most one row per label and
+    distinct word, are written.  Words a label never uses always score <= 0, so
+    the thresholded output needs only the (label, word) pairs that occur.
     ``min_z=None`` keeps every occurring pair.
     """
-    wc = written(weighted_word_counts(ratings, examples), "word-counts")
-    members = label_membership(ratings, labels, match)
-    c1 = members.join(wc, "id").groupBy("label", "word").agg(F.sum("n").alias("c1"))
-    totals = wc.groupBy("word").agg(F.sum("n").alias("t"))
+    groups = F.concat(F.array(F.lit(-1)), F.transform(agreed_members(labels, match), lambda x: F.array_position(
+        F.array(*[F.lit(e) for e in labels]), x).cast("int") - 1))  # -1: all words
+    per_ex = rows_per_example(ratings, labels).select("id", "n_rows", groups.alias("groups"))
+    rows = word_rows(examples, per_ex).select("n_rows", "word", F.explode("groups").alias("group"))
+    counts = written(rows.groupBy("group", "word").agg(F.sum("n_rows").alias("n")), "word-counts")
+    totals = counts.where(F.col("group") < 0).select("word", F.col("n").alias("t"))
     n_all = totals.select(F.sum("t")).scalar()
+    names = F.array(*[F.lit(e) for e in labels])
+    c1 = counts.where(F.col("group") >= 0).select(F.get(names, F.col("group")).alias("label"), "word", F.col("n").alias("c1"))
     # label-sized: at most len(labels) rows
     n1 = c1.groupBy("label").agg(F.sum("c1").alias("n1"))
     j = c1.join(totals, "word").join(F.broadcast(n1), "label")

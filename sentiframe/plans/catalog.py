@@ -22,7 +22,7 @@ from ..operators import scoring as SC
 from ..operators import taxonomy as TX
 from ..operators import split as SP
 from ..operators import words as W
-from ..session import shared_folder, table, written
+from ..session import partitions, shared_folder, table, written
 from ..sources import fixtures as FX
 from ..sources import io as IO
 from ..sources import versions as V
@@ -70,7 +70,8 @@ def _all_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = FX.examples(spark, sf_dir)
     social = FX.social_texts(spark, sf_dir).select(
         (F.col("id") + PAGE_ID_OFFSET).alias("id"), "text")
-    return docs.unionByName(social)
+    # dealt over all tasks before they are cleaned, however few tasks the scans have
+    return docs.unionByName(social).repartition(partitions(spark), "id", "text")
 
 
 # --- text operators ---------------------------------------------------------

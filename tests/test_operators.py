@@ -149,3 +149,27 @@ def test_best_run_from_training_log(spark):
     assert M.eval_epochs(log).count() == 3
     best = M.best_run(log).first()
     assert (best.epoch, best.step, best.eval_f1) == (2.0, 20, 0.68)
+
+
+def test_words_are_added_up_without_a_table_per_example(spark):
+    """Counts by word and label against plain loops, and no aggregate by (id, word)."""
+    import re
+    from collections import Counter
+    from sentiframe.operators import words as W
+    texts = [(1, "river stone river"), (2, "stone cloud"), (2, "cloud again"), (3, None), (None, "lost words"), (4, "unrated text")]
+    examples = spark.createDataFrame(texts, "id long, text string")
+    rows = [(1, 1, 0), (1, 1, 1), (1, 0, 1), (2, 1, 0), (2, 1, 0), (3, 1, 1), (None, 1, 1), (9, 1, 1)]
+    ratings = spark.createDataFrame(rows, "id long, joy int, love int")
+    n = Counter(r[0] for r in rows)
+    want = Counter()
+    for i, text in texts:
+        for w in (text or "").split() if i is not None else ():
+            want[w] += n[i]
+    sums = W.rows_per_example(ratings, ["joy", "love"]).select("id", "n_rows")
+    got = W.word_rows(examples, sums).groupBy("word").agg(F.sum("n_rows").alias("n"))
+    assert {r.word: r.n for r in got.collect()} == {w: c for w, c in want.items() if c}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"keys=\[id#\d+L?, word#", plan) and "REPARTITION_BY_NUM" in plan
+    scored = W.log_odds(ratings, examples, ["joy", "love"], min_z=None).collect()
+    assert {(r.emotion, r.word) for r in scored} == {(e, w) for e, i in (("joy", 1), ("love", 1), ("joy", 2)) for j, t in texts if j == i for w in t.split()}
+    assert {r.word: round(r.freq, 6) for r in scored if r.emotion == "joy"} == {"river": round(6 / 17, 6), "stone": round(5 / 17, 6), "cloud": round(4 / 17, 6), "again": round(2 / 17, 6)}

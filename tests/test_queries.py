@@ -185,3 +185,10 @@ def test_scores_on_the_models_margins(spark):
         order = [p[MOOD_LABELS.index(m)] for m in ranked]
         assert all(x >= y - 1e-9 for x, y in zip(order, order[1:]))
     assert len(logits) == len(got) and fired >= 0
+
+
+@pytest.mark.parametrize("key", ["analysis_tokens", "clean_text", "light_clean_text"])
+def test_all_texts_are_dealt_before_they_are_cleaned(spark, key):
+    plan = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+    assert plan.index("regexp_replace") < plan.index("REPARTITION_BY_NUM") < plan.index("FileScan")
