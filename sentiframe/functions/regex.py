@@ -24,6 +24,8 @@ def _ranges(ranges) -> str:
 
 
 WS = "[" + _ranges(WHITESPACE_RANGES) + "]"          # Python \s
+# a run of whitespace that is not already one space
+WS_RUN = f" {WS}+|[{_ranges([(lo, min(hi, 0x1F) if lo < 0x20 else hi) for lo, hi in WHITESPACE_RANGES])}]{WS}*"
 NON_WS = "[^" + _ranges(WHITESPACE_RANGES) + "]"     # Python \S
 WORD = r"[\p{L}\p{N}_]"                               # Python \w
 NON_WORD = r"[^\p{L}\p{N}_]"                          # Python \W

@@ -10,10 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..constants import ANALYSIS_PUNCTUATION, ASCII_PUNCTUATION, STOPWORDS
-from .regex import LETTERS_ONLY, NON_WS, WORD, WS
+from .regex import LETTERS_ONLY, NON_WS, WORD, WS, WS_RUN
 
 # FIXED VALUES: what counts as a URL and as a mention.
 URL_PATTERN = f"http{NON_WS}+|www{NON_WS}+"
+PUNCTUATION_PATTERN = "[" + "".join(f"\\{p}" for p in ASCII_PUNCTUATION) + "]+"
 MENTION_PATTERN = f"@{WORD}+"
 ANALYSIS_MENTION_PATTERN = f"{WS}@{NON_WS}+"
 
@@ -24,7 +25,7 @@ def _col(c) -> Column:
 
 def squash_whitespace(c) -> Column:
     """Collapse every run of Unicode whitespace to one space and strip."""
-    return F.trim(F.regexp_replace(_col(c), f"{WS}+", " "))
+    return F.trim(F.regexp_replace(_col(c), WS_RUN, " "))
 
 
 def is_blank(c) -> Column:
@@ -45,7 +46,7 @@ def clean_text(c) -> Column:
     -> collapse whitespace -> drop stopwords and tokens that are not all
     letters -> join with single spaces.
     """
-    s = F.translate(_strip_social(c), ASCII_PUNCTUATION, "")
+    s = F.regexp_replace(_strip_social(c), PUNCTUATION_PATTERN, "")
     tokens = F.split(squash_whitespace(s), " ")
     kept = F.filter(tokens, lambda t: t.rlike(f"\\A{LETTERS_ONLY}\\z") & ~t.isin(STOPWORDS))
     return F.array_join(kept, " ")
@@ -53,7 +54,7 @@ def clean_text(c) -> Column:
 
 def light_clean_text(c) -> Column:
     """Light cleaning that keeps sentence structure."""
-    s = F.translate(_strip_social(c), "#", "")
+    s = F.replace(_strip_social(c), F.lit("#"), F.lit(""))
     return squash_whitespace(s)
 
 

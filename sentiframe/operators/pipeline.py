@@ -13,6 +13,8 @@ Scale notes
 * Duplicate resolution groups by the cleaned text with one conditional count
   per class and ``min_by(id, seq)`` for the first row: fixed-width buffers,
   hash aggregation with map-side combine; no ``collect_list`` of raw rows.
+* A table that is to be stored is built from cleaned texts that are written
+  once: its groups are by digest, and no text is sorted or shuffled again.
 * Filters on derived text columns are applied after aggregation so Catalyst
   does not push copies of the cleaning expression into pre-join filters.
 """
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from ..constants import EMOTIONS, MOOD_LABELS
 from ..functions.labels import single_class
 from ..functions.text import clean_text, light_clean_text
-from ..session import partitions
+from ..session import partitions, written_by_key
 
 
 def mood_labels(ratings: DataFrame, classes_from: list[str] | None = None) -> DataFrame:
@@ -62,17 +64,21 @@ def dealt(texts: DataFrame) -> DataFrame:
     return texts.repartition(partitions(texts.sparkSession), "id")
 
 
-def _text_groups(votes: DataFrame, texts: DataFrame, classes: list[str]) -> DataFrame:
-    """Votes per cleaned text.  Texts are cleaned after the join, when only
-    those with votes are left.  Texts that come cleaned are taken as they are."""
+def _cleaned(votes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Texts with votes, cleaned after the join, when only those with votes are
+    left.  Texts that come cleaned are taken as they are."""
     joined = votes.join(dealt(texts), "id")
-    if "clean_text" not in texts.columns:
-        joined = joined.withColumn("clean_text", clean_text("text")).drop("text")
-    return joined.groupBy("clean_text").agg(
+    return joined if "clean_text" in texts.columns else joined.withColumn("clean_text", clean_text("text"))
+
+
+def _text_groups(cleaned: DataFrame, classes: list[str], by: str = "clean_text") -> DataFrame:
+    """Votes per cleaned text, or per its digest."""
+    return cleaned.groupBy(by).agg(
         *[F.sum(f"n_{c}").alias(f"n_{c}") for c in classes],
         F.sum("n_rows").alias("n_rows"),
         F.min("first_seq").alias("first_seq"),
         F.min_by("id", "first_seq").alias("first_id"),
+        F.max(F.col("clean_text") != "").alias("_kept"),
     )
 
 
@@ -81,7 +87,7 @@ def _decide(groups: DataFrame, classes: list[str]) -> DataFrame:
     top = F.greatest(*counts) if len(counts) > 1 else counts[0]
     n_top = sum((c == top).cast("int") for c in counts)
     winner = F.coalesce(*[F.when(F.col(f"n_{c}") == top, F.lit(c)) for c in classes])
-    kept = F.col("clean_text") != ""
+    kept = F.col("_kept")
     return groups.select(
         "*", n_top.alias("_n_top"),
         F.when(kept & (n_top == 1), winner).alias("_winner"),
@@ -89,8 +95,14 @@ def _decide(groups: DataFrame, classes: list[str]) -> DataFrame:
         F.when(kept & (n_top > 1), F.col("n_rows")).otherwise(F.lit(0)).alias("_tie_rows"))
 
 
+def _winners(groups: DataFrame, by: str, classes: list[str]) -> DataFrame:
+    decided = _decide(groups, classes)
+    return decided.where(F.col("_winner").isNotNull()).select(
+        F.col("first_id").alias("id"), F.col("first_seq").alias("seq"), by, F.col("_winner").alias("mood"))
+
+
 def resolve_duplicates(labelled: DataFrame, texts: DataFrame,
-                       classes: list[str] = MOOD_LABELS) -> DataFrame:
+                       classes: list[str] = MOOD_LABELS, stored: bool = False) -> DataFrame:
     """Majority vote per cleaned text (A1).
 
     ``labelled``: (id, seq, mood) annotation rows; ``texts``: (id, text)
@@ -100,19 +112,35 @@ def resolve_duplicates(labelled: DataFrame, texts: DataFrame,
     the winning class is the mood.  The aggregation buffer holds only
     fixed-width values (hash aggregation); the text of the first row is
     fetched by id afterwards.
+
+    ``stored``: the same rows for a table that is to be stored.  Cleaned texts
+    are written once, in buckets by id; groups read only the SHA-256 of each,
+    and winners meet the texts where these lie, so that texts are shuffled once
+    and never sorted.
     """
-    decided = _decide(_text_groups(class_votes_per_example(labelled, classes), texts, classes), classes)
-    winners = decided.where(F.col("_winner").isNotNull()).select(
-        F.col("first_id").alias("id"), F.col("first_seq").alias("seq"), "clean_text",
-        F.col("_winner").alias("mood"))
-    return winners.join(dealt(texts).select("id", "text"), "id").select(
-        "id", "seq", "text", "clean_text", light_clean_text("text").alias("bert_text"), "mood")
+    votes = class_votes_per_example(labelled, classes)
+    if not stored:
+        winners = _winners(_text_groups(_cleaned(votes, texts), classes), "clean_text", classes)
+        found = winners.join(dealt(texts).select("id", "text"), "id")
+    else:
+        cleaned = _cleaned(votes.hint("shuffle_hash"), texts).select(
+            "id", "text", "clean_text", F.unhex(F.sha2("clean_text", 256)).alias("_key"),
+            *[f"n_{c}" for c in classes], "n_rows", "first_seq")
+        cleaned = written_by_key(cleaned, "cleaned", "id", in_order=False)
+        winners = _winners(_text_groups(cleaned, classes, "_key"), "_key", classes)
+        rows = cleaned.select("id", "text", "clean_text")
+        if not cleaned.groupBy("id").count().where(F.col("count") > 1).isEmpty():
+            # an id with several texts: each of them goes with the group's cleaned text
+            own = cleaned.groupBy("id", "_key").agg(F.min("clean_text").alias("clean_text"))
+            winners, rows = winners.join(own, ["id", "_key"]), rows.drop("clean_text")
+        found = winners.hint("shuffle_hash").join(rows, "id")
+    return found.select("id", "seq", "text", "clean_text", light_clean_text("text").alias("bert_text"), "mood")
 
 
 def processed_dataset(ratings: DataFrame, examples: DataFrame,
-                      classes: list[str] = MOOD_LABELS) -> DataFrame:
+                      classes: list[str] = MOOD_LABELS, stored: bool = False) -> DataFrame:
     """ratings + examples -> (id, seq, text, clean_text, bert_text, mood)."""
-    return resolve_duplicates(mood_labels(ratings), examples.select("id", "text"), classes)
+    return resolve_duplicates(mood_labels(ratings), examples.select("id", "text"), classes, stored)
 
 
 def pipeline_stats(ratings: DataFrame, examples: DataFrame,
@@ -122,7 +150,7 @@ def pipeline_stats(ratings: DataFrame, examples: DataFrame,
     spark = ratings.sparkSession
     votes = class_votes_per_example(mood_labels(ratings), classes)
     with_text = votes.join(examples.where(F.col("text").isNotNull()).select("id"), "id")
-    decided = _decide(_text_groups(votes, examples.select("id", "text"), classes), classes)
+    decided = _decide(_text_groups(_cleaned(votes, examples.select("id", "text")), classes), classes)
     summary = decided.agg(
         F.coalesce(F.sum("_kept_rows"), F.lit(0)).alias("rows_before_dedup"),
         F.count("_winner").alias("rows_after_dedup"),

@@ -8,14 +8,17 @@ largest remainders (ties: class name ascending); test takes the rest.
 Scale: ranking a whole class with one window would put every row of a class
 into one task.  Instead the rows of a class are counted by leading digits of
 the hash; the one bucket that straddles the quota is counted again by more
-digits, until it holds at most ``ROWS_PER_BUCKET`` rows, and only these get an
-exact window rank.  All other rows compare their hash with that bucket's.
-Whatever the number of rows, a window so is bounded (but for rows of one equal
-key, which no order tells apart), and each round reads fewer rows.
+digits, until it holds at most ``ROWS_PER_BUCKET`` rows, and only these get a
+running count by hash, which finds the one hash at which the quota ends.  All
+this reads a written table of (class, hash).  The rows themselves only compare
+their hash with that one, so they are neither shuffled nor sorted; only where
+the quota ends among rows of one equal hash (a repeated key) are those ranked.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,11 +52,34 @@ def _straddling(keyed: DataFrame, quotas: DataFrame, class_col: str, chars: int,
     return state
 
 
+def _last_hash(hashes: DataFrame, state: DataFrame, class_col: str) -> DataFrame:
+    """``state`` with the whole hash at which each class's quota ends as
+    ``_prefix``; ``_size`` counts the rows of that hash."""
+    rows = hashes.join(state, class_col).where(F.col("_h").startswith(F.col("_prefix")))
+    counts = rows.groupBy(class_col, "_quota", "_before", "_h").agg(F.count(F.lit(1)).alias("_size"))
+    lower = Window.partitionBy(class_col).orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)  # one small bucket a class
+    counts = counts.withColumn("_before", F.col("_before") + F.coalesce(F.sum("_size").over(lower), F.lit(0)))
+    inside = (F.col("_before") < F.col("_quota")) & (F.col("_before") + F.col("_size") >= F.col("_quota"))
+    return written(counts.where(inside).select(class_col, "_quota", F.col("_h").alias("_prefix"), "_before", "_size"), "straddle")
+
+
+def _first_by_hash(keyed: DataFrame, quotas_of: Callable[[DataFrame], DataFrame], class_col: str, key_col: str,
+                   chars: int, bound: int) -> DataFrame:
+    """``keyed`` with ``_in``; ``quotas_of`` makes the quotas of (class, _h)."""
+    hashes = written(keyed.select(class_col, "_h"), "hashes")
+    state = _straddling(hashes, quotas_of(hashes), class_col, chars, bound)
+    return _decided(keyed, _last_hash(hashes, state, class_col), class_col, key_col)
+
+
 def _decided(keyed: DataFrame, state: DataFrame, class_col: str, key_col: str) -> DataFrame:
-    """``keyed`` with ``_in``: whether a row is among its class's quota."""
-    placed = keyed.join(state, class_col, "left").withColumn("_b", F.substring(F.col("_h"), F.lit(1), F.char_length("_prefix")))
-    open_ = F.coalesce(F.col("_b") == F.col("_prefix"), F.lit(False))
-    sure = placed.where(~open_).withColumn("_in", F.coalesce(F.col("_b") < F.col("_prefix"), F.lit(False)))
+    """``keyed`` with ``_in``: whether a row is among its class's quota, which
+    ends in ``state`` at a whole hash."""
+    placed = keyed.join(F.broadcast(state), class_col, "left")  # one row a class
+    tied = F.col("_before") + F.col("_size") > F.col("_quota")
+    if state.where(tied).isEmpty():
+        return placed.withColumn("_in", F.coalesce(F.col("_h") <= F.col("_prefix"), F.lit(False)))
+    open_ = F.coalesce(tied & (F.col("_h") == F.col("_prefix")), F.lit(False))
+    sure = placed.where(~open_).withColumn("_in", F.coalesce(F.col("_h") <= F.col("_prefix"), F.lit(False)))
     rank = F.row_number().over(Window.partitionBy(class_col).orderBy("_h", key_col))
     ranked = placed.where(open_).withColumn("_in", F.col("_before") + rank <= F.col("_quota"))
     return sure.unionByName(ranked)
@@ -82,10 +108,11 @@ def stratified_split(df: DataFrame, class_col: str, key_col: str,
     """Add a ``split`` column with exact stratified quotas.  Rows without a
     class belong to no stratum and are left out."""
     keyed = _hashed(df.where(F.col(class_col).isNotNull()), key_col, seed)
-    sizes = keyed.groupBy(class_col).agg(F.count(F.lit(1)).alias("_n"))
-    state = _straddling(keyed, _quotas(sizes, class_col, test_size), class_col, chars, bound)
+    def quotas(hashes):
+        return _quotas(hashes.groupBy(class_col).agg(F.count(F.lit(1)).alias("_n")), class_col, test_size)
+
     first, second = labels
-    return _decided(keyed, state, class_col, key_col).select(
+    return _first_by_hash(keyed, quotas, class_col, key_col, chars, bound).select(
         *df.columns, F.when(F.col("_in"), F.lit(first)).otherwise(F.lit(second)).alias("split"))
 
 
@@ -106,9 +133,10 @@ def fixed_sample(df: DataFrame, key_col: str, n: int, seed: str = SPLIT_SEED, ch
     """Seeded sample of min(n, rows) rows without replacement (O3): the first
     n by hash, then key, cut like a split with one class."""
     keyed = _hashed(df, key_col, seed).withColumn("_all", F.lit(1))
-    quotas = keyed.groupBy("_all").agg(F.count(F.lit(1)).alias("_nc")).withColumn("_quota", F.lit(n))
-    state = _straddling(keyed, quotas, "_all", chars, bound)
-    return _decided(keyed, state, "_all", key_col).where("_in").select(*df.columns)
+    def quotas(hashes):
+        return hashes.groupBy("_all").agg(F.count(F.lit(1)).alias("_nc")).withColumn("_quota", F.lit(n))
+
+    return _first_by_hash(keyed, quotas, "_all", key_col, chars, bound).where("_in").select(*df.columns)
 
 
 def split_overlap(split_df: DataFrame, key_col: str = "clean_text",

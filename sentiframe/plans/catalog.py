@@ -43,8 +43,8 @@ def query(name: str):
 
 # --- shared building blocks -------------------------------------------------
 
-def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.processed_dataset(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir))
+def processed(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    return P.processed_dataset(FX.ratings(spark, sf_dir), FX.examples(spark, sf_dir), stored=stored)
 
 
 def _inputs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -54,15 +54,16 @@ def _inputs(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 def stored_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The processed table, built once for the state of the inputs and read
     from then on (S6)."""
-    return V.load_or_build(spark, V.folder(spark, "processed", *_inputs(spark, sf_dir)), lambda: processed(spark, sf_dir),
+    return V.load_or_build(spark, V.folder(spark, "processed", *_inputs(spark, sf_dir)), lambda: processed(spark, sf_dir, stored=True),
                            {"id", "text", "clean_text", "bert_text", "mood"})
 
 
 def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processed rows with their split, stored by split (S7): every query on
-    features or models reads this table, and a filter on the split prunes it."""
+    """Processed rows, without their raw texts, with their split, stored by
+    split (S7): every query on features or models reads this table, and a
+    filter on the split prunes it."""
     return V.load_or_build(spark, V.folder(spark, "split", *_inputs(spark, sf_dir)),
-                           lambda: SP.stratified_split(stored_processed(spark, sf_dir), "mood", "clean_text"),
+                           lambda: SP.stratified_split(stored_processed(spark, sf_dir).drop("text"), "mood", "clean_text"),
                            {"id", "clean_text", "bert_text", "mood", "split"}, partition_by="split")
 
 
@@ -140,7 +141,8 @@ def q_stratified_split(spark, sf_dir):
 
 @query("train_val_test_split")
 def q_train_val_test_split(spark, sf_dir):
-    return SP.train_val_test_split(stored_processed(spark, sf_dir), "mood", "clean_text").select("id", "mood", "split")
+    rows = stored_processed(spark, sf_dir).select("id", "mood", "clean_text")
+    return SP.train_val_test_split(rows, "mood", "clean_text").select("id", "mood", "split")
 
 
 @query("persisted_split")

@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +63,22 @@ def shared_folder(spark: SparkSession, tag: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), f"{tag}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def unsorted_writes(spark: SparkSession, writers: int = 8) -> Iterator[None]:
+    """Within, a task keeps up to ``writers`` files open when it writes by
+    partition or bucket, in place of sorting its rows by them first."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(writers))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: several branches
     then start from one Parquet table, with column pruning, and a lost
@@ -75,15 +93,21 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def written_by_key(df: DataFrame, tag: str, key: str) -> DataFrame:
+def written_by_key(df: DataFrame, tag: str, key: str, in_order: bool = True) -> DataFrame:
     """Like ``written``, in buckets by ``key``: readers know the partitioning,
     so that windows and groups by the key need no shuffle.  ``df`` must be
     dealt by ``repartition(partitions(spark), key)``; a task then writes one
-    bucket.  The table lies in the shared folder and has a name of its own."""
+    bucket, in order of the key unless ``in_order`` is false, when no row is
+    sorted.  The table lies in the shared folder and has a name of its own."""
     spark = df.sparkSession
     path, n = shared_folder(spark, tag), partitions(spark)
     name = os.path.basename(path).replace("-", "_")
-    df.write.bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(name)
+    writer = df.write.bucketBy(n, key).option("path", path).option("compression", "zstd")
+    if in_order:
+        writer.sortBy(key).saveAsTable(name)
+    else:
+        with unsorted_writes(spark):
+            writer.saveAsTable(name)
     return spark.table(name)
 
 

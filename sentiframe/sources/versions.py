@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, unsorted_writes
 
 MARK = "_current"
 
@@ -76,8 +76,9 @@ def load_or_build(spark: SparkSession, folder: str, build: Callable[[], DataFram
             return stored
 
     def write(to: str) -> None:
-        writer = build().write
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(to)
+        writer = build().write.option("compression", "zstd")
+        with unsorted_writes(spark):  # whole texts are not sorted by their partition
+            (writer.partitionBy(partition_by) if partition_by else writer).parquet(to)
 
     return spark.read.parquet(publish(spark, folder, write))
 

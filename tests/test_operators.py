@@ -173,3 +173,41 @@ def test_words_are_added_up_without_a_table_per_example(spark):
     scored = W.log_odds(ratings, examples, ["joy", "love"], min_z=None).collect()
     assert {(r.emotion, r.word) for r in scored} == {(e, w) for e, i in (("joy", 1), ("love", 1), ("joy", 2)) for j, t in texts if j == i for w in t.split()}
     assert {r.word: round(r.freq, 6) for r in scored if r.emotion == "joy"} == {"river": round(6 / 17, 6), "stone": round(5 / 17, 6), "cloud": round(4 / 17, 6), "again": round(2 / 17, 6)}
+
+
+def test_split_moves_no_whole_row(spark):
+    """Rows only compare their hash with the one at which the quota ends."""
+    df = spark.createDataFrame([(i, f"t{i}", "happy" if i % 3 else "sad") for i in range(200)], "id long, clean_text string, mood string")
+    split = SP.stratified_split(df, "mood", "clean_text")
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan
+    assert {(r["mood"], r["split"]): r["count"] for r in split.groupBy("mood", "split").count().collect()} == {
+        ("happy", "train"): 106, ("happy", "test"): 27, ("sad", "train"): 54, ("sad", "test"): 13}
+
+
+def test_split_quota_among_equal_keys(spark):
+    df = spark.createDataFrame([(i, "twin" if i < 150 else f"t{i}", "happy") for i in range(200)], "id long, clean_text string, mood string")
+    got = SP.stratified_split(df, "mood", "clean_text").groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in got} == {"train": 160, "test": 40}
+    assert SP.fixed_sample(df, "clean_text", 77).count() == 77
+
+
+def test_duplicates_are_resolved_without_moving_texts_twice(spark):
+    """No exchange and no sort of texts once they are written; winners meet them where they lie."""
+    labelled = spark.createDataFrame([(1, 1, "happy"), (2, 2, "happy"), (3, 3, "sad")], "id long, seq long, mood string")
+    texts = spark.createDataFrame([(1, "Good day!"), (2, "good day"), (3, "so sad"), (4, "unrated")], "id long, text string")
+    out = P.resolve_duplicates(labelled, texts, stored=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert not any("text#" in line for line in plan.splitlines() if "Exchange " in line)
+    assert {r.id: (r.seq, r.text, r.clean_text, r.mood) for r in out.collect()} == {
+        1: (1, "Good day!", "good day", "happy"), 3: (3, "so sad", "sad", "sad")}
+
+
+def test_texts_that_share_an_id_go_with_each_group(spark):
+    labelled = spark.createDataFrame([(1, 1, "happy")], "id long, seq long, mood string")
+    texts = spark.createDataFrame([(1, "Red river"), (1, "blue stone"), (1, "blue stone")], "id long, text string")
+    want = sorted((t, c) for c in ("red river", "blue stone") for t in ("Red river", "blue stone", "blue stone"))
+    for stored in (False, True):
+        got = sorted((r.text, r.clean_text) for r in P.resolve_duplicates(labelled, texts, stored=stored).collect())
+        assert got == want
